@@ -1,12 +1,12 @@
 """Training order over the documents: shuffle, shards, batches, steps."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from corpusflow.operators.tokenize import token_ids
 from corpusflow.plans import order
 from corpusflow.queries.tables import table
 from corpusflow.queries.tokens import DOCUMENT_IDS
+from corpusflow.session import spread
 
 
 def _ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +53,7 @@ def step_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def collate_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corpus to labelled micro-batches of one epoch, placed on ranks and optimizer steps."""
-    tokens = token_ids(table(spark, sf_dir, "documents"), ["doc_id"])
+    tokens = token_ids(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), ["doc_id"])
     plan = order.batch_plan(order.shard_assignment(tokens, ["doc_id"], epochs=1))
     return order.collate_batches(plan)
 

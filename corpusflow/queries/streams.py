@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.queries.tables import rounded, table
-from corpusflow.queries.telemetry import BLOCKS_SQL, PARSED, THROTTLE_HOURS, THROTTLED_SQL, device_lines
+from corpusflow.queries.telemetry import BLOCKS_SQL, PARSED, THROTTLE_HOURS, THROTTLED_SQL, probe_output
 from corpusflow.session import work_dir
 from corpusflow.sources import device_log
 from corpusflow.streaming import streams as st
@@ -27,7 +27,7 @@ def _appended(spark: SparkSession, stream: DataFrame, label: str, fmt: str = "pa
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = work_dir(spark, "lines")
-    device_lines(table(spark, sf_dir, "events")).write.text(landing)
+    probe_output(table(spark, sf_dir, "events")).write.text(landing)
     lines = st.read_landing(st.stream_session(spark), landing, "line STRING", "text")
     return _appended(spark, device_log.accepted(device_log.parse_device_lines(lines)), "ingest")
 

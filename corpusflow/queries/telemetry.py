@@ -16,28 +16,38 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
-def device_lines(events: DataFrame, *keep: str) -> DataFrame:
-    """CSV device samples as the probe prints them, including its unreadable variants."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    reading = F.format_string("%.2f", "value")
-    device = F.col("user_id").cast("string")
+def probe_output(events: DataFrame, *keep: str) -> DataFrame:
+    """What the device probe prints for each event, including its unreadable variants."""
+    keyed = events.select("*", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    k = F.col("k")
     kind = F.col("event_type")
+    reading = F.format_string("%.2f", "value")
     name = F.when((kind == "signup") & (k < 20), F.lit("dev, signup")).otherwise(F.concat(F.lit("dev "), kind))
-    utilization = F.when(kind == "error", F.lit("[N/A]")).otherwise(reading)
+    head = F.concat_ws(", ", F.col("user_id").cast("string"), name)
     full = F.concat_ws(
-        ", ", device, name, utilization, k.cast("string"), (k * 64).cast("string"), F.lit("81920"),
-        (k + 30).cast("string"), reading,
+        ", ",
+        head,
+        F.when(kind == "error", F.lit("[N/A]")).otherwise(reading),
+        k.cast("string"),
+        (k * 64).cast("string"),
+        F.lit("81920"),
+        (k + 30).cast("string"),
+        reading,
     )
-    line = (
-        F.when((kind == "view") & (k >= 90), F.concat_ws(", ", device, name))
+    output = (
+        F.when((kind == "view") & (k >= 90), head)
         .when((kind == "click") & (k >= 95), F.lit("  "))
         .otherwise(full)
     )
-    return events.select(*keep, line.alias("line"))
+    return keyed.select(*keep, output.alias("output"))
+
+
+def _parsed(events: DataFrame, *keep: str) -> DataFrame:
+    return device_log.parse_device_lines(device_log.probe_lines(probe_output(events, *keep)))
 
 
 def parse_device_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return device_log.parse_device_lines(device_lines(_events(spark, sf_dir), "event_id"))
+    return _parsed(_events(spark, sf_dir), "event_id")
 
 
 def _ten_minutes() -> Column:
@@ -45,16 +55,14 @@ def _ten_minutes() -> Column:
 
 
 def strict_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = device_lines(_events(spark, sf_dir), "event_id", "ts")
-    parsed = device_log.parse_device_lines(lines).withColumn("snapshot", _ten_minutes()).drop("ts")
+    parsed = _parsed(_events(spark, sf_dir), "event_id", "ts").withColumn("snapshot", _ten_minutes()).drop("ts")
     return device_log.strict_snapshots(parsed, "snapshot").select(
         "snapshot", "event_id", "index", "name", "utilization_gpu", "memory_used_gb"
     )
 
 
 def _hourly_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = device_lines(_events(spark, sf_dir), "event_id", "ts")
-    good = device_log.accepted(device_log.parse_device_lines(lines))
+    good = device_log.accepted(_parsed(_events(spark, sf_dir), "event_id", "ts"))
     return good.withColumn("snapshot", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
 
 

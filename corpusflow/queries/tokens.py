@@ -9,23 +9,29 @@ from pyspark.sql import functions as F
 from corpusflow.functions import text as tx
 from corpusflow.operators import tokenize as tok
 from corpusflow.queries.tables import table
+from corpusflow.session import spread
 from corpusflow.settings import EOS_ID, MAX_LENGTH
 
 MODEL_GB = 1.1
 DEVICE_GB = 80.0
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def tokenize_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tok.tokenize_fixed(table(spark, sf_dir, "documents"), ["doc_id"])
+    return tok.tokenize_fixed(_texts(spark, sf_dir), ["doc_id"])
 
 
 def tokenize_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second corpus has a two-column key and is padded on the left."""
-    return tok.tokenize_fixed(table(spark, sf_dir, "conversations"), ["conv_id", "turn"], max_length=256, side="left")
+    chats = spread(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
+    return tok.tokenize_fixed(chats, ["conv_id", "turn"], max_length=256, side="left")
 
 
 def collate_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = tok.tokenize_fixed(table(spark, sf_dir, "documents"), ["doc_id"], pad_id=EOS_ID)
+    rows = tok.tokenize_fixed(_texts(spark, sf_dir), ["doc_id"], pad_id=EOS_ID)
     return rows.select(
         "doc_id",
         tx.causal_labels(F.col("input_ids"), "pad_id", pad_id=EOS_ID).alias("labels_by_pad"),
@@ -46,8 +52,7 @@ def pad_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def length_bucket_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
-    lengths = documents.select(F.size(tx.words(F.col("text"))).alias("n_tokens"))
+    lengths = _texts(spark, sf_dir).select(F.size(tx.words(F.col("text"))).alias("n_tokens"))
     return tok.length_buckets(lengths, MODEL_GB, DEVICE_GB)
 
 
@@ -71,7 +76,7 @@ def tokenize_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     definition = tok.read_tokenizer(spark, f"file://{public_tokenizers.path('byte_bpe_50k.json')}")
-    ids = tok.subword_ids(table(spark, sf_dir, "documents"), ["doc_id"], definition)
+    ids = tok.subword_ids(_texts(spark, sf_dir), ["doc_id"], definition)
     return tok.fixed_length(ids, pad_id=tok.pad_id_of(definition, None, "<|endoftext|>"))
 
 

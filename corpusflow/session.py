@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+SMALL_BYTES_PER_CORE = 16 << 20
 
 _local_base: dict[str, str] = {}
 
@@ -46,3 +48,15 @@ def work_dir(spark: SparkSession, label: str) -> str:
             _local_base[app] = tempfile.mkdtemp(prefix="corpusflow-")
         base = _local_base[app]
     return f"{base.rstrip('/')}/corpusflow/{label}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small input to all cores before heavy per-row work.
+
+    A few files of one row group each would otherwise keep a few cores busy.
+    Input of more than 16 MB per core has splits enough and is returned as it
+    is, so large data is never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if estimate <= cores * SMALL_BYTES_PER_CORE else df

@@ -31,8 +31,10 @@ def read_device_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
-def _trimmed_fields(line: Column) -> Column:
-    return F.transform(F.split(line, ","), lambda part: F.trim(part))
+def probe_lines(df: DataFrame, output: str = "output") -> DataFrame:
+    """One row per line of each probe's printed output; other columns are repeated."""
+    keep = [c for c in df.columns if c != output]
+    return df.select(*keep, F.explode(F.split(output, "\n")).alias("line"))
 
 
 def parse_device_lines(df: DataFrame, line: str = "line") -> DataFrame:
@@ -42,11 +44,10 @@ def parse_device_lines(df: DataFrame, line: str = "line") -> DataFrame:
     false where a number cannot be read. Works on batch and streaming input.
     """
     keep = [c for c in df.columns if c != line]
-    fields = (
-        df.where(F.trim(line) != "")
-        .select(*keep, _trimmed_fields(F.col(line)).alias("_f"))
-        .where(F.size("_f") >= DEVICE_FIELDS)
-    )
+    # Exploding the (zero or one) field list keeps the optimizer from splitting
+    # the line again for every condition placed on a field.
+    split = F.when(F.trim(line) != "", F.array(F.split(F.trim(line), r"\s*,\s*")))
+    fields = df.select(*keep, F.explode(F.filter(split, lambda f: F.size(f) >= DEVICE_FIELDS)).alias("_f"))
 
     def number(i: int) -> Column:
         return F.col("_f")[i].try_cast("double")
