@@ -1,5 +1,5 @@
 """Corpus preparation, training order and run telemetry as Spark jobs."""
 
-from corpusflow.session import build_session, spread, work_dir
+from corpusflow.session import build_session, spread, stored, work_dir
 
-__all__ = ["build_session", "spread", "work_dir"]
+__all__ = ["build_session", "spread", "stored", "work_dir"]

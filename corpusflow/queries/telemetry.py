@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from corpusflow.functions import values as v
 from corpusflow.operators import telemetry as tm
 from corpusflow.queries.tables import rounded, table
-from corpusflow.session import work_dir
+from corpusflow.session import spread, stored, work_dir
 from corpusflow.sources import device_log
 
 THROTTLE_HOURS = 4
@@ -43,7 +43,7 @@ def probe_output(events: DataFrame, *keep: str) -> DataFrame:
 
 
 def _parsed(events: DataFrame, *keep: str) -> DataFrame:
-    return device_log.parse_device_lines(device_log.probe_lines(probe_output(events, *keep)))
+    return device_log.parse_device_lines(device_log.probe_lines(probe_output(spread(events), *keep)))
 
 
 def parse_device_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +72,7 @@ def snapshot_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    samples = _hourly_samples(spark, sf_dir)
+    samples = stored(_hourly_samples(spark, sf_dir), "samples")
     samples = samples.withColumn("_us", v.micros(samples, "ts"))
     return tm.nest_snapshots(samples, "snapshot", ["_us", "event_id"], "_us")
 

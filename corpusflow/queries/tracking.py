@@ -6,17 +6,21 @@ from pyspark.sql import functions as F
 from corpusflow.functions import values as v
 from corpusflow.operators import tracking as tr
 from corpusflow.queries.tables import rounded, table
-from corpusflow.session import work_dir
+from corpusflow.session import spread, work_dir
 from corpusflow.settings import BATCH_PER_DEVICE, EPOCHS, GRADIENT_ACCUMULATION, PARAM_KEYS, WORLD_SIZE
 
 
 def _run_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
+    items = table(spark, sf_dir, "lineitem").select(
         F.concat("l_returnflag", "l_linestatus").alias("run_id"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("step"),
         F.col("l_shipdate").alias("ts"),
-        "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_quantity",
+        "l_extendedprice",
+        "l_discount",
+        "l_tax",
     )
+    return spread(items)
 
 
 def metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
