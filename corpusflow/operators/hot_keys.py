@@ -28,17 +28,21 @@ def join_small(df: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(F.broadcast(renamed), condition, "left").drop(*[f"_key_{k}" for k in keys])
 
 
-def split_hot_keys(df: DataFrame, keys: list[str], along: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
-    """Add ``chunk``: NULL for ordinary keys, the slice number along ``along`` (an integer column) for hot ones."""
+def split_hot_keys(
+    df: DataFrame, keys: list[str], along: str, rows_per_chunk: int = ROWS_PER_CHUNK, min_width: int = 1
+) -> DataFrame:
+    """Add ``chunk``: NULL for ordinary keys, the slice number along ``along`` (an integer column) for hot ones.
+
+    Slices of a key are equally wide. ``min_width`` asks for wider ones, of up
+    to eight times as many rows.
+    """
+    slices = F.ceil(F.col("_n") / rows_per_chunk)
+    even = F.ceil((F.col("_hi") - F.col("_lo") + 1) / slices)
     hot = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"), F.min(along).alias("_lo"), F.max(along).alias("_hi"))
         .where(F.col("_n") > rows_per_chunk)
-        .select(
-            *keys,
-            "_lo",
-            F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.ceil(F.col("_n") / rows_per_chunk)).alias("_width"),
-        )
+        .select(*keys, "_lo", F.greatest(even, F.least(F.lit(min_width), even * 8)).alias("_width"))
     )
     return (
         join_small(df, hot, keys)
@@ -47,18 +51,8 @@ def split_hot_keys(df: DataFrame, keys: list[str], along: str, rows_per_chunk: i
     )
 
 
-def index_within(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    along: str,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
-) -> DataFrame:
-    """Add ``idx``: the 0-based place of each row within its key.
-
-    ``along`` has to be the leading ordering column, as an integer.
-    """
-    split = split_hot_keys(df, keys, along, rows_per_chunk)
+def number_chunks(split: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Add ``idx``, the 0-based place of each row within its key, to rows that know their ``chunk``."""
     counts = split.where(F.col("chunk").isNotNull()).groupBy(*keys, "chunk").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "chunk", F.sum("_n").over(earlier).alias("_offset"))
@@ -69,3 +63,17 @@ def index_within(
         .withColumn("idx", F.col("idx") + F.coalesce("_offset", F.lit(0)))
         .drop("_offset", "chunk")
     )
+
+
+def index_within(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    along: str,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
+) -> DataFrame:
+    """Number the rows of each key.
+
+    ``along`` has to be the leading ordering column, as an integer.
+    """
+    return number_chunks(split_hot_keys(df, keys, along, rows_per_chunk), keys, order)

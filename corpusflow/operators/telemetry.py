@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from corpusflow.functions.values import micros
-from corpusflow.operators.hot_keys import index_within, join_small, split_hot_keys
+from corpusflow.operators.hot_keys import index_within, join_small, number_chunks, split_hot_keys
 from corpusflow.settings import BLOCK_SIZE, ROWS_PER_CHUNK, THROTTLE_SECONDS
 from corpusflow.sources.device_log import SAMPLE_FIELDS
 
@@ -63,15 +63,28 @@ def nest_snapshots(
     records (``part`` 1, 2, ...) rather than gathered in one row; every part
     carries the mean of the whole snapshot.
     """
-    indexed = index_within(samples, [snapshot], order, along, rows_per_chunk)
-    parts = indexed.groupBy(snapshot, F.expr(f"idx div {max_devices}").alias("part")).agg(
-        F.array_sort(F.collect_list(F.struct(*SAMPLE_FIELDS))).alias("gpus")
-    )
-    means = samples.groupBy(snapshot).agg(F.avg("utilization_gpu").alias("avg_utilization"))
-    return parts.join(means, snapshot).select(
-        F.col(snapshot).alias("timestamp"), "part", "gpus", "avg_utilization"
+    split = split_hot_keys(samples, [snapshot], along, rows_per_chunk)
+    is_hot = F.col("chunk").isNotNull()
+    part = F.expr(f"idx div {max_devices}").alias("part")
+    documents = F.array_sort(F.collect_list(F.struct(*SAMPLE_FIELDS))).alias("gpus")
+
+    # ordinary snapshots: grouping and mean reuse the shuffle of the numbering
+    whole = Window.partitionBy(snapshot)
+    numbered = split.where(~is_hot).withColumn("idx", F.row_number().over(whole.orderBy(*order)) - 1)
+    ordinary = (
+        numbered.groupBy(snapshot, part)
+        .agg(documents, F.sum("utilization_gpu").alias("_sum"), F.count("utilization_gpu").alias("_n"))
+        .withColumn("avg_utilization", F.sum("_sum").over(whole) / F.sum("_n").over(whole))
     )
 
+    # the few large ones: parts may cross slices, the means are broadcast
+    hot = split.where(is_hot)
+    means = hot.groupBy(snapshot).agg(F.avg("utilization_gpu").alias("avg_utilization"))
+    large = join_small(number_chunks(hot, [snapshot], order).groupBy(snapshot, part).agg(documents), means, [snapshot])
+
+    columns = [F.col(snapshot).alias("timestamp"), F.col("part").cast("bigint").alias("part"), "gpus", "avg_utilization"]
+    return ordinary.select(columns).unionByName(large.select(columns))
+
 
 def union_history(*histories: DataFrame) -> DataFrame:
     """Append histories, duplicates kept."""
@@ -165,26 +178,34 @@ def trailing_means(
 ) -> DataFrame:
     """Mean of the last ``size`` samples at each sample that has that many.
 
-    A long series is windowed in stretches of ``rows_per_chunk`` rows; the last
-    ``size - 1`` rows of a stretch are repeated at the head of the next one.
+    Rows are shuffled once. Only the first ``size - 1`` rows of a slice of a hot
+    series look back beyond their slice; they are computed among the few rows
+    on either side of the cuts.
     """
-    stretch = max(rows_per_chunk, size)
-    indexed = index_within(samples.withColumn("_us", micros(samples, ts)), keys, ["_us", tie], "_us", rows_per_chunk)
-    home = F.expr(f"idx div {stretch}")
-    spread = indexed.withColumn("_home", home).withColumn(
-        "_stretch",
-        F.explode(
-            F.when(F.col("idx") % stretch > stretch - size, F.array("_home", F.col("_home") + 1)).otherwise(
-                F.array("_home")
-            )
-        ),
+    split = split_hot_keys(samples.withColumn("_us", micros(samples, ts)), keys, "_us", rows_per_chunk)
+    piece = Window.partitionBy(*keys, "chunk")
+    forward = piece.orderBy("_us", tie)
+    backward = piece.orderBy(F.desc("_us"), F.desc(tie))
+    mean = F.avg(value)
+    inside = (
+        split.withColumn("_place", F.row_number().over(forward))
+        .withColumn("trailing_mean", mean.over(forward.rowsBetween(-(size - 1), 0)))
+        .where(F.col("_place") >= size)
     )
-    trailing = Window.partitionBy(*keys, "_stretch").orderBy("idx").rowsBetween(-(size - 1), 0)
-    return (
-        spread.withColumn("trailing_mean", F.avg(value).over(trailing))
-        .where((F.col("_stretch") == F.col("_home")) & (F.col("idx") >= size - 1))
-        .select(*samples.columns, "trailing_mean")
+    near_cuts = (
+        split.where(F.col("chunk").isNotNull())
+        .withColumn("_place", F.row_number().over(forward))
+        .withColumn("_from_end", F.row_number().over(backward))
+        .where((F.col("_place") < size) | (F.col("_from_end") < size))
+    )
+    across = Window.partitionBy(*keys).orderBy("_us", tie).rowsBetween(-(size - 1), 0)
+    heads = (
+        near_cuts.withColumn("trailing_mean", mean.over(across))
+        .withColumn("_n", F.count(F.lit(1)).over(across))
+        .where((F.col("_place") < size) & (F.col("_n") == size))
     )
+    columns = [*samples.columns, "trailing_mean"]
+    return inside.select(columns).unionByName(heads.select(columns))
 
 
 # -- throttle ---------------------------------------------------------------
@@ -245,7 +266,7 @@ def throttle(
     series = samples.withColumn("_us", micros(samples, ts))
     if start is not None:
         series = series.where(F.coalesce(F.col("_us") - start > gap, F.lit(True)))
-    split = split_hot_keys(series, keys, "_us", rows_per_chunk)
+    split = split_hot_keys(series, keys, "_us", rows_per_chunk, min_width=8 * gap)
     entries = _slice_entries(split.where(F.col("chunk").isNotNull()), keys, gap)
     local = Window.partitionBy(*keys, "chunk").orderBy("_us", tie)
     ready = (
@@ -277,7 +298,11 @@ def throttle(
 
 
 def _slice_entries(hot: DataFrame, keys: list[str], gap: int) -> DataFrame:
-    """Last kept time before each slice of a hot series (``keys``, ``chunk``, ``_entry``)."""
+    """Last kept time before each slice of a hot series (``keys``, ``chunk``, ``_entry``).
+
+    Slices are much longer than the gap, so what they do to the last kept time
+    takes few numbers; these are scanned in order, in constant memory.
+    """
     key_fields = [hot.schema[k] for k in keys]
     long = LongType()
     effect_schema = StructType([*key_fields, *[StructField(c, long) for c in ("chunk", "_upto", "_exit")]])
@@ -288,22 +313,37 @@ def _slice_entries(hot: DataFrame, keys: list[str], gap: int) -> DataFrame:
         head = rows.iloc[[0] * len(upto)][[*keys, "chunk"]].reset_index(drop=True)
         return head.assign(_upto=upto, _exit=leaves)
 
-    def chain(rows: pd.DataFrame) -> pd.DataFrame:
-        last = NEVER
-        chunks, entries = [], []
-        for chunk, part in rows.sort_values(["chunk", "_upto"]).groupby("chunk"):
-            chunks.append(chunk)
-            entries.append(last)
-            i = int(np.searchsorted(part["_upto"].to_numpy(), last + gap, side="right"))
-            if i < len(part):
-                last = int(part["_exit"].iloc[i])
-        head = rows.iloc[[0] * len(chunks)][keys].reset_index(drop=True)
-        return head.assign(chunk=chunks, _entry=entries)
-
-    times = hot.select(*keys, "chunk", "_us")
+    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, entry, current, found = NEVER, NEVER, None, False
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            chunk, upto, leaves, first = (
+                batch.column(c).to_numpy(zero_copy_only=False) for c in ("chunk", "_upto", "_exit", "_first")
+            )
+            cuts = np.flatnonzero((chunk[1:] != chunk[:-1]) | first[1:]) + 1
+            heads, entries = [], []
+            for a, b in zip([0, *cuts], [*cuts, len(chunk)]):
+                if first[a]:
+                    last, current = NEVER, None
+                if chunk[a] != current:  # else the slice goes on from the previous batch
+                    current, entry, found = chunk[a], last, False
+                    heads.append(a)
+                    entries.append(entry)
+                if not found:
+                    i = a + int(np.searchsorted(upto[a:b], entry + gap, side="right"))
+                    if i < b:
+                        last, found = int(leaves[i]), True
+            slices = batch.select([*keys, "chunk"]).take(pa.array(heads, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*slices.columns, pa.array(entries, pa.int64())], names=[*keys, "chunk", "_entry"]
+            )
+
+    in_order = Window.partitionBy(*keys).orderBy("chunk", "_upto")
     return (
-        times.groupBy(*keys, "chunk")
+        hot.select(*keys, "chunk", "_us")
+        .groupBy(*keys, "chunk")
         .applyInPandas(effects, effect_schema)
-        .groupBy(*keys)
-        .applyInPandas(chain, entry_schema)
+        .withColumn("_first", F.row_number().over(in_order) == 1)
+        .mapInArrow(chain, entry_schema)
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -112,20 +113,19 @@ def subword_ids(
     schema = ", ".join([*key_fields, "n_tokens int", "ids array<int>"])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
-        whole = Tokenizer.from_str(definition.value)
-        whole.no_truncation()
-        whole.no_padding()
-        cutter = Tokenizer.from_str(definition.value)
-        cutter.enable_truncation(max_length)
-        cutter.no_padding()
+        tokenizer = Tokenizer.from_str(definition.value)
+        tokenizer.no_padding()
         for batch in batches:
             for start in range(0, batch.num_rows, ENCODE_ROWS):
                 part = batch.slice(start, ENCODE_ROWS)
                 texts = part.column(part.num_columns - 1).to_pylist()
-                encoded = whole.encode_batch(texts, add_special_tokens=False)
-                rows = [cutter.post_process(e, add_special_tokens=add_special_tokens).ids for e in encoded]
+                tokenizer.no_truncation()
+                encoded = tokenizer.encode_batch(texts, add_special_tokens=False)
+                tokenizer.enable_truncation(max_length)
+                rows = [tokenizer.post_process(e, add_special_tokens=add_special_tokens).ids for e in encoded]
                 counts = pa.array([len(e) for e in encoded], pa.int32())
                 ids = pa.array(rows, pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays(

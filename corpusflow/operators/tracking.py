@@ -41,7 +41,7 @@ def read_artifact_files(spark: SparkSession, path: str, run_id: str) -> DataFram
     )
 
 
-def compare_runs(metrics: DataFrame, before: Column, after: Column) -> DataFrame:
+def compare_runs(metrics: DataFrame, before: Column, after: Column, by: tuple[str, ...] = ("key",)) -> DataFrame:
     """Mean of every key in two groups of metric points, and their difference.
 
     One pass and one shuffle of partial sums instead of a self-join; a key that
@@ -49,7 +49,7 @@ def compare_runs(metrics: DataFrame, before: Column, after: Column) -> DataFrame
     """
     return (
         metrics.where(before | after)
-        .groupBy("key")
+        .groupBy(*by)
         .agg(
             F.avg(F.when(before, F.col("value"))).alias("before"),
             F.avg(F.when(after, F.col("value"))).alias("after"),

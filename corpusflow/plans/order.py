@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions import text as tx
@@ -58,13 +58,17 @@ def seeded_order(df: DataFrame, keys: list[str], seed: int = SEED, digits: int =
     )
 
 
+def _rows_per_rank(world_size: int) -> Column:
+    return F.expr(f"(n_rows + {world_size - 1}) div {world_size}")
+
+
 def shard(ordered: DataFrame, world_size: int = WORLD_SIZE) -> DataFrame:
     """Deal the shuffled rows to ranks: rank r takes positions r, r + world_size, ...
 
     The order wraps round until all ranks have the same number of rows. A row
     emits its own extra positions, so this adds no join and no shuffle.
     """
-    total = F.ceil(F.col("n_rows") / world_size) * world_size
+    total = _rows_per_rank(world_size) * world_size
     wrapped = F.explode(F.sequence(F.col("position"), total - 1, F.col("n_rows")))
     return (
         ordered.withColumn("_position", wrapped)
@@ -108,8 +112,8 @@ def batch_plan(
         .withColumn("slot", (F.col("_local") % per_device).cast("int"))
         .withColumn("step", F.expr(f"_local div {per_step}"))
     )
-    per_rank = F.ceil(F.col("n_rows") / world_size)
-    return planned.withColumn("is_partial", (F.col("step") + 1) * per_step > per_rank).drop("_local")
+    short = (F.col("step") + 1) * per_step > _rows_per_rank(world_size)
+    return planned.withColumn("is_partial", short).drop("_local")
 
 
 def effective_batches(

@@ -6,7 +6,7 @@ from corpusflow.operators.tokenize import token_ids
 from corpusflow.plans import order
 from corpusflow.queries.tables import table
 from corpusflow.queries.tokens import DOCUMENT_IDS
-from corpusflow.session import spread
+from corpusflow.session import spread, stored
 
 
 def _ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,8 @@ def step_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 def collate_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corpus to labelled micro-batches of one epoch, placed on ranks and optimizer steps."""
     tokens = token_ids(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), ["doc_id"])
+    # texts are read and tokenised once, however often the order is computed
+    tokens = stored(tokens, "tokens")
     plan = order.batch_plan(order.shard_assignment(tokens, ["doc_id"], epochs=1))
     return order.collate_batches(plan)
 

@@ -50,12 +50,13 @@ def parse_device_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _parsed(_events(spark, sf_dir), "event_id")
 
 
-def _ten_minutes() -> Column:
-    return F.window("ts", "10 minutes")["start"]
+def _slot(width: str) -> Column:
+    return F.window("ts", width)["start"]
 
 
 def strict_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = _parsed(_events(spark, sf_dir), "event_id", "ts").withColumn("snapshot", _ten_minutes()).drop("ts")
+    parsed = _parsed(_events(spark, sf_dir), "event_id", "ts").withColumn("snapshot", _slot("10 minutes")).drop("ts")
+    parsed = stored(parsed, "parsed")
     return device_log.strict_snapshots(parsed, "snapshot").select(
         "snapshot", "event_id", "index", "name", "utilization_gpu", "memory_used_gb"
     )
@@ -63,7 +64,7 @@ def strict_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _hourly_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = device_log.accepted(_parsed(_events(spark, sf_dir), "event_id", "ts"))
-    return good.withColumn("snapshot", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    return good.withColumn("snapshot", _slot("1 hour"))
 
 
 def snapshot_mean(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,11 +3,23 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusflow.functions import text as tx
 from corpusflow.functions import values as v
 from corpusflow.operators import tracking as tr
+from corpusflow.operators.telemetry import block_means, utilization_stats
 from corpusflow.queries.tables import rounded, table
 from corpusflow.session import spread, work_dir
-from corpusflow.settings import BATCH_PER_DEVICE, EPOCHS, GRADIENT_ACCUMULATION, PARAM_KEYS, WORLD_SIZE
+from corpusflow.settings import (
+    AFTER_LENGTH,
+    BATCH_PER_DEVICE,
+    BEFORE_LENGTH,
+    BLOCK_METRICS,
+    EPOCHS,
+    FINAL_METRICS,
+    GRADIENT_ACCUMULATION,
+    PARAM_KEYS,
+    WORLD_SIZE,
+)
 
 
 def _run_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +86,33 @@ def compare_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compared.select("key", rounded("before", 4), rounded("after", 4), rounded("delta", 4))
 
 
+def compare_generations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length of what was generated before and after, per run and turn pair."""
+    texts = table(spark, sf_dir, "conversations").where(F.col("role").isin("user", "assistant"))
+    metrics = texts.select(
+        F.col("conv_id").alias("run_id"),
+        F.when(F.col("role") == "user", BEFORE_LENGTH).otherwise(AFTER_LENGTH).alias("key"),
+        tx.text_length(F.col("text")).cast("double").alias("value"),
+    )
+    compared = tr.compare_runs(metrics, F.col("key") == BEFORE_LENGTH, F.col("key") == AFTER_LENGTH, by=("run_id",))
+    return compared.select("run_id", rounded("before"), rounded("after"), rounded("delta"))
+
+
+def final_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """End-of-run utilisation of every run as metric rows."""
+    samples = table(spark, sf_dir, "events").withColumnRenamed("event_type", "run_id")
+    stats = utilization_stats(samples, ["run_id"], "value")
+    return tr.to_long(stats, ["run_id"], FINAL_METRICS).select("run_id", "key", rounded("value"))
+
+
+def block_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Block means as metric rows, tagged with the step of the block's last sample."""
+    samples = table(spark, sf_dir, "events").withColumnRenamed("event_type", "run_id")
+    blocks = block_means(samples, ["run_id", "user_id"], "value", "ts", "event_id")
+    long = tr.to_long(blocks, ["run_id", "user_id", "event_id", "ts"], BLOCK_METRICS)
+    return long.select("run_id", "user_id", "key", rounded("value"), F.col("event_id").alias("step"), "ts")
+
+
 def missing_required(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that should have a label and have none."""
     required = table(spark, sf_dir, "documents").select("doc_id")
@@ -98,6 +137,9 @@ QUERIES = {
     "params_long": params_long,
     "artifacts_roundtrip": artifacts_roundtrip,
     "compare_runs": compare_runs,
+    "compare_generations": compare_generations,
+    "final_metrics": final_metrics,
+    "block_metrics": block_metrics,
     "missing_required": missing_required,
     "quality_gate": quality_gate,
     "derive_names": derive_names,
@@ -146,6 +188,27 @@ ORACLE = {
         later AS (SELECT key, avg(value) AS value FROM points WHERE l_linestatus = 'O' GROUP BY key)
         SELECT key, round(b.value, 4) AS before, round(a.value, 4) AS after, round(a.value - b.value, 4) AS delta
         FROM earlier b FULL JOIN later a USING (key)""",
+    "compare_generations": """
+        WITH lengths AS (SELECT conv_id AS run_id, role, length(text) AS n FROM conversations
+                         WHERE role IN ('user', 'assistant')),
+        compared AS (SELECT run_id, avg(n) FILTER (WHERE role = 'user') AS before,
+                            avg(n) FILTER (WHERE role = 'assistant') AS after
+                     FROM lengths GROUP BY run_id)
+        SELECT run_id, round(before, 6) AS before, round(after, 6) AS after, round(after - before, 6) AS delta
+        FROM compared""",
+    "final_metrics": """
+        WITH stats AS (SELECT event_type AS run_id, avg(value) AS a, min(value) AS lo, max(value) AS hi
+                       FROM events GROUP BY event_type)
+        SELECT run_id, 'training/final_avg_gpu_utilization' AS key, round(a, 6) AS value FROM stats
+        UNION ALL SELECT run_id, 'training/min_gpu_utilization', lo FROM stats
+        UNION ALL SELECT run_id, 'training/max_gpu_utilization', hi FROM stats""",
+    "block_metrics": """
+        WITH numbered AS (
+            SELECT *, (row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts, event_id) - 1) // 10 AS block
+            FROM events)
+        SELECT event_type AS run_id, user_id, 'training/avg_gpu_utilization' AS key, round(avg(value), 6) AS value,
+               arg_max(event_id, ts) AS step, max(ts) AS ts
+        FROM numbered GROUP BY event_type, user_id, block HAVING count(*) = 10""",
     "missing_required": "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "quality_gate": """
         SELECT source, bool_and(quality = 1) AS all_ok, bool_or(toxic = 1) AS any_flag

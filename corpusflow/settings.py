@@ -29,7 +29,7 @@ THROTTLE_SECONDS = 5
 BLOCK_SIZE = 10
 DEVICE_FIELDS = 8
 
-# keys of the run parameters and of the metric dictionaries
+# keys of the run parameters
 PARAM_KEYS = (
     "model_name",
     "dataset_name",
@@ -41,5 +41,22 @@ PARAM_KEYS = (
     "num_gpus",
 )
 
+# metric keys: column of a wide table -> key of the long one
+SYSTEM_METRICS = {
+    "cpu_percent": "system/cpu_percent",
+    "memory_percent": "system/memory_percent",
+    "gpu_utilization": "system/gpu_utilization",
+    "gpu_memory_gb": "system/gpu_memory_gb",
+    "gpu_memory_reserved_gb": "system/gpu_memory_reserved_gb",
+}
+BLOCK_METRICS = {"block_mean": "training/avg_gpu_utilization"}
+FINAL_METRICS = {
+    "avg_utilization": "training/final_avg_gpu_utilization",
+    "min_utilization": "training/min_gpu_utilization",
+    "max_utilization": "training/max_gpu_utilization",
+}
+BEFORE_LENGTH = "evaluation/before_training_length"
+AFTER_LENGTH = "evaluation/after_training_length"
+
 # A key with more rows than this is worked on in several tasks (see operators.hot_keys).
 ROWS_PER_CHUNK = 1_000_000

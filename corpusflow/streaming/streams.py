@@ -22,15 +22,16 @@ from corpusflow.sources.device_log import HISTORY_OPTIONS
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A session of the same application with the settings stateful queries need.
 
-    The caller's session keeps its own settings.
+    The caller's session keeps its own settings. A query's number of state
+    partitions is fixed by its first run; one per core unless given.
     """
     session = spark.newSession()
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     session.conf.set("spark.sql.session.timeZone", "UTC")
-    session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    session.conf.set("spark.sql.shuffle.partitions", state_partitions or spark.sparkContext.defaultParallelism)
     return session
 
 

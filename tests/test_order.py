@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusflow.plans import order
+from corpusflow.session import stored
 
 
 def ids(spark, n):
@@ -102,13 +103,14 @@ def test_plan_moves_rows_once_and_reads_keys_only(spark, sf_dir):
     assert "ReadSchema: struct<doc_id:bigint,text" not in plan
 
 
-def test_counting_buckets_does_not_tokenise(spark, sf_dir):
+def test_counting_buckets_reads_keys_only(spark, sf_dir):
     from corpusflow.operators.tokenize import token_ids
 
-    tokens = token_ids(spark.read.parquet(f"{sf_dir}/documents.parquet"), ["doc_id"])
+    tokens = stored(token_ids(spark.read.parquet(f"{sf_dir}/documents.parquet"), ["doc_id"]), "tokens")
     plan = plan_of(order.collate_batches(order.batch_plan(order.shard_assignment(tokens, ["doc_id"], epochs=1))))
-    assert plan.count("conv(") == 1
-    assert "SortMergeJoin" not in plan
+    assert plan.count("ReadSchema: struct<doc_id:bigint,ids:array<int>>") == 1
+    assert plan.count("ReadSchema: struct<doc_id:bigint>") == 1
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 4
 
 
 def test_latest_k_prunes_before_the_shuffle(spark, sf_dir):

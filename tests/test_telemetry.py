@@ -98,6 +98,24 @@ def test_throttle(samples, rows, chunk, gap):
     assert sorted(r.id for r in found.collect()) == sorted(expected)
 
 
+@pytest.mark.parametrize("batch", [10_000, 2])
+def test_throttle_of_dense_series(spark, batch):
+    """Slices shorter than the gap, a device of its own in each partition, tiny Arrow batches."""
+    rng = random.Random(5)
+    rows = [(d, i, at(rng.uniform(0, 60)), 0.0) for i in range(600) for d in [rng.choice([0, 0, 0, 1])]]
+    df = spark.createDataFrame(rows, SCHEMA)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        kept = {
+            gap: sorted(r.id for r in tm.throttle(df, ["device"], "ts", "id", seconds=gap, rows_per_chunk=20).collect())
+            for gap in (0.01, 0.7, 20)
+        }
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for gap, found in kept.items():
+        assert found == sorted(i for group in by_device(rows).values() for i in brute_throttle(group, gap))
+
+
 def test_throttle_literal(spark):
     df = spark.createDataFrame([(1, i, at(t), 0.0) for i, t in enumerate([0, 2, 4, 5, 6, 11, 12])], SCHEMA)
     kept = tm.throttle(df, ["device"], "ts", "id").collect()
