@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, TimestampType
 
+# zones in which a calendar time is an instant, so that the cheap conversion is exact
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
+
 
 def mib_to_gib(value: Column) -> Column:
     """Device memory: mebibytes to gibibytes."""
@@ -34,6 +37,8 @@ def micros(df: DataFrame, ts: str) -> Column:
     """
     if isinstance(df.schema[ts].dataType, TimestampType):
         return F.unix_micros(ts)
+    if df.sparkSession.conf.get("spark.sql.session.timeZone") in UTC_NAMES:
+        return F.unix_micros(F.col(ts).cast("timestamp"))
     days = F.unix_date(F.col(ts).cast("date")).cast("bigint")
     minutes = days * 1440 + F.hour(ts) * 60 + F.minute(ts)
     return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), F.col(ts)) * 1_000_000).cast("bigint")

@@ -193,10 +193,11 @@ def test_statistics_and_latest(spark):
     assert latest == {1: (3.0, at(5)), 2: (None, at(1))}
 
 
-def test_micros_counts_calendar_time_in_any_time_zone(spark):
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin"])
+def test_micros_counts_calendar_time_in_any_time_zone(spark, zone):
     moments = [datetime.datetime(2024, 3, 31, 2, 30, 0, 5), datetime.datetime(1969, 12, 31, 23, 59, 59, 999999)]
     session = spark.newSession()
-    session.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    session.conf.set("spark.sql.session.timeZone", zone)
     df = session.createDataFrame([(m,) for m in moments], "ts timestamp_ntz")
     us = df.select("ts", v.micros(df, "ts").alias("us"))
     back = us.select("us", v.from_micros("us", df.schema["ts"].dataType).alias("ts")).collect()
