@@ -64,6 +64,19 @@ def causal_labels(
     raise ValueError(f"unknown mask mode {mask!r}")
 
 
+def padded_labels(
+    ids: Column,
+    max_length: int,
+    mask: str = "pad_id",
+    pad_id: int | Column | None = None,
+    side: str = "right",
+    ignore_index: int = IGNORE_INDEX,
+) -> Column:
+    """:func:`causal_labels` of a padded row, from its unpadded ids: only real tokens are looked at."""
+    real = ids if mask == "attention" else causal_labels(ids, mask, pad_id=pad_id, ignore_index=ignore_index)
+    return pad(real, max_length, ignore_index, side)
+
+
 def pad_token(pad: Column, eos: Column) -> Column:
     """The pad token, or the end-of-text token when there is none."""
     return F.coalesce(pad, eos)

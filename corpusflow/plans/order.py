@@ -172,21 +172,15 @@ def collate_batches(
     rows = plan.groupBy("epoch", "step", "micro_batch", "rank").agg(
         F.array_sort(F.collect_list(F.struct("slot", "ids"))).alias("_rows")
     )
-    padded = rows.select(
+    return rows.select(
         "epoch",
         "step",
         "micro_batch",
         "rank",
         F.transform("_rows", lambda r: tx.pad(r["ids"], max_length, pad_id, side)).alias("input_ids"),
         F.transform("_rows", lambda r: tx.attention_mask(F.size(r["ids"]), max_length, side)).alias("attention_mask"),
+        F.transform("_rows", lambda r: tx.padded_labels(r["ids"], max_length, mask, pad_id, side)).alias("labels"),
     )
-    if mask == "pad_id":
-        labels = F.transform("input_ids", lambda ids: tx.causal_labels(ids, "pad_id", pad_id=pad_id))
-    else:
-        labels = F.zip_with(
-            "input_ids", "attention_mask", lambda ids, m: tx.causal_labels(ids, mask, attention=m)
-        )
-    return padded.withColumn("labels", labels)
 
 
 def keep_latest(df: DataFrame, keys: list[str], order: list[str], k: int) -> DataFrame:

@@ -50,6 +50,18 @@ def test_labels_when_pad_is_end_of_text(spark):
             tx.causal_labels(F.col("ids"), **bad)
 
 
+@pytest.mark.parametrize("side", ["left", "right"])
+@pytest.mark.parametrize("mask", ["pad_id", "attention"])
+def test_labels_from_unpadded_ids(spark, side, mask):
+    df = spark.createDataFrame([([7, 2, 9],), ([],), ([2] * 6,)], "ids array<int>")
+    padded = df.select("ids", tx.pad(F.col("ids"), 6, 2, side).alias("x"), tx.attention_mask(F.size("ids"), 6, side).alias("m"))
+    both = padded.select(
+        tx.causal_labels(F.col("x"), mask, pad_id=2, attention=F.col("m")),
+        tx.padded_labels(F.col("ids"), 6, mask, pad_id=2, side=side),
+    )
+    assert all(a == b for a, b in both.collect())
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(values=st.lists(st.text(alphabet="ab çé\n\t", max_size=40), min_size=1, max_size=30), length=st.integers(1, 9))
 def test_rows_have_the_fixed_length(spark, values, length):
