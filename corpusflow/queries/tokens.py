@@ -1,6 +1,7 @@
 """Tokenisation to fixed length."""
 
 import importlib.util
+from pathlib import Path
 
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -75,7 +76,7 @@ def tokenize_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A trained byte-level tokenizer without a pad token: padding falls back to end-of-text."""
     import public_tokenizers
 
-    definition = tok.read_tokenizer(spark, f"file://{public_tokenizers.path('byte_bpe_50k.json')}")
+    definition = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text()
     ids = tok.subword_ids(_texts(spark, sf_dir), ["doc_id"], definition)
     return tok.fixed_length(ids, pad_id=tok.pad_id_of(definition, None, "<|endoftext|>"))
 

@@ -36,12 +36,25 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
 
 
 def read_landing(
-    spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema,
+    fmt: str = "parquet",
+    files_per_trigger: int | None = None,
+    bytes_per_trigger: int = 1 << 30,
 ) -> DataFrame:
-    """Files arriving in a directory, oldest first; ``files_per_trigger`` bounds a micro-batch."""
+    """Files arriving in a directory, oldest first.
+
+    A micro-batch takes at most ``files_per_trigger`` files if given, else about
+    ``bytes_per_trigger``. A stateful operator sorts a key's rows of one
+    micro-batch in memory, so even a key that holds most of them stays small;
+    a backlog is worked off in several micro-batches.
+    """
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    else:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     return reader.load(path)
 
 
@@ -144,7 +157,7 @@ def _stateful(events, key, value, ts, tie, processor, schema) -> DataFrame:
 
 
 def _in_order(rows: Iterator[pd.DataFrame], tie: str) -> pd.DataFrame:
-    """A key's rows of one micro-batch; its size is bounded by the trigger options."""
+    """A key's rows of one micro-batch; ``read_landing`` bounds its size."""
     return pd.concat(list(rows), ignore_index=True).sort_values(["at_us", tie], ignore_index=True)
 
 

@@ -124,3 +124,15 @@ def test_the_callers_settings_stay(spark):
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     st.stream_session(spark)
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+
+
+def test_a_backlog_is_cut_into_batches_by_bytes(spark, events, days, tmp_path):
+    landing = tmp_path / "landing"
+    land(days, landing)
+    size = max(f.stat().st_size for f in days)
+    stream = st.read_landing(
+        st.stream_session(spark), str(landing), events.schema, bytes_per_trigger=2 * size
+    ).select("event_id")
+    query = st.run(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    assert 2 < len([p for p in query.recentProgress if p["numInputRows"]]) < len(days)
+    assert spark.read.schema("event_id bigint").parquet(str(tmp_path / "out")).count() == events.count()
