@@ -4,7 +4,7 @@ A key with more than ``rows_per_chunk`` rows is cut into consecutive slices of
 its ordering column. Every slice is worked on by its own task, and the little
 that has to pass from one slice to the next (a count, the last value) goes
 through a summary of one row per slice. There are at most ``rows /
-rows_per_chunk`` such keys and ``2 * rows / rows_per_chunk`` slices, which is
+rows_per_chunk`` such keys and ``4 * rows / rows_per_chunk`` slices, which is
 what makes the summaries safe to broadcast. Keys below the limit keep
 ``chunk`` NULL and take the ordinary single-shuffle path.
 """
@@ -28,26 +28,39 @@ def join_small(df: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(F.broadcast(renamed), condition, "left").drop(*[f"_key_{k}" for k in keys])
 
 
+def _cut_bounds(df: DataFrame, keys: list[str], along: str, limit: int, rows: int, min_width: int) -> DataFrame:
+    """Start and slice width of the groups of more than ``limit`` rows."""
+    even = F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.ceil(F.col("_n") / rows))
+    return (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(along).alias("_lo"), F.max(along).alias("_hi"))
+        .where(F.col("_n") > limit)
+        .select(*keys, "_lo", F.greatest(even, F.least(F.lit(min_width), even * 8)).alias("_width"))
+    )
+
+
 def split_hot_keys(
     df: DataFrame, keys: list[str], along: str, rows_per_chunk: int = ROWS_PER_CHUNK, min_width: int = 1
 ) -> DataFrame:
     """Add ``chunk``: NULL for ordinary keys, the slice number along ``along`` (an integer column) for hot ones.
 
-    Slices of a key are equally wide. ``min_width`` asks for wider ones, of up
-    to eight times as many rows.
+    Slices of a key are equally wide; where its rows crowd together, a slice
+    that is still too large is cut once more. Numbers grow along ``along``.
+    ``min_width`` asks for wider slices, of up to eight times as many rows.
     """
-    slices = F.ceil(F.col("_n") / rows_per_chunk)
-    even = F.ceil((F.col("_hi") - F.col("_lo") + 1) / slices)
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(along).alias("_lo"), F.max(along).alias("_hi"))
-        .where(F.col("_n") > rows_per_chunk)
-        .select(*keys, "_lo", F.greatest(even, F.least(F.lit(min_width), even * 8)).alias("_width"))
+    bounds = _cut_bounds(df, keys, along, rows_per_chunk, rows_per_chunk, min_width)
+    outer = (
+        join_small(df, bounds, keys)
+        .withColumn("_outer", F.expr(f"({along} - _lo) div _width"))
+        .drop("_lo", "_width")
     )
+    crowded = 2 * rows_per_chunk * (8 if min_width > 1 else 1)
+    sliced = outer.where(F.col("_outer").isNotNull())
+    bounds = _cut_bounds(sliced, [*keys, "_outer"], along, crowded, rows_per_chunk, min_width)
     return (
-        join_small(df, hot, keys)
-        .withColumn("chunk", F.expr(f"({along} - _lo) div _width"))
-        .drop("_lo", "_width")
+        join_small(outer, bounds, [*keys, "_outer"])
+        .withColumn("chunk", F.expr(f"_outer * {1 << 32} + coalesce(({along} - _lo) div _width, 0)"))
+        .drop("_outer", "_lo", "_width")
     )
 
 

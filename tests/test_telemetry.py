@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions import values as v
 from corpusflow.operators import telemetry as tm
-from corpusflow.operators.hot_keys import index_within
+from corpusflow.operators.hot_keys import index_within, split_hot_keys
 
 EPOCH = datetime.datetime(2024, 1, 1)
 SCHEMA = "device int, id bigint, ts timestamp_ntz, value double"
@@ -59,6 +59,20 @@ def test_index_within(samples, rows, chunk):
     assert found == {r[1]: i for group in by_device(rows).values() for i, r in enumerate(group)}
 
 
+def test_crowded_slices_are_cut_again(spark):
+    """Nearly all rows of the hot key within a thousandth of its span."""
+    rows = [(0, i, at(1000 if i == 0 else 500 + i / 2000), 1.0) for i in range(2000)] + [(1, 5000, at(0), 1.0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    df = df.withColumn("_us", v.micros(df, "ts"))
+    split = split_hot_keys(df, ["device"], "_us", 100)
+    sizes = {r["chunk"]: (r["n"], r["lo"], r["hi"]) for r in split.groupBy("chunk").agg(
+        F.count("*").alias("n"), F.min("_us").alias("lo"), F.max("_us").alias("hi")).collect()}
+    assert sizes.pop(None)[0] == 1
+    assert sum(n for n, _, _ in sizes.values()) == 2000 and max(n for n, _, _ in sizes.values()) <= 200
+    ordered = [sizes[c] for c in sorted(sizes)]
+    assert all(a[2] < b[1] for a, b in zip(ordered, ordered[1:]))
+
+
 @pytest.mark.parametrize("chunk", CHUNKS)
 def test_block_means(samples, rows, chunk):
     found = tm.block_means(samples, ["device"], "value", "ts", "id", rows_per_chunk=chunk).collect()
