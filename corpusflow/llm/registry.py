@@ -1,8 +1,8 @@
 """Registered queries of the subpackage and their SQL counterparts."""
 
-from corpusflow.llm import packing
+from corpusflow.llm import packing, simhash
 
-_MODULES = (packing,)
+_MODULES = (packing, simhash)
 
 
 def queries() -> dict:
