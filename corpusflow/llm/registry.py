@@ -1,8 +1,8 @@
 """Registered queries of the subpackage and their SQL counterparts."""
 
-from corpusflow.llm import packing, simhash
+from corpusflow.llm import merkle, packing, simhash
 
-_MODULES = (packing, simhash)
+_MODULES = (packing, simhash, merkle)
 
 
 def queries() -> dict:
