@@ -1,8 +1,8 @@
 """Registered queries of the subpackage and their SQL counterparts."""
 
-from corpusflow.llm import licenses, merkle, packing, simhash
+from corpusflow.llm import langid, licenses, merkle, packing, simhash
 
-_MODULES = (packing, simhash, merkle, licenses)
+_MODULES = (packing, simhash, merkle, licenses, langid)
 
 
 def queries() -> dict:
