@@ -108,17 +108,15 @@ class Recent:
         self.kept.setdefault("young", {})
         self.kept.setdefault("old", {})
 
-    def values(self, keys: Iterable, make) -> dict:
-        """Values of distinct ``keys``; ``make`` turns a list of unknown keys into theirs."""
+    def values(self, keys: set, make) -> dict:
+        """A dict with the values of ``keys`` (and others); ``make`` turns a list of unknown keys into theirs."""
         young, old = self.kept["young"], self.kept["old"]
-        found = {k: young.get(k) for k in keys}
-        missing = [k for k, v in found.items() if v is None]
+        missing = keys.difference(young)
         if missing:
-            kept = {k: old[k] for k in missing if k in old}
-            unknown = [k for k in missing if k not in kept] if kept else missing
-            kept.update(zip(unknown, make(unknown)))
-            found.update(kept)
-            young.update(kept)
+            unknown = missing.difference(old)
+            young.update((k, old[k]) for k in missing - unknown)
+            asked = list(unknown)
+            young.update(zip(asked, make(asked)))
         if len(young) > self.limit:
             self.kept["old"], self.kept["young"] = young, {}
-        return found
+        return young

@@ -9,6 +9,7 @@ sum-of-squares algorithm for bin packing").
 
 from __future__ import annotations
 
+import gc
 import os
 import zlib
 from collections.abc import Iterator
@@ -25,7 +26,7 @@ from corpusflow.session import stored
 CAPACITY = 2048
 END_ID = 0
 PIECES_PER_TASK = 200_000
-CACHED_CHUNKS = 250_000
+CACHED_CHUNKS = 350_000
 TOKENIZER = "word_bpe_49k.json"
 # The pre-tokenisation pattern and the byte alphabet of the public tokenizer.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -72,7 +73,7 @@ class ChunkIds:
     def _make_chunks(self, chunks: list[str]) -> list[bytes]:
         plain = [not self.whole(c) for c in chunks]
         words = [self.find(c.lower()) if p else () for c, p in zip(chunks, plain)]
-        ids = self.words.values(dict.fromkeys(chain.from_iterable(words)), self._make_words)
+        ids = self.words.values(set(chain.from_iterable(words)), self._make_words)
         return [
             (ids[ws[0]] if len(ws) == 1 else b"".join([ids[w] for w in ws])) if p else self._whole(c)
             for c, p, ws in zip(chunks, plain, words)
@@ -101,6 +102,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # millions of small strings and no cycles
         encode, end = ChunkIds(tokenizer), np.array([end_id], "<u4").tobytes()
         step = 4 * capacity
         for part in slices(batches, max_bytes=8 << 20):
