@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from corpusflow.llm.common import doc_texts, parallelism, slices, table
 from corpusflow.session import stored
 
-LEAF = re.compile(rb"[^.!?,;:\n|#$%&*]*[.!?,;:\n|#$%&*]+\s*|[^.!?,;:\n|#$%&*]+")
+LEAF = re.compile(rb"[^.!?;:\n|#$%&*]*[.!?;:\n|#$%&*]+\s*|[^.!?;:\n|#$%&*]+")
 ROOT_BYTES = 16
 ENDS_PARAGRAPH, ENDS_SECTION = 1 << 22, 1 << 23
 SECTION_PARAGRAPHS = 8

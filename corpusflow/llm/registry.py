@@ -1,8 +1,8 @@
 """Registered queries of the subpackage and their SQL counterparts."""
 
-from corpusflow.llm import langid, licenses, merkle, packing, simhash
+from corpusflow.llm import langid, licenses, merkle, packing, quality, simhash
 
-_MODULES = (packing, simhash, merkle, licenses, langid)
+_MODULES = (packing, simhash, merkle, licenses, langid, quality)
 
 
 def queries() -> dict:
