@@ -1,8 +1,8 @@
 """Quality classifier: nearest labelled neighbours in a latent-semantic space.
 
 Texts are counts of hashed byte trigrams (case and punctuation count), weighted
-by IDF and projected on the leading singular vectors of a labelled sample. The
-sample's vectors are broadcast; every document is compared with all of them, a
+by IDF and projected on the leading singular vectors of a labelled sample; the share of
+repeated words is one more coordinate. The sample's vectors are broadcast; every document is compared with all of them, a
 block at a time, and its nearest neighbours vote with their similarity.
 """
 
@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,7 @@ ROWS_PER_LABEL = 1500
 NEIGHBOURS = 25
 SHARPNESS = 4
 BLOCK = 1024
+REPEAT_WEIGHT = 1.5
 
 
 def trigram_counts(text: bytes, buckets: int = BUCKETS) -> np.ndarray:
@@ -35,6 +38,13 @@ def trigram_counts(text: bytes, buckets: int = BUCKETS) -> np.ndarray:
     return np.bincount(code >> np.uint32(32 - (buckets.bit_length() - 1)), minlength=buckets)
 
 
+def features(text: bytes, buckets: int = BUCKETS) -> np.ndarray:
+    """Trigram counts, then how many words equal the word before them, then the number of words."""
+    words = text.split()
+    repeated = sum(map(eq, words, islice(words, 1, None)))
+    return np.append(trigram_counts(text, buckets), (repeated, len(words)))
+
+
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """Rows of log counts times IDF, of unit length (a row without trigrams stays zero)."""
     rows = np.log1p(counts) * idf
@@ -52,8 +62,8 @@ class Neighbours:
 
     @classmethod
     def fit(cls, counts: np.ndarray, labels: np.ndarray, rank: int = RANK) -> Neighbours:
-        idf = np.log((len(counts) + 1) / ((counts > 0).sum(axis=0) + 1)) + 1
-        x = weighted(counts, idf)
+        idf = np.log((len(counts) + 1) / ((counts[:, :-2] > 0).sum(axis=0) + 1)) + 1
+        x = weighted(counts[:, :-2], idf)
         rank = max(1, min(rank, *x.shape))
         sketch = x @ np.random.default_rng(0).standard_normal((x.shape[1], min(rank + 16, x.shape[1])))
         for _ in range(3):  # subspace iteration towards the leading right singular vectors
@@ -61,7 +71,14 @@ class Neighbours:
             sketch = x @ basis
         _, _, right = np.linalg.svd(sketch, full_matrices=False)
         basis = basis @ right[:rank].T
-        return cls(idf, basis, cls._unit(x @ basis), labels.astype(float))
+        return cls(idf, basis, cls._vectors(counts, idf, basis), labels.astype(float))
+
+    @classmethod
+    def _vectors(cls, counts: np.ndarray, idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
+        """Unit latent vectors with the weighted share of repeated words as one more coordinate, of unit length again."""
+        latent = cls._unit(weighted(counts[:, :-2], idf) @ basis)
+        repeated = REPEAT_WEIGHT * counts[:, -2:-1] / np.maximum(counts[:, -1:], 1)
+        return cls._unit(np.hstack([latent, repeated]))
 
     @staticmethod
     def _unit(rows: np.ndarray) -> np.ndarray:
@@ -69,7 +86,7 @@ class Neighbours:
 
     def scores(self, counts: np.ndarray, k: int = NEIGHBOURS) -> np.ndarray:
         """Similarity-weighted share of label 1 among the ``k`` nearest; the sample's share for rows without trigrams."""
-        cosine = self._unit(weighted(counts, self.idf) @ self.basis) @ self.vectors.T
+        cosine = self._vectors(counts, self.idf, self.basis) @ self.vectors.T
         k = min(k, cosine.shape[1])
         near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
         weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 0) ** SHARPNESS
@@ -93,7 +110,7 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_label: int = ROWS_PER_LAB
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            counts = [trigram_counts(t).astype("<u4").tobytes() for t in part.column("text").to_pylist()]
+            counts = [features(t).astype("<u4").tobytes() for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("quality"), pa.array(counts, pa.binary())], ["doc_id", "quality", "counts"]
             )
@@ -108,7 +125,7 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_label: int = ROWS_PER_LAB
     if not rows:
         return None
     rows.sort(key=lambda r: (r.doc_id, bytes(r.counts)))
-    counts = np.vstack([np.frombuffer(r.counts, "<u4") for r in rows])
+    counts = np.vstack([np.frombuffer(r.counts, "<u4").astype(np.int64) for r in rows])
     return Neighbours.fit(counts, np.array([r.quality for r in rows]))
 
 
@@ -125,7 +142,7 @@ def score_quality(docs: DataFrame, model: Neighbours | None) -> DataFrame:
         for part in slices(batches):
             for start in range(0, part.num_rows, BLOCK):
                 block = part.slice(start, BLOCK)
-                counts = np.vstack([trigram_counts(t) for t in block.column("text").to_pylist()])
+                counts = np.vstack([features(t) for t in block.column("text").to_pylist()])
                 yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(model.scores(counts))], ["doc_id", "score"])
 
     return doc_texts(docs).mapInArrow(run, "doc_id bigint, score double")
