@@ -1,8 +1,8 @@
 """Registered queries of the subpackage and their SQL counterparts."""
 
-from corpusflow.llm import langid, licenses, merkle, packing, pieces, quality, simhash
+from corpusflow.llm import langid, licenses, maxent, merkle, packing, pieces, quality, simhash
 
-_MODULES = (packing, simhash, merkle, licenses, langid, quality, pieces)
+_MODULES = (packing, simhash, merkle, licenses, langid, quality, pieces, maxent)
 
 
 def queries() -> dict:
