@@ -1,8 +1,8 @@
 """Registered queries of the subpackage and their SQL counterparts."""
 
-from corpusflow.llm import embeddings, langid, licenses, maxent, merkle, packing, pieces, quality, simhash
+from corpusflow.llm import embeddings, langid, licenses, maxent, merkle, packing, pieces, quality, repeats, simhash
 
-_MODULES = (packing, simhash, merkle, licenses, langid, quality, pieces, maxent, embeddings)
+_MODULES = (packing, simhash, merkle, licenses, langid, quality, pieces, maxent, embeddings, repeats)
 
 
 def queries() -> dict:
