@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from types import ModuleType
 
 import pyarrow as pa
@@ -54,6 +54,18 @@ def slices(
             yield batch.slice(start)
 
 
+def filter_rows(docs: DataFrame, decider: Callable[[], Callable[[list[bytes | None]], Iterable[bool]]]) -> DataFrame:
+    """Rows of ``docs``, all columns, for whose text the decision is true; ``decider`` makes a task's deciding function."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decide = decider()
+        for part in slices(batches):
+            texts = part.column("text").cast(pa.binary()).to_pylist()
+            yield part.filter(pa.array(decide(texts), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def sorted_groups(
     batches: Iterable[pa.RecordBatch], key: str, min_rows: int = 1 << 15, measure: str | None = None, limit: int = 0
 ) -> Iterator[pa.Table]:

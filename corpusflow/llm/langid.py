@@ -9,7 +9,9 @@ words', and equal words are computed once.
 
 from __future__ import annotations
 
+import gc
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -221,6 +223,35 @@ def train(texts: DataFrame, pieces: Pieces, train_docs: int = TRAIN_DOCS, rounds
     return langs, p
 
 
+class Identifier:
+    """Languages and posteriors of texts in one task."""
+
+    def __init__(self, pieces: Pieces, langs: list[str], p: np.ndarray):
+        import regex
+
+        self.pieces, self.langs, self.p = pieces, langs, p
+        self.letter = regex.compile(r"\p{L}").search
+        self.recent = Recent(f"langid_{zlib.crc32(p.tobytes())}", CACHED_WORDS)
+
+    def _make(self, words: list[str]) -> list[bytes]:
+        return [row.tobytes() for row in word_logs(self.pieces, self.p, words).astype(np.float32)]
+
+    def __call__(self, texts: list[bytes | None]) -> list[tuple[str, float]]:
+        plain = [t.decode() if t is not None else "" for t in texts]
+        words = [words_of(t) if self.langs and self.letter(t) else [] for t in plain]
+        logs = self.recent.values(set().union(*words), self._make)
+        out = []
+        for ws in words:
+            if not ws:
+                out.append((UNKNOWN, 0.0))
+                continue
+            rows = np.frombuffer(b"".join(map(logs.__getitem__, ws)), np.float32).reshape(len(ws), -1)
+            total = rows.sum(axis=0, dtype=np.float64)
+            best = int(total.argmax())
+            out.append((self.langs[best], float(1 / np.exp(total - total[best]).sum())))
+        return out
+
+
 def identify(docs: DataFrame, pieces: Pieces, langs: list[str], p: np.ndarray) -> DataFrame:
     """``doc_id``, ``lang_pred`` and ``score``, the posterior of that language for equal priors.
 
@@ -229,29 +260,10 @@ def identify(docs: DataFrame, pieces: Pieces, langs: list[str], p: np.ndarray) -
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        letter = regex.compile(r"\p{L}").search
-        recent = Recent(f"langid_{hash(p.tobytes())}", CACHED_WORDS)
-
-        def make(words: list[str]) -> list[bytes]:
-            return [row.tobytes() for row in word_logs(pieces, p, words).astype(np.float32)]
-
+        gc.disable()
+        predict = Identifier(pieces, langs, p)
         for part in slices(batches):
-            texts = part.column("text").cast(pa.string()).to_pylist()
-            words = [words_of(t) if langs and t is not None and letter(t) else [] for t in texts]
-            logs = recent.values(set().union(*words), make)
-            labels, scores = [], []
-            for ws in words:
-                if not ws:
-                    labels.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                rows = np.frombuffer(b"".join(map(logs.__getitem__, ws)), np.float32).reshape(len(ws), -1)
-                total = rows.sum(axis=0, dtype=np.float64)
-                best = int(total.argmax())
-                labels.append(langs[best])
-                scores.append(float(1 / np.exp(total - total[best]).sum()))
+            labels, scores = zip(*predict(part.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(labels, pa.string()), pa.array(scores, pa.float64())],
                 ["doc_id", "lang_pred", "score"],

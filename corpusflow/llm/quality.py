@@ -94,6 +94,11 @@ class Neighbours:
         vote = (weight * self.labels[near]).sum(axis=1) / np.maximum(total, 1e-300)
         return np.where(total > 0, np.clip(vote, 0, 1), self.labels.mean())
 
+    def score_texts(self, texts: list[bytes | None]) -> np.ndarray:
+        """Scores of texts, a block at a time; null counts as empty."""
+        blocks = [texts[at : at + BLOCK] for at in range(0, len(texts), BLOCK)]
+        return np.concatenate([self.scores(np.vstack([features(t or b"") for t in block])) for block in blocks])
+
 
 def train(docs: DataFrame, labels: DataFrame, rows_per_label: int = ROWS_PER_LABEL) -> Neighbours | None:
     """Fit on at most ``rows_per_label`` documents of each label 0 and 1, those with the smallest hashes of their id.
@@ -140,10 +145,8 @@ def score_quality(docs: DataFrame, model: Neighbours | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            for start in range(0, part.num_rows, BLOCK):
-                block = part.slice(start, BLOCK)
-                counts = np.vstack([features(t) for t in block.column("text").to_pylist()])
-                yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(model.scores(counts))], ["doc_id", "score"])
+            scores = model.score_texts(part.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
 
     return doc_texts(docs).mapInArrow(run, "doc_id bigint, score double")
 

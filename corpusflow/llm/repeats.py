@@ -12,12 +12,13 @@ prefix of ``window`` bytes or more are equal, and all but the first are repeats.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from corpusflow.llm.common import parallelism, slices, sorted_groups, table
 from corpusflow.llm.suffixes import permuted_common_prefixes, suffix_array
@@ -128,13 +129,14 @@ class Segments:
         self.n = np.concatenate([self.n[~hit], np.ones(len(start), np.int64)])
 
 
-def source_texts(docs: DataFrame) -> DataFrame:
-    """``id`` (a null doc_id comes first), ``h`` (15 bits of the text's hash) and ``text``, once for each such pair."""
+def source_texts(docs: DataFrame, carry: list[str]) -> DataFrame:
+    """``id`` (a null doc_id comes first), ``h`` (15 bits of the text's hash), ``text``, and columns to carry along by number."""
     text = F.coalesce("text", F.lit("")).cast("binary")
     return docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID).cast("bigint")).alias("id"),
         F.pmod(F.xxhash64(text), F.lit(1 << 15)).cast("bigint").alias("h"),
         text.alias("text"),
+        *[F.col(c).alias(f"_carry{i}") for i, c in enumerate(carry)],
     )
 
 
@@ -251,7 +253,8 @@ def decided_segments(anchored: DataFrame) -> DataFrame:
 
 
 def packed(texts: DataFrame) -> DataFrame:
-    """Texts compressed, as they are shuffled twice."""
+    """Texts compressed, as they are shuffled twice; other columns as they are."""
+    schema = StructType([StructField("z", BinaryType())] + [f for f in texts.schema if f.name != "text"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -259,9 +262,10 @@ def packed(texts: DataFrame) -> DataFrame:
         squeeze = zstandard.ZstdCompressor(level=1).compress
         for part in slices(batches):
             z = pa.array([squeeze(t) for t in part.column("text").to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("h"), z], ["id", "h", "z"])
+            others = [n for n in part.schema.names if n != "text"]
+            yield pa.RecordBatch.from_arrays([z, *map(part.column, others)], ["z", *others])
 
-    return texts.mapInArrow(run, "id bigint, h bigint, z binary")
+    return texts.mapInArrow(run, schema)
 
 
 def cut_segments(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
@@ -326,8 +330,8 @@ def covered(spans: list[int], window: int) -> list[tuple[int, int]]:
     return list(zip(start[new].tolist(), end[np.append(np.flatnonzero(new)[1:] - 1, len(s) - 1)].tolist()))
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` (bytes) for every row.
+def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, carry: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` (bytes) for every row, and the columns to ``carry`` along.
 
     "Earlier" goes by doc_id, then by place; rows without id come first. Rows
     that share a doc_id are told apart by (15 bits of) the hash of their texts
@@ -335,7 +339,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     result each of them gets. A null or empty text gives zeros and the digest of
     nothing.
     """
-    texts = source_texts(docs)
+    texts = source_texts(docs, list(carry))
     once = texts.select("id", "h", "text")
     crowded = crowded_anchors(once, window, gram)
     decided = stored(decided_segments(anchored_segments(once, crowded, window, gram)), "decided")
@@ -361,14 +365,20 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
                 rows.append((len(text), len(text) - len(left), len(ranges), hashlib.sha256(left).hexdigest(), left))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
             arrays = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-            yield pa.RecordBatch.from_arrays([part.column("id"), *arrays], ["id", *NAMES])
+            others = [n for n in part.schema.names if n.startswith("_carry")]
+            columns = [part.column("id"), *arrays, *map(part.column, others)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", *NAMES, *others])
 
-    joined = packed(once).join(per_text, ["id", "h"], "left").select("id", "z", "spans")
-    found = joined.mapInArrow(run, "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
-    return found.select(F.expr(f"nullif(id, bigint('{NO_ID}'))").alias("doc_id"), *NAMES)
+    joined = packed(texts).join(per_text, ["id", "h"], "left").drop("h")
+    taken = [f for f in joined.schema if f.name.startswith("_carry")]
+    schema = StructType.fromDDL(f"id bigint, {RESULT}")
+    found = joined.select("id", "z", "spans", *[f.name for f in taken]).mapInArrow(run, StructType(schema.fields + taken))
+    back = [F.col(f"_carry{i}").alias(c) for i, c in enumerate(carry)]
+    return found.select(F.expr(f"nullif(id, bigint('{NO_ID}'))").alias("doc_id"), *NAMES, *back)
 
 
-NAMES = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+RESULT = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
+NAMES = [c.split()[0] for c in RESULT.split(", ")]
 
 
 def op3_suffix_array_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
