@@ -140,7 +140,7 @@ def query_shards(each: DataFrame, graphs: DataFrame, shards: int, threshold: flo
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, work = None, None
+        place, work = None, None
 
         def flush() -> Iterator[pa.RecordBatch]:
             if work:
@@ -149,20 +149,18 @@ def query_shards(each: DataFrame, graphs: DataFrame, shards: int, threshold: flo
         for batch in batches:
             for start in range(0, batch.num_rows, QUERY_ROWS):
                 part = batch.slice(start, QUERY_ROWS)
-                kinds = part.column("kind").to_numpy()
-                cuts = [0, *(np.flatnonzero(kinds[1:] != kinds[:-1]) + 1).tolist(), part.num_rows]
+                kinds, keys, splits_ = (part.column(c).to_numpy() for c in ("kind", "key", "split"))
+                new = (kinds[1:] != kinds[:-1]) | (keys[1:] != keys[:-1]) | (splits_[1:] != splits_[:-1])
+                cuts = [0, *(np.flatnonzero(new) + 1).tolist(), part.num_rows]
                 for a, b in zip(cuts, cuts[1:]):
                     run_ = part.slice(a, b - a)
                     if kinds[a] == 0:
                         for raw in run_.column("graph").to_pylist():
                             yield from flush()
-                            shard = Shard.load(raw)
-                            work = _Work(shard, threshold)
-                    elif work is not None:  # a shard without vectors has no graph
-                        dim = shard.exact.shape[1]
-                        rows = run_.column("v").to_pylist()
-                        if len(rows[0]) == dim:
-                            work.ask(run_.column("node").to_numpy(), run_.column("copies").to_numpy(), _unit(rows))
+                            place, work = (keys[a], splits_[a]), _Work(Shard.load(raw), threshold)
+                    elif place == (keys[a], splits_[a]):  # a shard without vectors has no graph
+                        q = _unit(run_.column("v").to_pylist())
+                        work.ask(run_.column("node").to_numpy(), run_.column("copies").to_numpy(), q)
         yield from flush()
 
     dealt = (
@@ -170,7 +168,7 @@ def query_shards(each: DataFrame, graphs: DataFrame, shards: int, threshold: flo
         .repartition(shards * splits, "key", "split")
         .sortWithinPartitions("key", "split", "kind", "node")
     )
-    return dealt.select("kind", "node", "copies", "v", "graph").mapInArrow(run, FOUND)
+    return dealt.select("key", "split", "kind", "node", "copies", "v", "graph").mapInArrow(run, FOUND)
 
 
 class _Work:
