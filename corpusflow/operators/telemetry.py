@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from corpusflow.functions.values import micros
-from corpusflow.operators.hot_keys import index_within, join_small, number_chunks, split_hot_keys
+from corpusflow.operators.hot_keys import index_within, join_small, split_hot_keys
 from corpusflow.settings import BLOCK_SIZE, ROWS_PER_CHUNK, THROTTLE_SECONDS
 from corpusflow.sources.device_log import SAMPLE_FIELDS
 
@@ -49,42 +49,20 @@ def latest_value(samples: DataFrame, keys: list[str], value: str, ts: str, tie:
     ).select(*keys, F.col(f"_last.{value}").alias(value), F.col(f"_last.{ts}").alias(ts))
 
 
-def nest_snapshots(
-    samples: DataFrame,
-    snapshot: str,
-    order: list[str],
-    along: str,
-    max_devices: int = 4096,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
-) -> DataFrame:
-    """Snapshot documents ``timestamp, part, gpus, avg_utilization``.
+def nest_snapshots(samples: DataFrame, snapshot: str, host: str) -> DataFrame:
+    """Snapshot documents ``timestamp, host, gpus, avg_utilization``: one for each probe of a host.
 
-    A snapshot of more than ``max_devices`` samples is continued in further
-    records (``part`` 1, 2, ...) rather than gathered in one row; every part
-    carries the mean of the whole snapshot.
+    A document is as long as its host has devices. Means over all hosts of a
+    probe are those of :func:`snapshot_means`.
     """
-    split = split_hot_keys(samples, [snapshot], along, rows_per_chunk)
-    is_hot = F.col("chunk").isNotNull()
-    part = F.expr(f"idx div {max_devices}").alias("part")
-    documents = F.array_sort(F.collect_list(F.struct(*SAMPLE_FIELDS))).alias("gpus")
-
-    # ordinary snapshots: grouping and mean reuse the shuffle of the numbering
-    whole = Window.partitionBy(snapshot)
-    numbered = split.where(~is_hot).withColumn("idx", F.row_number().over(whole.orderBy(*order)) - 1)
-    ordinary = (
-        numbered.groupBy(snapshot, part)
-        .agg(documents, F.sum("utilization_gpu").alias("_sum"), F.count("utilization_gpu").alias("_n"))
-        .withColumn("avg_utilization", F.sum("_sum").over(whole) / F.sum("_n").over(whole))
+    return (
+        samples.groupBy(F.col(snapshot).alias("timestamp"), F.col(host).alias("host"))
+        .agg(
+            F.array_sort(F.collect_list(F.struct(*SAMPLE_FIELDS))).alias("gpus"),
+            F.avg("utilization_gpu").alias("avg_utilization"),
+        )
     )
 
-    # the few large ones: parts may cross slices, the means are broadcast
-    hot = split.where(is_hot)
-    means = hot.groupBy(snapshot).agg(F.avg("utilization_gpu").alias("avg_utilization"))
-    large = join_small(number_chunks(hot, [snapshot], order).groupBy(snapshot, part).agg(documents), means, [snapshot])
-
-    columns = [F.col(snapshot).alias("timestamp"), F.col("part").cast("bigint").alias("part"), "gpus", "avg_utilization"]
-    return ordinary.select(columns).unionByName(large.select(columns))
-
 
 def union_history(*histories: DataFrame) -> DataFrame:
     """Append histories, duplicates kept."""

@@ -9,6 +9,10 @@ from corpusflow.queries.tokens import DOCUMENT_IDS
 from corpusflow.session import spread, stored
 
 
+# other intervals than the default, so that saving and evaluation come due at different steps
+CALENDAR_SAVE, CALENDAR_EVAL = 500, 300
+
+
 def _ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id")
 
@@ -48,15 +52,18 @@ def effective_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def step_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order.step_calendar(spark, table(spark, sf_dir, "documents").count())
+    """The steps of a run over all line items on two ranks: long enough for saving and evaluation to come due."""
+    return order.step_calendar(
+        spark, table(spark, sf_dir, "lineitem").count(), world_size=2, save_steps=CALENDAR_SAVE, eval_steps=CALENDAR_EVAL
+    )
 
 
 def collate_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Corpus to labelled micro-batches of one epoch, placed on ranks and optimizer steps."""
+    """Corpus to labelled micro-batches of all epochs, placed on ranks and optimizer steps."""
     tokens = token_ids(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), ["doc_id"])
     # texts are read and tokenised once, however often the order is computed
     tokens = stored(tokens, "tokens")
-    plan = order.batch_plan(order.shard_assignment(tokens, ["doc_id"], epochs=1))
+    plan = order.batch_plan(order.shard_assignment(tokens, ["doc_id"]))
     return order.collate_batches(plan)
 
 
@@ -117,17 +124,19 @@ ORACLE = {
     "effective_batch": f"""
         WITH {_PLANNED}
         SELECT epoch, step, n_rows, is_partial, CAST(512 AS INTEGER) AS effective_batch FROM steps""",
+    # 2 ranks of 4 rows and 8 micro-batches: 64 rows a step
     "step_calendar": f"""
-        WITH {_PLANNED},
-        numbered AS (SELECT epoch, row_number() OVER (ORDER BY epoch, step) AS global_step FROM steps)
-        SELECT epoch, global_step, global_step % 10 = 0 AS log_due, global_step % 500 = 0 AS save_due,
-               global_step % 500 = 0 AS eval_due
+        WITH steps AS (SELECT CAST(ceil(ceil(count(*) / 2.0) / 32.0) AS BIGINT) AS per_epoch FROM lineitem),
+        numbered AS (SELECT unnest(range(1, 3 * per_epoch + 1)) AS global_step, per_epoch FROM steps)
+        SELECT CAST((global_step - 1) // per_epoch AS INTEGER) AS epoch, global_step,
+               global_step % 10 = 0 AS log_due, global_step % {CALENDAR_SAVE} = 0 AS save_due,
+               global_step % {CALENDAR_EVAL} = 0 AS eval_due
         FROM numbered""",
     "collate_batches": f"""
         WITH {_PLANNED}, {DOCUMENT_IDS},
         rows AS (
             SELECT p.epoch, p.step, p.micro_batch, p.rank, p.slot, t.ids
-            FROM planned p JOIN token_ids t ON t.doc_id = p.doc_id WHERE p.epoch = 0)
+            FROM planned p JOIN token_ids t ON t.doc_id = p.doc_id)
         SELECT epoch, step, micro_batch, rank,
                list(list_resize(ids, 2048, 0) ORDER BY slot) AS input_ids,
                list(list_resize(list_transform(ids, lambda x: CAST(1 AS INTEGER)), 2048, 0) ORDER BY slot)

@@ -73,15 +73,15 @@ def snapshot_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    samples = stored(_hourly_samples(spark, sf_dir), "samples")
-    samples = samples.withColumn("_us", v.micros(samples, "ts"))
-    return tm.nest_snapshots(samples, "snapshot", ["_us", "event_id"], "_us")
+    """A document per hour and user, who stands for a host here."""
+    samples = _hourly_samples(spark, sf_dir).withColumn("host", F.col("index").cast("bigint"))
+    return tm.nest_snapshots(samples, "snapshot", "host")
 
 
 def _flat(nested: DataFrame) -> DataFrame:
     return nested.select(
         "timestamp",
-        "part",
+        "host",
         F.col("gpus.index").alias("gpu_index"),
         F.col("gpus.name").alias("gpu_name"),
         F.col("gpus.utilization_gpu").alias("gpu_utilization"),
@@ -207,12 +207,12 @@ _HOURLY = f"""{PARSED},
 
 _NESTED = f"""
     WITH {_HOURLY}
-    SELECT snapshot AS timestamp, CAST(0 AS BIGINT) AS part,
+    SELECT snapshot AS timestamp, CAST(index AS BIGINT) AS host,
            list(index ORDER BY {{key}}) AS gpu_index, list(name ORDER BY {{key}}) AS gpu_name,
            list(utilization_gpu ORDER BY {{key}}) AS gpu_utilization,
            list(memory_used_gb ORDER BY {{key}}) AS gpu_memory_used,
            round(avg(utilization_gpu), 6) AS avg_utilization
-    FROM hourly GROUP BY snapshot""".format(
+    FROM hourly GROUP BY snapshot, index""".format(
     key="index, name, utilization_gpu, utilization_memory, memory_used_gb, memory_total_gb, temperature, power_draw"
 )
 

@@ -1,8 +1,5 @@
 """Tokenisation to fixed length."""
 
-import importlib.util
-from pathlib import Path
-
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +8,10 @@ from corpusflow.functions import text as tx
 from corpusflow.operators import tokenize as tok
 from corpusflow.queries.tables import table
 from corpusflow.session import spread
-from corpusflow.settings import EOS_ID, MAX_LENGTH
+from corpusflow.settings import MAX_LENGTH
 
+# the hash id of the word "the": a real token that looks like padding
+SHARED_PAD_ID = 466
 MODEL_GB = 1.1
 DEVICE_GB = 80.0
 
@@ -28,14 +27,15 @@ def tokenize_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tokenize_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second corpus has a two-column key and is padded on the left."""
     chats = spread(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
-    return tok.tokenize_fixed(chats, ["conv_id", "turn"], max_length=256, side="left")
+    return tok.tokenize_fixed(chats, ["conv_id", "turn"], side="left")
 
 
 def collate_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = tok.tokenize_fixed(_texts(spark, sf_dir), ["doc_id"], pad_id=EOS_ID)
+    """Labels in both modes where the pad id is also the id of a frequent word."""
+    rows = tok.tokenize_fixed(_texts(spark, sf_dir), ["doc_id"], pad_id=SHARED_PAD_ID)
     return rows.select(
         "doc_id",
-        tx.causal_labels(F.col("input_ids"), "pad_id", pad_id=EOS_ID).alias("labels_by_pad"),
+        tx.causal_labels(F.col("input_ids"), "pad_id", pad_id=SHARED_PAD_ID).alias("labels_by_pad"),
         tx.causal_labels(F.col("input_ids"), "attention", attention=F.col("attention_mask")).alias("labels_by_mask"),
     )
 
@@ -72,15 +72,6 @@ def udf_batched_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tok.batched_map(documents, measure, "doc_id bigint, n_words bigint, n_chars bigint, lower string")
 
 
-def tokenize_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A trained byte-level tokenizer without a pad token: padding falls back to end-of-text."""
-    import public_tokenizers
-
-    definition = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text()
-    ids = tok.subword_ids(_texts(spark, sf_dir), ["doc_id"], definition)
-    return tok.fixed_length(ids, pad_id=tok.pad_id_of(definition, None, "<|endoftext|>"))
-
-
 QUERIES = {
     "tokenize_fixed": tokenize_fixed,
     "tokenize_chats": tokenize_chats,
@@ -89,8 +80,6 @@ QUERIES = {
     "length_bucket_batches": length_bucket_batches,
     "udf_batched_map": udf_batched_map,
 }
-if importlib.util.find_spec("public_tokenizers") and importlib.util.find_spec("tokenizers"):
-    QUERIES["tokenize_subword"] = tokenize_subword
 
 # 32000 ids of which the first 3 are special, 2048 tokens, pad 0, end-of-text 2.
 HASH_IDS = """list_transform(words[1:{length}], lambda w:
@@ -113,15 +102,17 @@ ORACLE = {
         WITH split AS (SELECT conv_id, turn, regexp_extract_all(text, '\\S+') AS words
                        FROM conversations WHERE text IS NOT NULL),
              token_ids AS (SELECT conv_id, turn, CAST(len(words) AS INTEGER) AS n_tokens,
-                                  {HASH_IDS.format(length=256)} AS ids FROM split),
-             padded AS (SELECT *, list_resize(CAST([] AS INTEGER[]), 256 - len(ids), 0) AS filler FROM token_ids)
+                                  {HASH_IDS.format(length=MAX_LENGTH)} AS ids FROM split),
+             padded AS (SELECT *, list_resize(CAST([] AS INTEGER[]), {MAX_LENGTH} - len(ids), 0) AS filler FROM token_ids)
         SELECT conv_id, turn, n_tokens, list_concat(filler, ids) AS input_ids,
                list_concat(filler, list_transform(ids, lambda x: CAST(1 AS INTEGER))) AS attention_mask,
                list_concat(filler, ids) AS labels
         FROM padded""",
     "collate_labels": f"""
         WITH {DOCUMENT_IDS}
-        SELECT doc_id, list_resize(ids, 2048, -100) AS labels_by_pad,
+        SELECT doc_id,
+               list_resize(list_transform(ids, lambda x: CASE WHEN x = {SHARED_PAD_ID} THEN -100 ELSE x END), 2048, -100)
+                   AS labels_by_pad,
                list_resize(ids, 2048, -100) AS labels_by_mask
         FROM token_ids""",
     "pad_fallback": """

@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-SMALL_BYTES_PER_CORE = 16 << 20
-
-_local_base: dict[str, str] = {}
-
 
 def build_session(app_name: str = "corpusflow", master: str | None = None, **conf) -> SparkSession:
     """A session with adaptive execution on and UTC timestamps.
@@ -33,33 +28,26 @@ def build_session(app_name: str = "corpusflow", master: str | None = None, **con
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused folder under the cluster's shared ``spark.checkpoint.dir``.
+    """A new, unused folder under the shared folder of ``spark.checkpoint.dir``.
 
-    Only a local master may go without that setting; it then gets one temporary
-    folder per application.
+    Where the setting is absent, the folder given to ``setCheckpointDir`` is
+    used; there has to be one of them.
     """
     context = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        app = context.applicationId
-        if app not in _local_base:
-            _local_base[app] = tempfile.mkdtemp(prefix="corpusflow-")
-        base = _local_base[app]
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{base.rstrip('/')}/corpusflow/{label}-{uuid.uuid4().hex}"
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal a small input to all cores before heavy per-row work.
+    """Deal an input of fewer splits than there are cores to all cores, before heavy work per row.
 
-    A few files of one row group each would otherwise keep a few cores busy.
-    Input of more than 16 MB per core has splits enough and is returned as it
-    is, so large data is never shuffled for this.
+    Input of as many splits is returned as it is: data that fills a cluster is
+    never shuffled for this.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if estimate <= cores * SMALL_BYTES_PER_CORE else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -24,7 +24,7 @@ SAMPLE_SCHEMA = (
     "memory_used_gb DOUBLE, memory_total_gb DOUBLE, temperature DOUBLE, power_draw DOUBLE"
 )
 
-SNAPSHOT_SCHEMA = f"timestamp TIMESTAMP_NTZ, part BIGINT, gpus ARRAY<STRUCT<{SAMPLE_SCHEMA}>>, avg_utilization DOUBLE"
+SNAPSHOT_SCHEMA = f"timestamp TIMESTAMP_NTZ, host BIGINT, gpus ARRAY<STRUCT<{SAMPLE_SCHEMA}>>, avg_utilization DOUBLE"
 
 
 def read_device_lines(spark: SparkSession, path: str) -> DataFrame:

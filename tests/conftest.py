@@ -11,13 +11,14 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[4]",
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__driver__memory="6g",
+        spark__checkpoint__dir=tmp_path_factory.mktemp("shared").as_uri(),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

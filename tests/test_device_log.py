@@ -61,13 +61,13 @@ def test_snapshots_nest_and_survive_the_history_file(spark, tmp_path):
     moment = datetime.datetime(2024, 1, 2, 3, 4, 5, 678901)
     lines = [(moment, i, f"{i}, dev, {10 * i}, 1, 1024, 2048, 50, 7") for i in range(7)]
     df = spark.createDataFrame(lines, "snapshot timestamp_ntz, place bigint, line string")
-    samples = dl.accepted(dl.parse_device_lines(df))
-    nested = tm.nest_snapshots(samples, "snapshot", ["place"], "place", max_devices=3, rows_per_chunk=2)
+    samples = dl.accepted(dl.parse_device_lines(df)).withColumn("host", F.expr("place div 4"))
+    nested = tm.nest_snapshots(samples, "snapshot", "host")
     dl.append_history(nested, str(tmp_path / "h"))
     dl.append_history(nested.limit(0), str(tmp_path / "h"))
-    found = dl.read_history(spark, str(tmp_path / "h")).orderBy("part").collect()
-    assert [[g["index"] for g in r.gpus] for r in found] == [[0, 1, 2], [3, 4, 5], [6]]
-    assert all(r.timestamp == moment and r.avg_utilization == 30.0 for r in found)
+    found = dl.read_history(spark, str(tmp_path / "h")).orderBy("host").collect()
+    assert [[g["index"] for g in r.gpus] for r in found] == [[0, 1, 2, 3], [4, 5, 6]]
+    assert [(r.timestamp, r.host, r.avg_utilization) for r in found] == [(moment, 0, 15.0), (moment, 1, 50.0)]
 
 
 def test_snapshot_mean(spark):
@@ -82,32 +82,14 @@ def test_lines_are_split_once(spark):
     assert plan.count("split(") == 1
 
 
-@pytest.mark.parametrize("chunk", [1000, 40, 3])
-def test_large_snapshots_are_cut_into_whole_parts(spark, chunk):
-    # snapshot 0 has most rows, all of one device
-    rows = [(0 if i % 10 else i // 10 % 4, i, f"{i % 3}, dev, {i}, 1, 1024, 2048, 50, 7") for i in range(300)]
-    df = spark.createDataFrame(rows, "snapshot int, place bigint, line string")
-    samples = dl.accepted(dl.parse_device_lines(df))
-    found = tm.nest_snapshots(samples, "snapshot", ["place"], "place", max_devices=16, rows_per_chunk=chunk).collect()
-    for snapshot in range(4):
-        records = sorted((r for r in found if r.timestamp == snapshot), key=lambda r: r.part)
-        expected = [i for s, i, _ in rows if s == snapshot]
-        assert [r.part for r in records] == list(range(len(records)))
-        assert all(0 < len(r.gpus) <= 16 for r in records)
-        assert sorted(g.utilization_gpu for r in records for g in r.gpus) == expected
-        assert all(r.avg_utilization == pytest.approx(sum(expected) / len(expected)) for r in records)
-
-
-def test_documents_of_ordinary_snapshots_are_not_shuffled(spark, sf_dir):
+def test_documents_take_one_shuffle_and_no_join(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     wide = events.select(
         F.col("event_id"), F.date_trunc("hour", "ts").alias("snapshot"), F.col("user_id").cast("int").alias("index"),
         F.col("event_type").alias("name"), *[F.col("value").alias(c) for c in dl.SAMPLE_FIELDS[2:]],
     )
-    nested = tm.nest_snapshots(wide, "snapshot", ["event_id"], "event_id")
+    nested = tm.nest_snapshots(wide, "snapshot", "index")
     nested.collect()
     executed = nested._jdf.queryExecution().executedPlan().toString()
     final = executed[: executed.index("== Initial Plan ==")]
-    # the branch for large snapshots was empty and is gone; one shuffle, below the documents
     assert final.count("Exchange hashpartitioning") == 1 and "Join" not in final
-    assert "collect_list" not in final[final.index("Exchange hashpartitioning") :]

@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from corpusflow.session import spread, stored
+from corpusflow.session import spread, stored, work_dir
 from corpusflow.sources import corpus as src
 
 
@@ -86,11 +86,17 @@ def test_text_column(spark, sf_dir):
         src.text_column(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
-def test_spread_only_small_inputs(spark, sf_dir, monkeypatch):
+def test_spread_only_inputs_of_few_splits(spark, sf_dir):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    assert spread(documents).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    monkeypatch.setattr("corpusflow.session.SMALL_BYTES_PER_CORE", 1)
-    assert spread(documents) is documents
+    dealt = spread(documents)
+    assert dealt.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(dealt) is dealt
+
+
+def test_working_folders_lie_in_the_shared_one(spark):
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert work_dir(spark, "a").startswith(f"{base}/corpusflow/a-")
+    assert work_dir(spark, "a") != work_dir(spark, "a")
 
 
 def test_stored_keeps_rows_and_schema(spark, sf_dir):

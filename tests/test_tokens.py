@@ -86,43 +86,6 @@ def test_batched_map_checks_its_rows(spark):
         tok.batched_map(df, lambda c: {"n": [1]}, "n int").collect()
 
 
-def small_tokenizer(lines, special=("<unk>", "<s>", "</s>")):
-    from tokenizers import Tokenizer, models, pre_tokenizers, processors, trainers
-
-    tokenizer = Tokenizer(models.BPE(unk_token="<unk>"))
-    tokenizer.pre_tokenizer = pre_tokenizers.Whitespace()
-    tokenizer.train_from_iterator(lines, trainers.BpeTrainer(vocab_size=300, special_tokens=list(special)))
-    tokenizer.post_processor = processors.TemplateProcessing(
-        single="<s> $A </s>", special_tokens=[("<s>", tokenizer.token_to_id("<s>")), ("</s>", tokenizer.token_to_id("</s>"))]
-    )
-    return tokenizer
-
-
-def test_subword_rows_equal_the_library_itself(spark, sf_dir, tmp_path):
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    collected = {r.doc_id: r.text for r in documents.collect()}
-    tokenizer = small_tokenizer(list(collected.values())[:50])
-    tokenizer.save(str(tmp_path / "tokenizer.json"))
-    definition = tok.read_tokenizer(spark, str(tmp_path / "tokenizer.json"))
-    pad = tok.pad_id_of(definition, None, "</s>")
-    assert pad == tokenizer.token_to_id("</s>") and tok.pad_id_of(definition, "<unk>", "</s>") == 0
-    with pytest.raises(ValueError):
-        tok.pad_id_of(definition, "[PAD]", "</s>")
-
-    tokenizer.enable_truncation(64)
-    tokenizer.enable_padding(length=64, pad_id=pad, pad_token="</s>")
-    ids = tok.subword_ids(documents, ["doc_id"], definition, max_length=64)
-    for row in tok.fixed_length(ids, max_length=64, pad_id=pad).collect():
-        expected = tokenizer.encode(collected[row.doc_id])
-        assert row.input_ids == expected.ids and row.attention_mask == expected.attention_mask
-
-
-def test_large_tokenizer_is_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(tok, "MAX_BROADCAST_BYTES", 3)
-    with pytest.raises(ValueError, match="exceeds"):
-        tok.subword_ids(texts(spark, ["a"]), ["id"], json.dumps({"model": {}}))
-
-
 def test_batch_size_per_length_bucket(spark):
     lengths = spark.createDataFrame([(3,), (256,), (257,), (9000,), (0,)], "n_tokens int")
     rows = {r.bucket: r for r in tok.length_buckets(lengths, 13.0, 80.0).collect()}
