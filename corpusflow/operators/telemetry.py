@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from corpusflow.functions.values import micros
-from corpusflow.operators.hot_keys import index_within, join_small, split_hot_keys
+from corpusflow.operators.hot_keys import index_within, join_small, split_hot_keys, tie_number
 from corpusflow.settings import BLOCK_SIZE, ROWS_PER_CHUNK, THROTTLE_SECONDS
 from corpusflow.sources.device_log import SAMPLE_FIELDS
 
@@ -99,7 +99,7 @@ def asof_last(
     right = samples.select(*keys, ts, tie, value, F.lit(True).alias("_sample"))
     series = left.unionByName(right, allowMissingColumns=True)
     series = series.withColumn("_us", micros(series, ts))
-    split = split_hot_keys(series, keys, "_us", rows_per_chunk)
+    split = split_hot_keys(series, keys, "_us", rows_per_chunk, tie=tie_number(series, order))
 
     # what each slice of a hot series inherits from the slices before it
     ends = (
@@ -160,7 +160,8 @@ def trailing_means(
     series look back beyond their slice; they are computed among the few rows
     on either side of the cuts.
     """
-    split = split_hot_keys(samples.withColumn("_us", micros(samples, ts)), keys, "_us", rows_per_chunk)
+    timed = samples.withColumn("_us", micros(samples, ts))
+    split = split_hot_keys(timed, keys, "_us", rows_per_chunk, tie=tie_number(timed, ["_us", tie]))
     piece = Window.partitionBy(*keys, "chunk")
     forward = piece.orderBy("_us", tie)
     backward = piece.orderBy(F.desc("_us"), F.desc(tie))
@@ -189,14 +190,29 @@ def trailing_means(
 # -- throttle ---------------------------------------------------------------
 
 
-def kept_places(us: np.ndarray, last: int, gap: int) -> list[int]:
-    """Places in a sorted array that lie more than ``gap`` after the previously kept one."""
-    places = []
-    i = int(np.searchsorted(us, last + gap, side="right"))
-    while i < len(us):
-        places.append(i)
-        i = int(np.searchsorted(us, us[i] + gap, side="right"))
-    return places
+def kept_places(us: np.ndarray, last: int, gap: int) -> np.ndarray:
+    """Places in a sorted array that lie more than ``gap`` after the previously kept one.
+
+    A row more than the gap after its predecessor is always kept, whatever was
+    kept before. From these rows on, the next kept ones are found for all
+    sessions at a time by doubling the steps taken.
+    """
+    n = len(us)
+    first = int(np.searchsorted(us, last + gap, side="right"))
+    if first == n:
+        return np.empty(0, np.int64)
+    kept = np.zeros(n + 1, bool)
+    kept[[first, n]] = True
+    kept[first + 1 : n] = us[first + 1 :] - us[first:-1] > gap
+    if not kept[first:n].all():
+        jump = np.append(np.searchsorted(us, us + gap, side="right"), n)
+        while True:
+            reached = jump[np.flatnonzero(kept)]
+            if kept[reached].all():
+                break
+            kept[reached] = True
+            jump = jump[jump]
+    return np.flatnonzero(kept[:n])
 
 
 def chunk_exits(us: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray]:
@@ -232,7 +248,8 @@ def throttle(
     """Keep a sample only if it comes more than ``seconds`` after the last kept one of its series.
 
     The first sample of a series is kept, or measured against ``start`` (one
-    time in microseconds per series) when given. Whether a row is kept depends on all rows before it, which windows
+    time in microseconds per series) when given. A sample without a time is
+    after nothing and is not kept. Whether a row is kept depends on all rows before it, which windows
     cannot express; sorted partitions are scanned once in Arrow batches with a
     single carried time. Series too long for one task are cut into slices: a
     first pass over their timestamps finds what each slice does to the last
@@ -241,10 +258,12 @@ def throttle(
     """
     gap = int(round(seconds * 1_000_000))
     columns = samples.columns
-    series = samples.withColumn("_us", micros(samples, ts))
+    series = samples.withColumn("_us", micros(samples, ts)).where("_us IS NOT NULL")
     if start is not None:
         series = series.where(F.coalesce(F.col("_us") - start > gap, F.lit(True)))
-    split = split_hot_keys(series, keys, "_us", rows_per_chunk, min_width=8 * gap)
+    split = split_hot_keys(
+        series, keys, "_us", rows_per_chunk, min_width=8 * gap, tie=tie_number(series, ["_us", tie])
+    )
     entries = _slice_entries(split.where(F.col("chunk").isNotNull()), keys, gap)
     local = Window.partitionBy(*keys, "chunk").orderBy("_us", tie)
     ready = (
@@ -267,8 +286,8 @@ def throttle(
                 if first[a]:
                     last = int(entry[a])
                 places = kept_places(us[a:b], last, gap)
-                if places:
-                    mask[[a + p for p in places]] = True
+                if len(places):
+                    mask[a + places] = True
                     last = int(us[a + places[-1]])
             yield batch.select(columns).filter(pa.array(mask))
 

@@ -173,7 +173,7 @@ class _Throttle(StatefulProcessor):
         last = self.last.get()[0] if self.last.exists() else NEVER
         us = batch["at_us"].to_numpy()
         places = kept_places(us, last, self.gap)
-        if places:
+        if len(places):
             self.last.update((int(us[places[-1]]),))
             kept = batch.iloc[places]
             yield kept[[self.key, self.tie, *[c for c in kept.columns if c not in (self.key, self.tie, "at_us")], "at_us"]]
