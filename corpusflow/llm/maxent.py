@@ -83,9 +83,22 @@ class Statistics:
 
     @classmethod
     def of(cls, counts: DataFrame, known: int = KNOWN) -> Statistics:
-        """From stored counts; the ``known`` most frequent tokens (ties: by token) reach the driver, and so every task."""
+        """From stored counts; the most frequent tokens, ``known`` at most, reach the driver, and so every task.
+
+        They are those of at least a certain count, found from a histogram of a
+        few thousand bins, so that no task sends more than it holds of them.
+        """
         total, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).head()
-        top = counts.orderBy(F.desc("n"), "token").limit(known).collect()
+        bin_ = F.when(F.col("n") < 1024, F.col("n")).otherwise(F.floor(F.log2("n") * 32) + 704)
+        bins = counts.groupBy(bin_.alias("bin")).agg(F.count(F.lit(1)).alias("tokens"), F.min("n").alias("least")).collect()
+        least, held = None, 0
+        for row in sorted(bins, key=lambda r: -r.bin):
+            held += row.tokens
+            if held > known:
+                break
+            least = row.least
+        top = counts.where(F.col("n") >= least).collect() if least is not None else []
+        top.sort(key=lambda r: (-r.n, bytes(r.token)))
         words = [bytes(row.token) for row in top]
         n = np.array([row.n for row in top], np.int64)
         end = F.pmod(F.crc32(F.substring("token", -2, 2)), F.lit(ENDINGS)).cast("int")

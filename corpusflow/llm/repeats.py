@@ -28,7 +28,8 @@ WINDOW = 100
 GRAM = 32
 SKETCH = 1 << 16
 CROWDED = 8
-SHARD_BYTES = 2 << 20
+SLICE = 1 << 20  # bytes of text worked on at a time; arrays take some hundred times as much
+SHARD_BYTES = 1 << 20
 NO_ID = -(1 << 63)
 RUN = 127  # windows in a segment at most: seven bits of ``span``
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -106,8 +107,8 @@ class Segments:
     def own_repeats(self) -> np.ndarray:
         """Segments that hold their anchor more than once, so that two of their own windows may be equal."""
         out = np.zeros(len(self.start), bool)
-        for at in range(0, len(out), 16384):
-            part = slice(at, at + 16384)
+        for at in range(0, len(out), 4096):
+            part = slice(at, at + 4096)
             near = np.arange(self.wide)
             first = (self.grams[self.start[part, None] + near] == self.anchor[part, None]).argmax(axis=1)
             ends = self.start[part] + self.n[part] - 1
@@ -145,7 +146,7 @@ def crowded_anchors(texts: DataFrame, window: int, gram: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(SKETCH, np.int64)
-        for part in slices(batches):
+        for part in slices(batches, max_bytes=SLICE):
             found = Segments(part.column("text").to_pylist(), window, gram)
             sums += np.bincount((found.anchor >> np.uint64(48)).astype(np.int64), minlength=SKETCH)
         at = np.flatnonzero(sums)
@@ -175,7 +176,7 @@ def anchored_segments(texts: DataFrame, crowded: np.ndarray, window: int, gram:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, max_bytes=SLICE):
             ids, hs = part.column("id").to_numpy(), part.column("h").to_numpy()
             found = Segments(part.column("text").to_pylist(), window, gram)
             found.split_crowded(crowded)
