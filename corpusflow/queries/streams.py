@@ -5,10 +5,14 @@ from pyspark.sql import functions as F
 
 from corpusflow.queries.tables import rounded, table
 from corpusflow.queries.telemetry import BLOCKS_SQL, PARSED, THROTTLE_HOURS, THROTTLED_SQL, probe_output
-from corpusflow.session import work_dir
+from corpusflow.session import stored, work_dir
 from corpusflow.sources import device_log
+from corpusflow.streaming import event_order as eo
 from corpusflow.streaming import streams as st
 
+FILES = 3
+LATEST_SECONDS = 36 * 3600
+
 
 def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
@@ -32,21 +36,37 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _appended(spark, device_log.accepted(device_log.parse_device_lines(lines)), "ingest")
 
 
+def _in_order(spark: SparkSession, sf_dir: str, step: eo.Step) -> DataFrame:
+    """Events as files whose times overlap, one file a micro-batch, worked on in the order of their times.
+
+    An event arrives up to a day and a half late, which is the delay allowed.
+    """
+    base = work_dir(spark, "ordered")
+    events = table(spark, sf_dir, "events")
+    arrival = F.unix_micros(F.col("ts").cast("timestamp")) + F.pmod(F.xxhash64("event_id"), F.lit(LATEST_SECONDS * 1_000_000))
+    first = F.unix_micros(F.lit("2024-01-01").cast("timestamp"))
+    arriving = stored(events.withColumn("_file", F.least(F.lit(FILES - 1), F.greatest(F.lit(0), F.floor((arrival - first) / (12 * 86_400_000_000)))).cast("int")), "arriving")
+    for file in range(FILES):
+        arriving.where(F.col("_file") == file).drop("_file").coalesce(1).write.mode("append").parquet(f"{base}/landing")
+    session = st.stream_session(spark)
+    stream = st.read_landing(session, f"{base}/landing", events.schema, files_per_trigger=1)
+    eo.run_in_order(stream, f"{base}/out", f"{base}/checkpoint", "ts", LATEST_SECONDS, step)
+    return eo.results(spark, f"{base}/out", step, ended=True)
+
+
 def stream_snapshot_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    means = st.snapshot_means(_arriving(spark, sf_dir), ["event_type"], "value", "ts")
-    return _appended(spark, means, "snapshots").withColumn("avg_utilization", F.round("avg_utilization", 6))
+    means = _in_order(spark, sf_dir, eo.WindowMeans(["event_type"], "value", "ts", 3600))
+    return means.withColumn("avg_utilization", F.round("avg_utilization", 6))
 
 
 def stream_throttle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = st.throttle(
-        _arriving(spark, sf_dir), "user_id", "value", "ts", "event_id", seconds=THROTTLE_HOURS * 3600
-    )
-    return _appended(spark, kept, "throttle")
+    kept = _in_order(spark, sf_dir, eo.Throttle(["user_id"], "ts", "event_id", seconds=THROTTLE_HOURS * 3600))
+    return kept.select("user_id", "event_id", "ts", "value")
 
 
 def stream_block_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocks = st.block_means(_arriving(spark, sf_dir), "user_id", "value", "ts", "event_id")
-    return _appended(spark, blocks, "blocks").withColumn("block_mean", F.round("block_mean", 6))
+    blocks = _in_order(spark, sf_dir, eo.BlockMeans(["user_id"], "value", "ts", "event_id"))
+    return blocks.withColumn("block_mean", F.round("block_mean", 6))
 
 
 def stream_append_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,10 +78,9 @@ def stream_append_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = work_dir(spark, "stats")
-    st.run_updates(
-        st.running_stats(_arriving(spark, sf_dir), ["user_id"], "value"), f"{base}/out", f"{base}/checkpoint"
-    )
-    current = st.current_rows(spark.read.parquet(f"{base}/out"), ["user_id"])
+    stats = st.running_stats(_arriving(spark, sf_dir), ["user_id"], "value")
+    st.run_updates(stats, f"{base}/out", f"{base}/checkpoint", ["user_id"])
+    current = st.current_rows(spark, f"{base}/out", ["user_id"])
     return current.select("user_id", rounded("avg_utilization"), "min_utilization", "max_utilization")
 
 
@@ -80,12 +99,10 @@ ORACLE = {
         SELECT index, name, utilization_gpu, utilization_memory, memory_used_gb, memory_total_gb, temperature,
                power_draw
         FROM parsed WHERE ok""",
-    # windows the watermark has not passed stay open
     "stream_snapshot_mean": """
         SELECT date_trunc('hour', ts) AS snapshot, event_type, count(*) AS n_samples,
                round(avg(value), 6) AS avg_utilization
-        FROM events GROUP BY ALL
-        HAVING date_trunc('hour', min(ts)) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events)""",
+        FROM events GROUP BY ALL""",
     "stream_throttle": THROTTLED_SQL,
     "stream_block_mean": BLOCKS_SQL,
     "stream_append_history": 'SELECT ts AS timestamp, user_id AS "index", value FROM events',

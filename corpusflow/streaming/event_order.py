@@ -1,0 +1,211 @@
+"""Streams whose result does not depend on how arrivals are cut into micro-batches.
+
+Rows wait in a table until no earlier row can come any more: until a row has
+arrived whose time is ``delay`` later. Then the batch operators work on them, in
+the order of their times, together with what a series carries over from before.
+Rows that come later than that are not worked on; they are kept, and counted, in
+a table of their own. The state is two folders that take turns, each complete in
+itself: a repeated micro-batch reads the one and writes the other again.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpusflow.functions.values import micros
+from corpusflow.operators import telemetry as tm
+from corpusflow.operators.hot_keys import index_within, join_small
+from corpusflow.settings import BLOCK_SIZE, THROTTLE_SECONDS
+
+US = 1_000_000
+
+
+class Step:
+    """What is done with rows that are complete up to a time; ``width`` in seconds releases them by whole windows."""
+
+    width: float | None = None
+
+    def apply(self, ready: DataFrame, carry: DataFrame | None) -> DataFrame:
+        raise NotImplementedError
+
+    def carry(self, result: DataFrame, ready: DataFrame, carry: DataFrame | None) -> DataFrame | None:
+        """What later rows need; ``result`` has been written."""
+        return None
+
+
+@dataclass
+class WindowMeans(Step):
+    """Count and mean of ``value`` per window of ``width`` seconds and ``keys``."""
+
+    keys: list[str]
+    value: str
+    ts: str
+    width: float
+
+    def apply(self, ready, carry):
+        start = F.window(F.col(self.ts).cast("timestamp"), f"{int(self.width)} seconds")["start"]
+        timed = ready.withColumn("snapshot", start.cast("timestamp_ntz"))
+        return tm.snapshot_means(timed, ["snapshot", *self.keys], self.value)
+
+
+@dataclass
+class Throttle(Step):
+    """Rows more than ``seconds`` after the last kept one of their series; a series carries that row's time."""
+
+    keys: list[str]
+    ts: str
+    tie: str
+    seconds: float = THROTTLE_SECONDS
+
+    def apply(self, ready, carry):
+        if carry is None:
+            return tm.throttle(ready, self.keys, self.ts, self.tie, self.seconds)
+        started = join_small(ready, carry, self.keys)
+        kept = tm.throttle(started, self.keys, self.ts, self.tie, self.seconds, start=F.col("_last"))
+        return kept.drop("_last")
+
+    def carry(self, result, ready, carry):
+        last = result.select(*self.keys, micros(result, self.ts).alias("_last"))
+        every = last if carry is None else last.union(carry.select(last.columns))
+        return every.groupBy(*self.keys).agg(F.max("_last").alias("_last"))
+
+
+@dataclass
+class BlockMeans(Step):
+    """Mean of every ``size`` rows of a series; it carries its unfinished block and the number of finished ones."""
+
+    keys: list[str]
+    value: str
+    ts: str
+    tie: str
+    size: int = BLOCK_SIZE
+
+    def _series(self, ready: DataFrame, carry: DataFrame | None) -> DataFrame:
+        narrow = ready.select(*self.keys, self.ts, self.tie, self.value)
+        return narrow if carry is None else narrow.unionByName(carry.where("_open").select(narrow.columns))
+
+    def _done(self, carry: DataFrame) -> DataFrame:
+        return carry.where("NOT _open").select(*self.keys, "_done")
+
+    def apply(self, ready, carry):
+        found = tm.block_means(self._series(ready, carry), self.keys, self.value, self.ts, self.tie, self.size)
+        if carry is None:
+            return found
+        numbered = join_small(found, self._done(carry), self.keys)
+        return numbered.withColumn("block", F.col("block") + F.coalesce("_done", F.lit(0))).drop("_done")
+
+    def carry(self, result, ready, carry):
+        series = self._series(ready, carry)
+        timed = series.withColumn("_us", micros(series, self.ts))
+        indexed = index_within(timed, self.keys, ["_us", self.tie], "_us")
+        full = timed.groupBy(*self.keys).agg(F.expr(f"count(1) div {self.size}").alias("_full"))
+        open_ = join_small(indexed, full, self.keys).where(F.col("idx") >= F.col("_full") * self.size)
+        done = full.withColumnRenamed("_full", "_done")
+        if carry is not None:
+            done = done.union(self._done(carry)).groupBy(*self.keys).agg(F.sum("_done").alias("_done"))
+        rows = open_.select(*series.columns, F.lit(True).alias("_open"), F.lit(None).cast("bigint").alias("_done"))
+        counts = done.select(*self.keys, F.lit(False).alias("_open"), "_done")
+        return rows.unionByName(counts, allowMissingColumns=True)
+
+
+class _State:
+    """Pending rows, what is carried, and the time up to which rows were released."""
+
+    def __init__(self, spark: SparkSession, out: str, slot: int):
+        self.spark, self.path = spark, f"{out}/state/slot{slot}"
+
+    def mark(self) -> tuple[int, int | None] | None:
+        try:
+            row = self.spark.read.schema("batch BIGINT, released BIGINT").parquet(f"{self.path}/mark").head()
+        except AnalysisException:
+            return None
+        return (row.batch, row.released) if row else None
+
+    def table(self, name: str) -> DataFrame | None:
+        try:
+            return self.spark.read.parquet(f"{self.path}/{name}")
+        except AnalysisException:
+            return None
+
+    def write(self, batch: int, released: int | None, pending: DataFrame, carry: DataFrame | None) -> None:
+        pending.write.mode("overwrite").parquet(f"{self.path}/pending")
+        if carry is not None:
+            carry.write.mode("overwrite").parquet(f"{self.path}/carry")
+        mark = self.spark.createDataFrame([(batch, released)], "batch BIGINT, released BIGINT")
+        mark.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/mark")
+
+
+def _latest(spark: SparkSession, out: str, before: int | None = None) -> tuple[_State | None, int | None]:
+    """The newest state (older than micro-batch ``before``) and the time it has released."""
+    found = [(state.mark(), state) for state in (_State(spark, out, slot) for slot in (0, 1))]
+    found = [(mark, state) for mark, state in found if mark and (before is None or mark[0] < before)]
+    if not found:
+        return None, None
+    mark, state = max(found, key=lambda x: x[0][0])
+    return state, mark[1]
+
+
+def run_in_order(
+    stream: DataFrame, out: str, checkpoint: str, ts: str, delay: float, step: Step, interval: str | None = None
+):
+    """Work on a stream in event-time order; rows may come up to ``delay`` seconds after later ones.
+
+    Settled results are appended below ``out/rows``, late rows and rows without
+    a time below ``out/late``. Read both with :func:`results` and
+    :func:`late_rows`. Without ``interval`` everything that has arrived is
+    processed and the query ends.
+    """
+    wait = round(delay * US)
+
+    def advance(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        state, released = _latest(spark, out, batch_id)
+        timed = batch.withColumn("_us", micros(batch, ts)).persist()
+        top = timed.agg(F.max("_us")).head()[0]
+        known = [t for t in (released, None if top is None else _aligned(top - wait, step)) if t is not None]
+        upto = max(known, default=None)
+        on_time = F.lit(True) if released is None else F.col("_us") > released
+        late = timed.where(F.col("_us").isNull() | ~on_time)
+        late.drop("_us").write.mode("overwrite").parquet(f"{out}/late/batch_id={batch_id}")
+        fresh = timed.where(F.col("_us").isNotNull() & on_time)
+        pending = state.table("pending") if state else None
+        waiting = fresh if pending is None else pending.unionByName(fresh)
+        carry = state.table("carry") if state else None
+        go = F.lit(False) if upto is None else F.col("_us") <= upto
+        ready = waiting.where(go).drop("_us")
+        path = f"{out}/rows/batch_id={batch_id}"
+        result = step.apply(ready, carry)
+        result.write.mode("overwrite").parquet(path)
+        written = spark.read.schema(result.schema).parquet(path)
+        _State(spark, out, batch_id % 2).write(batch_id, upto, waiting.where(~go), step.carry(written, ready, carry))
+        timed.unpersist()
+
+    writer = stream.writeStream.foreachBatch(advance).option("checkpointLocation", checkpoint)
+    if interval:
+        return writer.trigger(processingTime=interval).start()
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
+def _aligned(us: int, step: Step) -> int:
+    """The last microsecond of the windows that end by ``us``; ``us`` itself without windows."""
+    return us if step.width is None else us // round(step.width * US) * round(step.width * US) - 1
+
+
+def results(spark: SparkSession, out: str, step: Step, ended: bool = False) -> DataFrame:
+    """Settled results and, if the input has ``ended``, what the rows still waiting give."""
+    settled = spark.read.parquet(f"{out}/rows").drop("batch_id")
+    if not ended:
+        return settled
+    state, _ = _latest(spark, out)
+    pending = state.table("pending").drop("_us")
+    return settled.unionByName(step.apply(pending, state.table("carry")).select(settled.columns))
+
+
+def late_rows(spark: SparkSession, out: str) -> DataFrame:
+    return spark.read.parquet(f"{out}/late").drop("batch_id")

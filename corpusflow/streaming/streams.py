@@ -6,17 +6,9 @@ over what has arrived so far. Event time replaces the wall clock.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from corpusflow.functions.values import from_micros, micros
-from corpusflow.operators.telemetry import NEVER, kept_places
-from corpusflow.settings import BLOCK_SIZE, THROTTLE_SECONDS
 from corpusflow.sources.device_log import HISTORY_OPTIONS
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -41,19 +33,18 @@ def read_landing(
     schema,
     fmt: str = "parquet",
     files_per_trigger: int | None = None,
-    bytes_per_trigger: int = 1 << 30,
+    bytes_per_trigger: int | None = None,
 ) -> DataFrame:
     """Files arriving in a directory, oldest first.
 
-    A micro-batch takes at most ``files_per_trigger`` files if given, else about
-    ``bytes_per_trigger``. A stateful operator sorts a key's rows of one
-    micro-batch in memory, so even a key that holds most of them stays small;
-    a backlog is worked off in several micro-batches.
+    A micro-batch takes at most ``files_per_trigger`` files if given, at most
+    about ``bytes_per_trigger`` if given, else all that have arrived. No
+    operator's result depends on it.
     """
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    else:
+    elif bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     return reader.load(path)
 
@@ -75,14 +66,23 @@ def run(stream: DataFrame, out: str, checkpoint: str, interval: str | None = Non
     return query
 
 
-def run_updates(stream: DataFrame, out: str, checkpoint: str, interval: str | None = None):
-    """Write the rows that changed in each micro-batch to a folder of their own.
+def run_updates(stream: DataFrame, out: str, checkpoint: str, keys: list[str], interval: str | None = None, fold: int = 16):
+    """Keep the newest row per key of a stream in update mode; read it with :func:`current_rows`.
 
-    A repeated micro-batch replaces its folder, so the result survives retries.
+    The rows that changed in a micro-batch go to one of ``fold`` folders that
+    take turns; after each round they are folded into one of two tables of all
+    keys. So there are ``fold + 2`` folders at most, however long the stream
+    runs. A repeated micro-batch writes its folders again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        rows.write.mode("overwrite").parquet(f"{out}/updates{batch_id % fold}")
+        if batch_id % fold == fold - 1:
+            turn = batch_id // fold
+            parts = [f"{out}/updates{i}" for i in range(fold)] + [f"{out}/all{(turn - 1) % 2}"] * (turn > 0)
+            newest = _newest(batch.sparkSession.read.schema(rows.schema).parquet(*parts), keys)
+            newest.write.mode("overwrite").parquet(f"{out}/all{turn % 2}")
 
     writer = stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
     if interval:
@@ -92,24 +92,15 @@ def run_updates(stream: DataFrame, out: str, checkpoint: str, interval: str | No
     return query
 
 
-def current_rows(updates: DataFrame, keys: list[str]) -> DataFrame:
-    """Newest row per key among the folders written by :func:`run_updates`."""
-    values = [c for c in updates.columns if c not in (*keys, "batch_id")]
-    newest = updates.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_row"))
-    return newest.select(*keys, "_row.*")
+def _newest(rows: DataFrame, keys: list[str]) -> DataFrame:
+    values = [c for c in rows.columns if c not in keys]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_row"))
+    return newest.select(*keys, "_row.*").select(rows.columns)
 
 
-def snapshot_means(
-    events: DataFrame, keys: list[str], value: str, ts: str, window: str = "1 hour", delay: str = "0 seconds"
-) -> DataFrame:
-    """Mean per window and key, emitted once the watermark has passed the window."""
-    timed = events.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", delay)
-    means = timed.groupBy(F.window("_ts", window), *keys).agg(
-        F.count(F.lit(1)).alias("n_samples"), F.avg(value).alias("avg_utilization")
-    )
-    return means.select(
-        F.col("window.start").cast("timestamp_ntz").alias("snapshot"), *keys, "n_samples", "avg_utilization"
-    )
+def current_rows(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
+    """Newest row per key among the folders of :func:`run_updates`; older ones lie there too and do not count."""
+    return _newest(spark.read.parquet(f"{out}/*"), keys).drop("batch_id")
 
 
 def running_stats(events: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -119,100 +110,3 @@ def running_stats(events: DataFrame, keys: list[str], value: str) -> DataFrame:
         F.min(value).alias("min_utilization"),
         F.max(value).alias("max_utilization"),
     )
-
-
-def throttle(
-    events: DataFrame, key: str, value: str, ts: str, tie: str, seconds: float = THROTTLE_SECONDS
-) -> DataFrame:
-    """Streaming form of the throttle: the state of a key is the last time it kept."""
-    schema = StructType([_key_field(events, key), StructField(tie, LongType()), StructField(value, DoubleType()), StructField("at_us", LongType())])
-    return _stateful(events, key, value, ts, tie, _Throttle(key, tie, int(round(seconds * 1_000_000))), schema)
-
-
-def block_means(events: DataFrame, key: str, value: str, ts: str, tie: str, size: int = BLOCK_SIZE) -> DataFrame:
-    """Mean of every ``size`` samples in arrival order; an unfinished block waits in the state."""
-    schema = StructType(
-        [
-            _key_field(events, key),
-            StructField("block", LongType()),
-            StructField("block_mean", DoubleType()),
-            StructField(tie, LongType()),
-            StructField("at_us", LongType()),
-        ]
-    )
-    return _stateful(events, key, value, ts, tie, _Blocks(key, value, tie, size), schema)
-
-
-def _key_field(events: DataFrame, key: str) -> StructField:
-    return StructField(key, events.schema[key].dataType)
-
-
-def _stateful(events, key, value, ts, tie, processor, schema) -> DataFrame:
-    narrow = events.select(key, tie, F.col(value).cast("double").alias(value), micros(events, ts).alias("at_us"))
-    result = narrow.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=schema, outputMode="append", timeMode="none"
-    )
-    moment = from_micros("at_us", events.schema[ts].dataType).alias(ts)
-    return result.select(*[c for c in schema.names if c != "at_us"], moment)
-
-
-def _in_order(rows: Iterator[pd.DataFrame], tie: str) -> pd.DataFrame:
-    """A key's rows of one micro-batch; ``read_landing`` bounds its size."""
-    return pd.concat(list(rows), ignore_index=True).sort_values(["at_us", tie], ignore_index=True)
-
-
-class _Throttle(StatefulProcessor):
-    def __init__(self, key: str, tie: str, gap: int):
-        self.key, self.tie, self.gap = key, tie, gap
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", StructType([StructField("us", LongType())]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = _in_order(rows, self.tie)
-        last = self.last.get()[0] if self.last.exists() else NEVER
-        us = batch["at_us"].to_numpy()
-        places = kept_places(us, last, self.gap)
-        if len(places):
-            self.last.update((int(us[places[-1]]),))
-            kept = batch.iloc[places]
-            yield kept[[self.key, self.tie, *[c for c in kept.columns if c not in (self.key, self.tie, "at_us")], "at_us"]]
-
-    def close(self) -> None:
-        pass
-
-
-class _Blocks(StatefulProcessor):
-    def __init__(self, key: str, value: str, tie: str, size: int):
-        self.key, self.value, self.tie, self.size = key, value, tie, size
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.open = handle.getValueState(
-            "open", StructType([StructField("n", LongType()), StructField("total", DoubleType())])
-        )
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = _in_order(rows, self.tie)
-        seen, total = self.open.get() if self.open.exists() else (0, 0.0)
-        place = pd.RangeIndex(seen, seen + len(batch))
-        block = place // self.size
-        sums = batch[self.value].groupby(block).sum()
-        sums.iloc[0] += total
-        full = (seen + len(batch)) // self.size
-        ends = batch[(place % self.size) == self.size - 1]
-        done = sums[sums.index < full]
-        rest = sums[sums.index >= full]
-        self.open.update((seen + len(batch), float(rest.iloc[0]) if len(rest) else 0.0))
-        if len(done):
-            yield pd.DataFrame(
-                {
-                    self.key: ends[self.key].to_numpy(),
-                    "block": done.index.to_numpy(),
-                    "block_mean": (done / self.size).to_numpy(),
-                    self.tie: ends[self.tie].to_numpy(),
-                    "at_us": ends["at_us"].to_numpy(),
-                }
-            )
-
-    def close(self) -> None:
-        pass
