@@ -27,7 +27,8 @@ from corpusflow.session import stored
 WINDOW = 100
 GRAM = 32
 SKETCH = 1 << 16
-CROWDED = 8
+CROWDED = 4
+SHARD_SEGMENTS = 8192
 SLICE = 1 << 20  # bytes of text worked on at a time; arrays take some hundred times as much
 SHARD_BYTES = 1 << 20
 NO_ID = -(1 << 63)
@@ -116,19 +117,6 @@ class Segments:
             out[part] = self.start[part] + first != ends + self.wide - 1 - last
         return out
 
-    def split_crowded(self, crowded: np.ndarray) -> None:
-        """Windows of crowded anchors become segments of their own, with the hash of all their bytes for anchor."""
-        hit = crowded[(self.anchor >> np.uint64(48)).astype(np.int64)]
-        if not hit.any():
-            return
-        whole = _hashes(self.buffer, self.window, _MIX[2])
-        n = self.n[hit]
-        start = np.repeat(self.start[hit], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        self.doc = np.concatenate([self.doc[~hit], np.repeat(self.doc[hit], n)])
-        self.anchor = np.concatenate([self.anchor[~hit], whole[start]])
-        self.start = np.concatenate([self.start[~hit], start])
-        self.n = np.concatenate([self.n[~hit], np.ones(len(start), np.int64)])
-
 
 def source_texts(docs: DataFrame, carry: list[str]) -> DataFrame:
     """``id`` (a null doc_id comes first), ``h`` (15 bits of the text's hash), ``text``, and columns to carry along by number."""
@@ -142,7 +130,7 @@ def source_texts(docs: DataFrame, carry: list[str]) -> DataFrame:
 
 
 def crowded_anchors(texts: DataFrame, window: int, gram: int) -> np.ndarray:
-    """Which of 65536 groups of anchors hold over ``CROWDED`` times their share of all segments (one in 8 at most)."""
+    """Which of 65536 groups of anchors hold more than ``CROWDED`` partitions' share of all segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(SKETCH, np.int64)
@@ -152,11 +140,11 @@ def crowded_anchors(texts: DataFrame, window: int, gram: int) -> np.ndarray:
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["bucket", "n"])
 
-    sums = stored(texts.select("text").mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")), "sketch")
-    total = sums.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
-    out = np.zeros(SKETCH, bool)
-    out[[row.bucket for row in sums.where(F.col("n") > CROWDED * max(1000, total // SKETCH)).collect()]] = True
-    return out
+    found = texts.select("text").mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
+    sums = np.zeros(SKETCH, np.int64)
+    for row in found.collect():  # one row per group at most
+        sums[row.bucket] = row.n
+    return sums > CROWDED * max(1000, sums.sum() // parallelism(texts.sparkSession))
 
 
 #: ``span``: 15 bits of text hash, 40 of the first window's place, 8 of their number; orders places within a doc_id.
@@ -172,18 +160,20 @@ def anchored_segments(texts: DataFrame, crowded: np.ndarray, window: int, gram:
 
     A later copy in the same slice is a repeat for sure; it goes under an anchor
     of its own, next to the segment before it, with a null ``content``. The
-    lowest bit of ``content`` marks segments that may repeat themselves.
+    lowest bit of ``content`` marks segments that may repeat themselves, the
+    next one those of a crowded anchor, which are dealt by their content.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, max_bytes=SLICE):
             ids, hs = part.column("id").to_numpy(), part.column("h").to_numpy()
             found = Segments(part.column("text").to_pylist(), window, gram)
-            found.split_crowded(crowded)
             if not len(found.start):
                 continue
             repeats = found.own_repeats() & (found.n > 1)
-            content = found.contents() & ~np.uint64(1) | repeats.astype(np.uint64)
+            many = crowded[(found.anchor >> np.uint64(48)).astype(np.int64)]
+            content = found.contents() & ~np.uint64(3) | repeats.astype(np.uint64) | many.astype(np.uint64) << np.uint64(1)
+            found.anchor[many] ^= content[many] * _MIX[0]
             id_ = ids[found.doc]
             span = _span(hs[found.doc], found.start - found.offset[found.doc], found.n)
             order = np.lexsort((span, id_, content, found.anchor))
@@ -221,7 +211,7 @@ def merged(id_: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return id_[first], (start[first] << 8) | sums
 
 
-DECIDED = "repeat boolean, id bigint, span bigint, anchor bigint"
+DECIDED = "repeat boolean, id bigint, span bigint, anchor bigint, crowded boolean"
 
 
 def decided_segments(anchored: DataFrame) -> DataFrame:
@@ -229,7 +219,7 @@ def decided_segments(anchored: DataFrame) -> DataFrame:
 
     An anchor's rows come together. Of equal contents the first stays; if an
     anchor has different contents, or one that may repeat itself, its first ones
-    are to be compared.
+    are to be compared, and so are all first ones of crowded anchors.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,10 +233,12 @@ def decided_segments(anchored: DataFrame) -> DataFrame:
             number = np.cumsum(new) - 1
             contents = np.bincount(number[first], minlength=number[-1] + 1)
             loops = np.bincount(number[first & (content & 1 == 1)], minlength=number[-1] + 1)
-            compare = first & ((contents > 1) | (loops > 0))[number]
+            crowded = first & (content & 2 == 2)
+            compare = crowded | first & ((contents > 1) | (loops > 0))[number]
             out = np.flatnonzero(compare | same | known)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(~compare[out]), pa.array(id_[out]), pa.array(span[out]), pa.array(anchor[out])], ["repeat", "id", "span", "anchor"]
+                [pa.array(~compare[out]), pa.array(id_[out]), pa.array(span[out]), pa.array(anchor[out]), pa.array(crowded[out])],
+                ["repeat", "id", "span", "anchor", "crowded"],
             )
 
     dealt = anchored.repartition(parallelism(anchored.sparkSession), "anchor").sortWithinPartitions("anchor", "content", "id", "span")
@@ -269,8 +261,40 @@ def packed(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
-def cut_segments(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """``anchor, id, span`` and the segment's bytes."""
+CUT = "anchor bigint, content bigint, id bigint, span bigint, bytes binary"
+
+
+def cut_segments(texts: DataFrame, wanted: DataFrame, window: int, shard_segments: int = SHARD_SEGMENTS) -> DataFrame:
+    """Segments with their ``bytes``, to be compared in a shard; those of large anchors as windows with two hashes.
+
+    An anchor of more than ``shard_segments`` different segments would make a
+    shard without bound. Its windows, each under the hash of its own bytes, go
+    the way of :func:`decided_segments` once more.
+    """
+    large = wanted.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > shard_segments)
+    large = large.select("anchor", F.lit(True).alias("_large"))
+    marked = wanted.join(large, "anchor", "left").withColumn("large", F.col("crowded") | F.col("_large").isNotNull())
+    per_text = marked.groupBy("id", F.shiftright("span", 48).alias("h")).agg(
+        F.collect_list(F.struct("anchor", "span", "large")).alias("wants")
+    )
+
+    def windows(id_: int, spans: list[int], text: bytes) -> pa.RecordBatch:
+        buffer = np.frombuffer(text, np.uint8)
+        one, two = _hashes(buffer, window, _MIX[2]), _hashes(buffer, window, _MIX[0])
+        s = np.array(spans, np.int64)
+        n = s & 0xFF
+        at = np.repeat(s >> 8, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        place = at & 0xFFFFFFFFFF
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(one[place].view(np.int64)),
+                pa.array((two[place] & ~np.uint64(3)).view(np.int64)),
+                pa.array(np.full(len(at), id_, np.int64)),
+                pa.array(at << 8 | 1),
+                pa.nulls(len(at), pa.binary()),
+            ],
+            ["anchor", "content", "id", "span", "bytes"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -279,16 +303,18 @@ def cut_segments(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
         for part in slices(batches, "z", 1 << 20):
             rows = []
             for id_, z, wants in zip(part.column("id").to_pylist(), part.column("z").to_pylist(), part.column("wants").to_pylist()):
-                text = expand(z) if wants else b""
+                text = expand(z)
                 for want in wants:
                     start, n = want["span"] >> 8 & 0xFFFFFFFFFF, want["span"] & 0xFF
-                    rows.append((want["anchor"], id_, want["span"], text[start : start + n + window - 1]))
-            columns = list(zip(*rows)) or [()] * 4
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["anchor", "id", "span", "bytes"])
+                    if not want["large"]:
+                        rows.append((want["anchor"], None, id_, want["span"], text[start : start + n + window - 1]))
+                if spans := [want["span"] for want in wants if want["large"]]:
+                    yield windows(id_, spans, text)
+            columns = list(zip(*rows)) or [()] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["anchor", "content", "id", "span", "bytes"])
 
-    per_text = wanted.groupBy("id", F.shiftright("span", 48).alias("h")).agg(F.collect_list(F.struct("anchor", "span")).alias("wants"))
-    return packed(texts).join(per_text, ["id", "h"]).select("id", "z", "wants").mapInArrow(run, "anchor bigint, id bigint, span bigint, bytes binary")
+    return packed(texts).join(per_text, ["id", "h"]).select("id", "z", "wants").mapInArrow(run, CUT)
 
 
 def shard_repeats(segments: DataFrame, window: int, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -344,9 +370,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, carr
     once = texts.select("id", "h", "text")
     crowded = crowded_anchors(once, window, gram)
     decided = stored(decided_segments(anchored_segments(once, crowded, window, gram)), "decided")
-    wanted = decided.where("NOT repeat").select("id", "span", "anchor").distinct()
-    compared = shard_repeats(cut_segments(once, wanted, window), window)
-    repeats = decided.where("repeat").select("id", "span").union(compared)
+    wanted = decided.where("NOT repeat").select("id", "span", "anchor", "crowded").distinct()
+    cut = stored(cut_segments(once, wanted, window), "cut_segments")
+    compared = shard_repeats(cut.where("bytes IS NOT NULL").select("anchor", "id", "span", "bytes"), window)
+    equal = decided_segments(cut.where("bytes IS NULL").select("anchor", "content", "id", "span")).where("repeat")
+    repeats = decided.where("repeat").select("id", "span").union(compared).union(equal.select("id", "span"))
     per_text = repeats.groupBy("id", F.shiftright("span", 48).alias("h")).agg(F.collect_list("span").alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

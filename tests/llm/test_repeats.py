@@ -27,10 +27,13 @@ def brute(texts, window):
     return out
 
 
-@pytest.mark.parametrize("crowded", [False, True])
+@pytest.mark.parametrize("crowded", ["none", "all", "large"])
 def test_repeats_as_brute_force(spark, monkeypatch, crowded):
-    if crowded:
+    if crowded == "all":
         monkeypatch.setattr(repeats, "crowded_anchors", lambda *_: np.ones(repeats.SKETCH, bool))
+    if crowded == "large":
+        cut = repeats.cut_segments
+        monkeypatch.setattr(repeats, "cut_segments", lambda *args: cut(*args, shard_segments=3))
     rng = random.Random(11)
     words = [rng.choice("abcdeé") * rng.randint(1, 3) + rng.choice("xyz") for _ in range(400)]
     passages = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(6)]
