@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusflow.operators import telemetry as tm
+from corpusflow.streaming import event_order as eo
 from corpusflow.streaming import streams as st
 
 GAP = 4 * 3600
@@ -44,64 +45,110 @@ def bag(df):
     return sorted(map(tuple, df.collect()))
 
 
-def run_in_two_sittings(spark, events, days, tmp_path, transform):
-    landing = tmp_path / "landing"
-    land(days[:3], landing)
-    for arrived in (days[3:], []):
-        stream = st.read_landing(st.stream_session(spark), str(landing), events.schema, files_per_trigger=1)
-        st.run(transform(stream), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
-        land(arrived, landing)
-    stream = st.read_landing(st.stream_session(spark), str(landing), events.schema, files_per_trigger=1)
-    result = transform(stream)
-    st.run(result, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
-    return spark.read.schema(result.schema).parquet(str(tmp_path / "out"))
-
-
-def test_throttle_equals_batch(spark, events, days, tmp_path):
-    found = run_in_two_sittings(
-        spark, events, days, tmp_path, lambda s: st.throttle(s, "user_id", "value", "ts", "event_id", seconds=GAP)
+@pytest.fixture(scope="module")
+def mixed(spark, events, tmp_path_factory):
+    """The events as four files that each span the whole time, with rows without a value and two runs as a second key."""
+    base = tmp_path_factory.mktemp("mixed")
+    rows = events.withColumn("value", F.when(F.col("event_id") % 3 > 0, F.col("value"))).withColumn(
+        "run", F.expr("CASE WHEN event_id % 2 = 0 THEN 'a' ELSE 'b' END")
     )
-    batch = tm.throttle(events.select("user_id", "event_id", "value", "ts"), ["user_id"], "ts", "event_id", seconds=GAP)
-    assert bag(found) == bag(batch)
+    files = []
+    for part in range(4):
+        out = base / f"write{part}"
+        rows.where(F.pmod(F.xxhash64("event_id"), F.lit(4)) == part).coalesce(1).write.parquet(str(out))
+        [file] = out.glob("*.parquet")
+        target = base / f"part{part}.parquet"
+        shutil.copy(file, target)
+        os.utime(target, (1_700_000_000 + part, 1_700_000_000 + part))
+        files.append(target)
+    return rows, files
 
 
-def test_blocks_equal_batch(spark, events, days, tmp_path):
-    found = run_in_two_sittings(
-        spark, events, days, tmp_path, lambda s: st.block_means(s, "user_id", "value", "ts", "event_id", size=3)
-    )
-    batch = tm.block_means(events, ["user_id"], "value", "ts", "event_id", size=3)
-    columns = ["user_id", "block", "event_id", "ts", F.round("block_mean", 6).alias("block_mean")]
-    assert bag(found.select(columns)) == bag(batch.select(columns))
+KEYS = ["run", "user_id"]
+STEPS = {
+    "throttle": eo.Throttle(KEYS, "ts", "event_id", seconds=GAP),
+    "blocks": eo.BlockMeans(KEYS, "value", "ts", "event_id", size=3),
+    "means": eo.WindowMeans(["event_type"], "value", "ts", 3600),
+}
 
 
-def test_history_survives_a_restart_without_duplicates(spark, events, days, tmp_path):
-    found = run_in_two_sittings(spark, events, days, tmp_path, lambda s: s.select("event_id", "ts", "value"))
-    assert bag(found) == bag(events.select("event_id", "ts", "value"))
+def batch_of(name, rows):
+    if name == "throttle":
+        return tm.throttle(rows, KEYS, "ts", "event_id", seconds=GAP)
+    if name == "blocks":
+        return tm.block_means(rows, KEYS, "value", "ts", "event_id", size=3)
+    hours = rows.withColumn("snapshot", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    return tm.snapshot_means(hours, ["snapshot", "event_type"], "value")
 
 
-def test_closed_windows_equal_batch(spark, events, days, tmp_path):
-    found = run_in_two_sittings(
-        spark, events, days, tmp_path, lambda s: st.snapshot_means(s, ["event_type"], "value", "ts", delay="2 hours")
+def rounded_bag(df, columns):
+    return sorted(
+        (tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in df.select(columns).collect()), key=repr
     )
-    last = events.agg(F.max("ts")).head()[0]
-    hours = events.withColumn("snapshot", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
-    batch = tm.snapshot_means(hours, ["snapshot", "event_type"], "value").where(
-        F.expr(f"snapshot + INTERVAL 3 HOURS <= TIMESTAMP_NTZ'{last}'")
-    )
-    columns = ["snapshot", "event_type", "n_samples", F.round("avg_utilization", 6).alias("avg_utilization")]
-    assert bag(found.select(columns)) == bag(batch.select(columns))
 
 
-def test_running_stats(spark, events, days, tmp_path):
+@pytest.mark.parametrize("per_trigger", [1, 4])
+@pytest.mark.parametrize("name", sorted(STEPS))
+def test_any_cut_gives_the_batch_result(spark, mixed, tmp_path, name, per_trigger):
+    rows, files = mixed
+    landing, out, step = tmp_path / "landing", str(tmp_path / "out"), STEPS[name]
+    for arrived in (files[:3], files[3:]):  # in two sittings
+        land(arrived, landing)
+        stream = st.read_landing(st.stream_session(spark), str(landing), rows.schema, files_per_trigger=per_trigger)
+        eo.run_in_order(stream, out, str(tmp_path / "checkpoint"), "ts", 40 * 86400, step)
+    want = batch_of(name, rows)
+    found = eo.results(spark, out, step, ended=True)
+    assert rounded_bag(found, want.columns) == rounded_bag(want, want.columns)
+    assert eo.late_rows(spark, out).count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(STEPS))
+def test_days_in_order_settle_and_late_rows_are_counted(spark, events, days, tmp_path, name):
+    """A short delay: results settle while the stream runs; what comes too late is kept apart."""
+    rows = events.withColumn("run", F.lit("a"))
+    landing, out, step = tmp_path / "landing", str(tmp_path / "out"), STEPS[name]
+    written = []
+    for i, file in enumerate(days):
+        target = tmp_path / f"run{i}.parquet"
+        rows.where(F.expr(f"(day(ts) - 1) div 5 = {i}")).coalesce(1).write.parquet(str(target))
+        [part] = target.glob("*.parquet")
+        copy = tmp_path / f"day{i}.parquet"
+        shutil.copy(part, copy)
+        os.utime(copy, (1_700_000_000 + i, 1_700_000_000 + i))
+        written.append(copy)
+    land(written[1:], landing)
+    stream = st.read_landing(st.stream_session(spark), str(landing), rows.schema, files_per_trigger=2)
+    eo.run_in_order(stream, out, str(tmp_path / "checkpoint"), "ts", 7200, step)
+    assert eo.results(spark, out, step).count() > 0.5 * batch_of(name, rows).count()
+    land(written[:1], landing)
+    stream = st.read_landing(st.stream_session(spark), str(landing), rows.schema, files_per_trigger=2)
+    eo.run_in_order(stream, out, str(tmp_path / "checkpoint"), "ts", 7200, step)
+    on_time = rows.where("(day(ts) - 1) div 5 > 0")
+    want = batch_of(name, on_time)
+    assert rounded_bag(eo.results(spark, out, step, ended=True), want.columns) == rounded_bag(want, want.columns)
+    assert eo.late_rows(spark, out).count() == rows.count() - on_time.count()
+
+
+def test_history_survives_a_restart_without_duplicates(spark, events, days, tmp_path):
     landing = tmp_path / "landing"
-    land(days, landing)
-    stream = st.read_landing(st.stream_session(spark), str(landing), events.schema, files_per_trigger=2)
-    st.run_updates(st.running_stats(stream, ["user_id"], "value"), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
-    updates = spark.read.parquet(str(tmp_path / "out"))
-    assert updates.select("batch_id").distinct().count() == 3
+    land(days[:3], landing)
+    for arrived in (days[3:], []):
+        stream = st.read_landing(st.stream_session(spark), str(landing), events.schema, files_per_trigger=1)
+        st.run(stream.select("event_id", "ts", "value"), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+        land(arrived, landing)
+    found = spark.read.schema("event_id bigint, ts timestamp_ntz, value double").parquet(str(tmp_path / "out"))
+    assert bag(found) == bag(events.select("event_id", "ts", "value"))
+
+
+def test_running_stats_in_a_bounded_number_of_folders(spark, events, tmp_path):
+    landing, out = tmp_path / "landing", tmp_path / "out"
+    events.repartition(50).write.parquet(str(landing))
+    stream = st.read_landing(st.stream_session(spark, 2), str(landing), events.schema, files_per_trigger=4)
+    st.run_updates(st.running_stats(stream, ["user_id"], "value"), str(out), str(tmp_path / "checkpoint"), ["user_id"], fold=3)
+    assert sorted(p.name for p in out.iterdir()) == ["all0", "all1", "updates0", "updates1", "updates2"]
     batch = tm.utilization_stats(events, ["user_id"], "value")
     columns = ["user_id", F.round("avg_utilization", 6).alias("a"), "min_utilization", "max_utilization"]
-    assert bag(st.current_rows(updates, ["user_id"]).select(columns)) == bag(batch.select(columns))
+    assert bag(st.current_rows(spark, str(out), ["user_id"]).select(columns)) == bag(batch.select(columns))
 
 
 def test_polling_query_runs_until_stopped(spark, events, days, tmp_path):
