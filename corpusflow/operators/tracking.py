@@ -24,10 +24,14 @@ def params_to_long(df: DataFrame, ids: list[str], params: list[str]) -> DataFram
 def append_table(df: DataFrame, path: str, by_run: bool = True) -> None:
     """Append records. ``by_run`` keeps one folder per run, so reading a run prunes the others.
 
-    With very many small runs use ``by_run=False``.
+    Rows are rebalanced by run first: a large run is written by several tasks,
+    a small one by one, so there are few files. With very many small runs use
+    ``by_run=False``.
     """
-    writer = df.write.mode("append")
-    (writer.partitionBy("run_id") if by_run else writer).parquet(path)
+    if by_run:
+        df.hint("rebalance", F.col("run_id")).write.mode("append").partitionBy("run_id").parquet(path)
+    else:
+        df.write.mode("append").parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:

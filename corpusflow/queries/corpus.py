@@ -39,11 +39,22 @@ def read_named(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resolve_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by_path = src.resolve_dataset(spark, f"{sf_dir}/documents.parquet")
-    by_name = src.resolve_dataset(spark, "chats", registry={"chats": f"{sf_dir}/conversations.parquet"})
-    return by_path.select(F.lit("path").alias("origin"), "text").unionByName(
-        by_name.select(F.lit("name").alias("origin"), "text")
-    )
+    """A Parquet path, compressed lines of JSON, a folder of CSV files, and a name."""
+    base = work_dir(spark, "sources")
+    items = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    items.select(F.to_json(F.struct("*")).alias("value")).write.option("compression", "gzip").text(f"{base}/items.jsonl.gz")
+    pages = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("text"))
+    pages.write.option("header", True).csv(f"{base}/pages")
+    found = {
+        "path": src.resolve_dataset(spark, f"{sf_dir}/documents.parquet"),
+        "lines": src.resolve_dataset(spark, f"{base}/items.jsonl.gz", schema="item_id BIGINT, text STRING"),
+        "folder": src.resolve_dataset(spark, f"{base}/pages", schema="page_id BIGINT, text STRING"),
+        "name": src.resolve_dataset(spark, "chats", registry={"chats": f"{sf_dir}/conversations.parquet"}),
+    }
+    first, *rest = [df.select(F.lit(origin).alias("origin"), "text") for origin, df in found.items()]
+    for df in rest:
+        first = first.unionByName(df)
+    return first
 
 
 def select_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,6 +123,8 @@ ORACLE = {
     "read_named": "SELECT conv_id, turn, role, text FROM conversations",
     "resolve_source": """
         SELECT 'path' AS origin, text FROM documents
+        UNION ALL SELECT 'lines' AS origin, text FROM benchmark
+        UNION ALL SELECT 'folder' AS origin, url AS text FROM pages
         UNION ALL SELECT 'name' AS origin, text FROM conversations""",
     "select_split": """
         SELECT doc_id, text,

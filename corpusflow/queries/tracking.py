@@ -8,7 +8,7 @@ from corpusflow.functions import values as v
 from corpusflow.operators import tracking as tr
 from corpusflow.operators.telemetry import block_means, utilization_stats
 from corpusflow.queries.tables import rounded, table
-from corpusflow.session import spread, work_dir
+from corpusflow.session import work_dir
 from corpusflow.settings import (
     AFTER_LENGTH,
     BATCH_PER_DEVICE,
@@ -35,12 +35,11 @@ def _run_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two dictionaries of metrics, appended one after the other."""
-    items = spread(_run_items(spark, sf_dir))
+    """Two dictionaries of metrics in one scan and one append."""
+    system = {"l_quantity": "system/quantity", "l_discount": "system/discount"}
+    training = {"l_extendedprice": "training/price", "l_tax": "training/tax"}
     path = work_dir(spark, "metrics")
-    ids = ["run_id", "step", "ts"]
-    tr.append_table(tr.to_long(items, ids, {"l_quantity": "system/quantity", "l_discount": "system/discount"}), path)
-    tr.append_table(tr.to_long(items, ids, {"l_extendedprice": "training/price", "l_tax": "training/tax"}), path)
+    tr.append_table(tr.to_long(_run_items(spark, sf_dir), ["run_id", "step", "ts"], system | training), path)
     return tr.read_table(spark, path, tr.METRICS_SCHEMA)
 
 

@@ -15,8 +15,12 @@ _FORMATS = {
     ".parquet": "parquet",
     ".orc": "orc",
     ".csv": "csv",
+    ".tsv": "tsv",
     ".txt": "text",
+    ".jsonl": "jsonl",
+    ".json": "json",
 }
+_COMPRESSED = (".gz", ".bz2", ".zst", ".deflate", ".snappy", ".lz4")
 
 METADATA_SCHEMA = (
     "dataset_name STRING, num_examples BIGINT, max_length INT, split STRING, "
@@ -53,32 +57,59 @@ def read_jsonl(spark: SparkSession, path: str, schema=None, on_bad: str = "fail"
     return _json_reader(spark, schema, on_bad).json(path)
 
 
+def _suffix_format(path: str) -> str | None:
+    """Format by the suffix, under that of a compression; None for others."""
+    name = path.rstrip("/").rsplit("/", 1)[-1].lower()
+    name = next((name.removesuffix(c) for c in _COMPRESSED if name.endswith(c)), name)
+    return next((f for suffix, f in _FORMATS.items() if name.endswith(suffix)), None)
+
+
+def _folder_format(spark: SparkSession, path: str) -> str:
+    """Format of the files in a folder, by their names; Parquet if they have no suffix of ours."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    ending = F.lower(F.regexp_extract("path", r"((\.[A-Za-z0-9]+){0,2})$", 1))
+    known = F.regexp_extract(ending, "(" + "|".join([*_FORMATS, *_COMPRESSED]).replace(".", "\\.") + ").*$", 0)
+    found = {_suffix_format(row[0]) for row in files.select(known).distinct().collect()} - {None}
+    if len(found) > 1:
+        raise ValueError(f"{path} holds files of several formats: {', '.join(sorted(found))}; give fmt")
+    return found.pop() if found else "parquet"
+
+
 def read_files(spark: SparkSession, path: str, fmt: str | None = None, schema=None) -> DataFrame:
-    """Any other file or directory; the format comes from the suffix, Parquet by default."""
-    if fmt is None:
-        fmt = next((f for suffix, f in _FORMATS.items() if path.endswith(suffix)), "parquet")
-    reader = spark.read.format(fmt)
+    """A file or folder of any format; a compression's suffix is looked through.
+
+    Without ``fmt`` the path's suffix decides, and for a folder without one the
+    names of its files. CSV and TSV have a header line; without ``schema`` their
+    columns are strings.
+    """
+    fmt = fmt or _suffix_format(path) or _folder_format(spark, path)
+    if fmt == "jsonl":
+        return read_jsonl(spark, path, schema)
+    if fmt == "json":
+        return read_json_document(spark, path, schema)
+    reader = spark.read.format("csv" if fmt == "tsv" else fmt)
     if schema is not None:
         reader = reader.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", True)
+    if fmt in ("csv", "tsv"):
+        reader = reader.option("header", True).option("sep", "\t" if fmt == "tsv" else ",")
     return reader.load(path)
 
 
-def read_named(spark: SparkSession, name: str, registry: dict[str, str] | None = None) -> DataFrame:
-    """A dataset by name: a path from ``registry``, else a table or view of the session."""
-    if registry and name in registry:
-        return read_path(spark, registry[name])
-    return spark.table(name)
-
+def read_named(
+    spark: SparkSession, name: str, registry: dict[str, str] | None = None, schema=None, fmt: str | None = None
+) -> DataFrame:
+    """A dataset by name: a path from ``registry``, else a table or view of the session.
 
-def read_path(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """A dataset by path, dispatched on its suffix."""
-    if path.endswith(".jsonl"):
-        return read_jsonl(spark, path, schema)
-    if path.endswith(".json"):
-        return read_json_document(spark, path, schema)
-    return read_files(spark, path, schema=schema)
+    A ``schema`` given for a table selects its columns, cast; one it lacks is NULL.
+    """
+    if registry and name in registry:
+        return read_files(spark, registry[name], fmt, schema)
+    df = spark.table(name)
+    if schema is None:
+        return df
+    struct = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    have = set(df.columns)
+    return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in struct])
 
 
 def resolve_dataset(
@@ -87,26 +118,31 @@ def resolve_dataset(
     split: str | None = None,
     schema=None,
     registry: dict[str, str] | None = None,
+    fmt: str | None = None,
 ) -> DataFrame:
     """A dataset given as an existing path or, failing that, as a name.
 
-    ``split`` selects rows when the dataset has a ``split`` column.
+    ``split`` selects rows; a dataset without a ``split`` column is the split ``train``.
     """
     try:
-        df = read_path(spark, source, schema)
+        df = read_files(spark, source, fmt, schema)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        df = read_named(spark, source, registry)
+        df = read_named(spark, source, registry, schema, fmt)
     return df if split is None else select_split(df, split)
 
 
 def select_split(df: DataFrame, split: str = SPLIT) -> DataFrame:
-    """Rows of one split. A dataset without a ``split`` column is a single split.
+    """Rows of one split. A dataset without a ``split`` column is the split ``train``; it has no other.
 
     On a dataset written with ``partitionBy("split")`` only that folder is read.
     """
-    return df.where(F.col("split") == split) if "split" in df.columns else df
+    if "split" in df.columns:
+        return df.where(F.col("split") == split)
+    if split != SPLIT:
+        raise ValueError(f"the dataset has no split {split!r}: without a split column all of it is {SPLIT!r}")
+    return df
 
 
 def text_column(df: DataFrame) -> str:

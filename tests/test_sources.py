@@ -55,6 +55,30 @@ def test_resolve_dispatches_on_path_suffix_then_name(spark, tmp_path):
         src.resolve_dataset(spark, "no_such_dataset")
 
 
+def test_compressed_files_folders_and_schemas(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "text string, n int")
+    df.select(F.to_json(F.struct("*"))).write.option("compression", "gzip").text(str(tmp_path / "rows.jsonl.gz"))
+    df.write.option("compression", "gzip").json(str(tmp_path / "lines"))  # part-*.json.gz, a row a line
+    df.write.option("header", True).option("sep", "\t").csv(str(tmp_path / "tabs"))
+    df.write.parquet(str(tmp_path / "columns"))
+    (tmp_path / "one.csv.gz").write_bytes(__import__("gzip").compress(b"text,n\nc,3\n"))
+    ddl = "text STRING, n INT, extra INT"
+    ab = [{"text": "a", "n": 1, "extra": None}, {"text": "b", "n": 2, "extra": None}]
+    for name, fmt in (("rows.jsonl.gz", None), ("lines", "jsonl"), ("tabs", "tsv"), ("columns", None)):
+        found = src.resolve_dataset(spark, str(tmp_path / name), schema=ddl, fmt=fmt)
+        assert sorted(rows(found), key=str) == sorted(ab, key=str), name
+    assert rows(src.resolve_dataset(spark, str(tmp_path / "one.csv.gz"))) == [{"text": "c", "n": "3"}]
+    named = src.resolve_dataset(spark, "x", registry={"x": str(tmp_path / "rows.jsonl.gz")}, schema=ddl)
+    assert named.columns == ["text", "n", "extra"]
+    df.createOrReplaceTempView("named_rows")
+    assert sorted(rows(src.read_named(spark, "named_rows", schema=ddl)), key=str) == sorted(ab, key=str)
+    (tmp_path / "mixed").mkdir()
+    (tmp_path / "mixed/a.csv").write_text("text\n")
+    (tmp_path / "mixed/b.jsonl").write_text("{}\n")
+    with pytest.raises(ValueError, match="several formats"):
+        src.resolve_dataset(spark, str(tmp_path / "mixed"))
+
+
 def test_split_is_pruned(spark, tmp_path):
     df = spark.createDataFrame([(1, "a", "train"), (2, "b", "test")], "id int, text string, split string")
     src.save_dataset(df, str(tmp_path / "d"), "d", partition_by=["split"])
@@ -62,6 +86,8 @@ def test_split_is_pruned(spark, tmp_path):
     assert [r.id for r in chosen.collect()] == [1]
     assert "PartitionFilters: [isnotnull(split" in chosen._jdf.queryExecution().toString()
     assert src.select_split(df.drop("split")).count() == 2
+    with pytest.raises(ValueError, match="no split 'validation'"):
+        src.select_split(df.drop("split"), "validation")
 
 
 def test_metadata_record(spark, tmp_path):
