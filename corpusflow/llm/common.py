@@ -98,14 +98,18 @@ def sorted_groups(
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def worker_cache(name: str) -> dict:
-    """A dict that a Python worker keeps from task to task.
+def worker_cache(owner: str, name: str) -> dict:
+    """A dict that a Python worker keeps from task to task, until another owner asks for one.
 
     Functions travel to the workers by value, so their own globals start anew
-    in each task. Whoever fills the dict bounds its size.
+    in each task. Whoever fills the dict bounds its size; as only one owner's
+    dicts are kept, operators that follow one another do not add up.
     """
-    module = sys.modules.setdefault(f"_{name}_cache", ModuleType(f"_{name}_cache"))
-    return vars(module).setdefault("entries", {})
+    module = sys.modules.setdefault("_corpusflow_worker_cache", ModuleType("_corpusflow_worker_cache"))
+    kept = vars(module)
+    if kept.get("owner") != owner:
+        kept["owner"], kept["entries"] = owner, {}
+    return kept["entries"].setdefault(name, {})
 
 
 class Recent:
@@ -115,8 +119,8 @@ class Recent:
     becomes the old one and the values not asked for since are forgotten.
     """
 
-    def __init__(self, name: str, limit: int):
-        self.kept, self.limit = worker_cache(name), limit
+    def __init__(self, owner: str, name: str, limit: int):
+        self.kept, self.limit = worker_cache(owner, name), limit
         self.kept.setdefault("young", {})
         self.kept.setdefault("old", {})
 

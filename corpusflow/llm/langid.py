@@ -28,7 +28,7 @@ TRAIN_DOCS = 8000
 ROUNDS = 2
 SMOOTHING = 0.01
 TRAIN_WORD_CHARS = 100
-CACHED_WORDS = 250_000
+CACHED_WORDS = 150_000
 MAX_MODEL_BYTES = 64 << 20
 UNKNOWN = "und"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -231,7 +231,7 @@ class Identifier:
 
         self.pieces, self.langs, self.p = pieces, langs, p
         self.letter = regex.compile(r"\p{L}").search
-        self.recent = Recent(f"langid_{zlib.crc32(p.tobytes())}", CACHED_WORDS)
+        self.recent = Recent(f"langid {zlib.crc32(p.tobytes())}", "words", CACHED_WORDS)
 
     def _make(self, words: list[str]) -> list[bytes]:
         return [row.tobytes() for row in word_logs(self.pieces, self.p, words).astype(np.float32)]

@@ -26,7 +26,7 @@ from corpusflow.session import stored
 CAPACITY = 2048
 END_ID = 0
 PIECES_PER_TASK = 200_000
-CACHED_CHUNKS = 350_000
+CACHED_CHUNKS = 300_000
 TOKENIZER = "word_bpe_49k.json"
 # The pre-tokenisation pattern and the byte alphabet of the public tokenizer.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -63,8 +63,8 @@ class ChunkIds:
         self.find = regex.compile(PRE_TOKENS).findall
         self.odd = regex.compile("[\x1c-\x1f]").search
         self.letters = {b: chr(c) for b, c in byte_alphabet().items()}
-        self.chunks = Recent(f"chunk_ids_{path}", limit)
-        self.words = Recent(f"word_ids_{path}", limit)
+        self.chunks = Recent(f"packing {path}", "chunks", limit)
+        self.words = Recent(f"packing {path}", "words", limit // 2)
         self.whole = regex.compile("[^\x00-\u02ff]|<[|]").search
 
     def _whole(self, text: str) -> bytes:

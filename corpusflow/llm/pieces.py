@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from corpusflow.llm.common import Recent, doc_texts, slices, table
 
 VOCABULARY = "piece_bpe_32k.model"
-CACHED_UNITS = 350_000
-CACHED_PAIRS = 1_000_000
+CACHED_UNITS = 300_000
+CACHED_PAIRS = 500_000
 SPACE = "▁"
 LATIN = "0-9A-Za-zÀ-ÖØ-öø-ɏ"
 
@@ -118,8 +118,8 @@ class Encoder:
         for i, piece in enumerate(vocabulary.pieces):
             self.rows[i, : len(piece)] = [ord(c) + 2 for c in piece]
         self.lengths = np.array([len(p) for p in vocabulary.pieces])
-        self.units = Recent(f"units_{vocabulary.path}", CACHED_UNITS)
-        self.pairs = Recent(f"pairs_{vocabulary.path}", CACHED_PAIRS)
+        self.units = Recent(f"pieces {vocabulary.path}", "units", CACHED_UNITS)
+        self.pairs = Recent(f"pieces {vocabulary.path}", "pairs", CACHED_PAIRS)
         self.out = [np.array([vocabulary.ids[p]], "<u4").tobytes() for p in vocabulary.pieces]
 
     def texts(self, texts: list[str]) -> list[bytes]:
