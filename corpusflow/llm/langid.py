@@ -28,7 +28,7 @@ TRAIN_DOCS = 8000
 ROUNDS = 2
 SMOOTHING = 0.01
 TRAIN_WORD_CHARS = 100
-CACHED_WORDS = 150_000
+CACHED_WORDS = 100_000
 MAX_MODEL_BYTES = 64 << 20
 UNKNOWN = "und"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -262,7 +262,7 @@ def identify(docs: DataFrame, pieces: Pieces, langs: list[str], p: np.ndarray) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()
         predict = Identifier(pieces, langs, p)
-        for part in slices(batches):
+        for part in slices(batches, max_bytes=2 << 20):
             labels, scores = zip(*predict(part.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(labels, pa.string()), pa.array(scores, pa.float64())],
