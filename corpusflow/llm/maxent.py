@@ -97,10 +97,11 @@ class Statistics:
             if held > known:
                 break
             least = row.least
-        top = counts.where(F.col("n") >= least).collect() if least is not None else []
-        top.sort(key=lambda r: (-r.n, bytes(r.token)))
-        words = [bytes(row.token) for row in top]
-        n = np.array([row.n for row in top], np.int64)
+        top = counts.where(F.col("n") >= least).toArrow() if least is not None else None
+        tokens, numbers = (top["token"].to_pylist(), top["n"].to_pylist()) if top is not None else ([], [])
+        order = sorted(range(len(tokens)), key=lambda i: (-numbers[i], tokens[i]))
+        words = [tokens[i] for i in order]
+        n = np.array([numbers[i] for i in order], np.int64)
         end = F.pmod(F.crc32(F.substring("token", -2, 2)), F.lit(ENDINGS)).cast("int")
         mass = np.ones(ENDINGS)  # each ending's unseen tokens count as one type seen never
         for row in counts.groupBy(end.alias("e")).agg(F.sum(F.col("n") + 1).alias("m")).collect():
