@@ -26,7 +26,7 @@ from corpusflow.session import stored
 CAPACITY = 2048
 END_ID = 0
 PIECES_PER_TASK = 200_000
-CACHED_CHUNKS = 300_000
+CACHED_CHUNKS = 200_000
 TOKENIZER = "word_bpe_49k.json"
 # The pre-tokenisation pattern and the byte alphabet of the public tokenizer.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -105,7 +105,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
         gc.disable()  # millions of small strings and no cycles
         encode, end = ChunkIds(tokenizer), np.array([end_id], "<u4").tobytes()
         step = 4 * capacity
-        for part in slices(batches, max_bytes=8 << 20):
+        for part in slices(batches, max_bytes=4 << 20):
             rows: list[tuple] = []
             texts = part.column("text").cast(pa.string()).to_pylist()
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode(texts)):
