@@ -1,7 +1,9 @@
 """Document fingerprints: Merkle trees over leaves, paragraphs and sections.
 
-A leaf is a clause with its closing marks and white space, a paragraph ends
-with a line, a section ends at a blank line or after a paragraph whose digest
+A leaf is a clause with its closing marks and white space; a clause of over
+``LONG`` bytes is cut where the hash of the last four bytes says so, and after
+``LONGEST`` bytes at the latest, so texts without marks have leaves too. A
+paragraph ends with a line, a section ends at a blank line or after a paragraph whose digest
 is divisible by eight (so an edit moves no other boundary). A node's digest is
 that of its children's digests. A fingerprint is the root (16 bytes) and then,
 in three bytes each, the leaves: 22 bits of digest and two that end a paragraph
@@ -13,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -24,18 +27,44 @@ from pyspark.sql import functions as F
 from corpusflow.llm.common import doc_texts, parallelism, slices, table
 from corpusflow.session import stored
 
-LEAF = re.compile(rb"[^.!?;:\n|#$%&*]*[.!?;:\n|#$%&*]+\s*|[^.!?;:\n|#$%&*]+")
+LEAF = re.compile(rb"[^.!?,;:\n|#$%&*]*[.!?,;:\n|#$%&*]+\s*|[^.!?,;:\n|#$%&*]+")
+LONG, SHORTEST, LONGEST = 64, 24, 128
+CUT_BITS = 5  # a place in 32 is a cut
 ROOT_BYTES = 16
 ENDS_PARAGRAPH, ENDS_SECTION = 1 << 22, 1 << 23
 SECTION_PARAGRAPHS = 8
 
 
+def leaf_pieces(text: bytes) -> list[bytes]:
+    """Clauses of a text, the long ones in pieces."""
+    out, cuts = [], None
+    end = 0
+    for piece in LEAF.findall(text):
+        start, end = end, end + len(piece)
+        if len(piece) <= LONG:
+            out.append(piece)
+            continue
+        if cuts is None:
+            raw = np.frombuffer(text, np.uint8).astype(np.uint32)
+            code = raw[:-3] << np.uint32(24) | raw[1:-2] << np.uint32(16) | raw[2:-1] << np.uint32(8) | raw[3:]
+            cuts = (np.flatnonzero(code * np.uint32(2654435761) >> np.uint32(32 - CUT_BITS) == 0) + 4).tolist()
+        while end - start > SHORTEST:
+            at = bisect_left(cuts, start + SHORTEST)
+            cut = min(cuts[at] if at < len(cuts) else end, start + LONGEST)
+            if cut >= end:
+                break
+            out.append(text[start:cut])
+            start = cut
+        out.append(text[start:end])
+    return out
+
+
 def fingerprint(text: bytes) -> bytes:
     """Root digest and leaves of a text; an empty text has a root and no leaf."""
     from xxhash import xxh3_128_digest
 
     sections, paragraphs, leaves, out = [], [], [], []
-    pieces = LEAF.findall(text)
+    pieces = leaf_pieces(text)
     last = len(pieces) - 1
     for i, piece in enumerate(pieces):
         digest = xxh3_128_digest(piece)
@@ -104,22 +133,31 @@ FIELDS = [
     ("edited_fingerprint", pa.binary()),
     ("near_edited", pa.float64()),
     ("near_next", pa.float64()),
+    ("shared", pa.int32()),
 ]
 DDL = (
     "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
-    "near_edited double, near_next double"
+    "near_edited double, near_next double, shared int"
 )
 ENDS = [("part", pa.int32()), ("first_text", pa.binary()), ("last_id", pa.int64()), ("last_text", pa.binary())]
 
 
 def _compared(doc_id: int | None, text: bytes, own: bytes, after: bytes, theirs: bytes) -> tuple:
-    """A result row: the text, its fingerprint, the next text and its fingerprint."""
+    """A result row: the text, its fingerprint, the next text and its fingerprint.
+
+    The first ``shared`` bytes of leaves, which the edited fingerprint begins
+    with too, are left out of it.
+    """
     chars = text.decode()
     half = len(chars) // 2
     edited = (chars[: len(chars) - half] + after.decode()[:half]).encode()
     changed = fingerprint(edited)
     digest = hashlib.sha256(edited).hexdigest()
-    return doc_id, len(chars), digest, own, changed, likeness(own, changed), likeness(own, theirs)
+    one, other = np.frombuffer(own, np.uint8)[ROOT_BYTES:], np.frombuffer(changed, np.uint8)[ROOT_BYTES:]
+    size = min(len(one), len(other))
+    shared = int(np.append(np.flatnonzero(one[:size] != other[:size]), size)[0])
+    stored_part = changed[:ROOT_BYTES] + changed[ROOT_BYTES + shared :]
+    return doc_id, len(chars), digest, own, stored_part, likeness(own, changed), likeness(own, theirs), shared
 
 
 def _rows_batch(rows: list[tuple]) -> list[pa.Array]:
@@ -176,7 +214,12 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(_rows_batch(rows), schema=pa.schema(FIELDS))
 
-    return both.where("part IS NULL").select(*names).union(seams.mapInArrow(close, DDL))
+    found = both.where("part IS NULL").select(*names).union(seams.mapInArrow(close, DDL))
+    whole = (
+        f"concat(substring(edited_fingerprint, 1, {ROOT_BYTES}), substring(fingerprint, {ROOT_BYTES + 1}, shared), "
+        f"substring(edited_fingerprint, {ROOT_BYTES + 1}))"
+    )
+    return found.withColumn("edited_fingerprint", F.expr(whole)).drop("shared")
 
 
 def op5_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -150,6 +150,33 @@ def test_one_document_is_its_own_neighbour(spark, no_documents):
     assert merkle.compare_with_next(no_documents).count() == 0
 
 
+def test_texts_without_marks_have_leaves():
+    rng = random.Random(3)
+    for text in (
+        "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(400)),
+        " ".join(f"word{rng.randrange(900)}" for _ in range(200)),
+        "na " * 400,
+        "x" * 3000,
+        ".\n" * 600,
+    ):
+        half = text[: len(text) // 2].encode()
+        one, other = merkle.fingerprint(text.encode()), merkle.fingerprint(half + b"q" * len(half))
+        assert b"".join(merkle.leaf_pieces(text.encode())) == text.encode()
+        assert len(merkle.leaves_of(one)) > 5 and merkle.likeness(one, other) > 0.2
+    assert len(merkle.leaves_of(merkle.fingerprint(b"one, two, three"))) == 3
+
+
+def test_edited_fingerprints_are_those_of_the_edited_texts(documents, rows):
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode()))
+    want = []
+    for (i, t, _), (_, after, _) in zip(order, order[1:] + order[:1]):
+        t, after = t or "", after or ""
+        half = len(t) // 2
+        want.append(repr((i, merkle.fingerprint((t[: len(t) - half] + after[:half]).encode()))))
+    found = merkle.compare_with_next(documents).collect()
+    assert sorted(repr((r.doc_id, bytes(r.edited_fingerprint))) for r in found) == sorted(want)
+
+
 # quality
 
 
