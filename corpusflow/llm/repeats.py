@@ -119,11 +119,11 @@ class Segments:
 
 
 def source_texts(docs: DataFrame, carry: list[str]) -> DataFrame:
-    """``id`` (a null doc_id comes first), ``h`` (15 bits of the text's hash), ``text``, and columns to carry along by number."""
+    """``id`` (a null doc_id comes first), ``h`` (64-bit hash of the text), ``text``, and columns to carry along by number."""
     text = F.coalesce("text", F.lit("")).cast("binary")
     return docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID).cast("bigint")).alias("id"),
-        F.pmod(F.xxhash64(text), F.lit(1 << 15)).cast("bigint").alias("h"),
+        F.xxhash64(text).alias("h"),
         text.alias("text"),
         *[F.col(c).alias(f"_carry{i}") for i, c in enumerate(carry)],
     )
@@ -147,12 +147,16 @@ def crowded_anchors(texts: DataFrame, window: int, gram: int) -> np.ndarray:
     return sums > CROWDED * max(1000, sums.sum() // parallelism(texts.sparkSession))
 
 
-#: ``span``: 15 bits of text hash, 40 of the first window's place, 8 of their number; orders places within a doc_id.
-def _span(h: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
-    return h << 48 | start << 8 | n
+def _same_as_before(*columns: np.ndarray) -> np.ndarray:
+    """Rows that equal the one before them in all columns."""
+    same = np.ones(max(0, len(columns[0]) - 1), bool)
+    for c in columns:
+        same &= c[1:] == c[:-1]
+    return np.append(np.zeros(min(1, len(columns[0])), bool), same)
 
 
-ANCHORED = "anchor bigint, content bigint, id bigint, span bigint"
+#: ``id, h`` is the document, ``span`` 40 bits of the first window's place and 8 of their number.
+ANCHORED = "anchor bigint, content bigint, id bigint, h bigint, span bigint"
 
 
 def anchored_segments(texts: DataFrame, crowded: np.ndarray, window: int, gram: int) -> DataFrame:
@@ -174,44 +178,45 @@ def anchored_segments(texts: DataFrame, crowded: np.ndarray, window: int, gram:
             many = crowded[(found.anchor >> np.uint64(48)).astype(np.int64)]
             content = found.contents() & ~np.uint64(3) | repeats.astype(np.uint64) | many.astype(np.uint64) << np.uint64(1)
             found.anchor[many] ^= content[many] * _MIX[0]
-            id_ = ids[found.doc]
-            span = _span(hs[found.doc], found.start - found.offset[found.doc], found.n)
-            order = np.lexsort((span, id_, content, found.anchor))
-            anchor, content, id_, span = found.anchor[order], content[order], id_[order], span[order]
-            copy = np.concatenate([[False], (anchor[1:] == anchor[:-1]) & (content[1:] == content[:-1])])
-            fresh, known = np.flatnonzero(~copy), np.flatnonzero(copy)
-            ranges_id, ranges_span = merged(id_[known], span[known])
+            id_, h = ids[found.doc], hs[found.doc]
+            span = (found.start - found.offset[found.doc]) << 8 | found.n
+            order = np.lexsort((span, h, id_, content, found.anchor))
+            anchor, content, id_, h, span = found.anchor[order], content[order], id_[order], h[order], span[order]
+            copy = _same_as_before(anchor, content)
+            fresh, known = np.flatnonzero(~copy), np.flatnonzero(copy & ~_same_as_before(anchor, content, id_, h, span))
+            ranges_id, ranges_h, ranges_span = merged(id_[known], h[known], span[known])
             size = len(fresh) + len(ranges_id)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate([anchor[fresh].view(np.int64), ranges_id * 31 + ranges_span])),
+                    pa.array(np.concatenate([anchor[fresh].view(np.int64), (ranges_id * 31 + ranges_h) * 31 + ranges_span])),
                     pa.array(np.append(content[fresh].view(np.int64), np.zeros(len(ranges_id), np.int64)), mask=np.arange(size) >= len(fresh)),
                     pa.array(np.concatenate([id_[fresh], ranges_id])),
+                    pa.array(np.concatenate([h[fresh], ranges_h])),
                     pa.array(np.concatenate([span[fresh], ranges_span])),
                 ],
-                ["anchor", "content", "id", "span"],
+                ["anchor", "content", "id", "h", "span"],
             )
 
     return texts.mapInArrow(run, ANCHORED)
 
 
-def merged(id_: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def merged(id_: np.ndarray, h: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Neighbouring runs of windows as one, of fewer than ``2 * RUN`` windows, which fit the eight bits."""
-    order = np.lexsort((span, id_))
-    id_, span = id_[order], span[order]
+    order = np.lexsort((span, h, id_))
+    id_, h, span = id_[order], h[order], span[order]
     if not len(id_):
-        return id_, span
+        return id_, h, span
     start, n = span >> 8, span & 0xFF
-    follows = np.concatenate([[False], (id_[1:] == id_[:-1]) & (start[1:] == start[:-1] + n[:-1])])
+    follows = np.concatenate([[False], (id_[1:] == id_[:-1]) & (h[1:] == h[:-1]) & (start[1:] == start[:-1] + n[:-1])])
     run = np.cumsum(~follows) - 1
     before = np.cumsum(n) - n
     block = (before - before[np.flatnonzero(~follows)][run]) // RUN
     first = np.flatnonzero(np.concatenate([[True], (run[1:] != run[:-1]) | (block[1:] != block[:-1])]))
     sums = np.add.reduceat(n, first)
-    return id_[first], (start[first] << 8) | sums
+    return id_[first], h[first], (start[first] << 8) | sums
 
 
-DECIDED = "repeat boolean, id bigint, span bigint, anchor bigint, crowded boolean"
+DECIDED = "repeat boolean, id bigint, h bigint, span bigint, anchor bigint, crowded boolean"
 
 
 def decided_segments(anchored: DataFrame) -> DataFrame:
@@ -224,7 +229,7 @@ def decided_segments(anchored: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, "anchor"):
-            anchor, id_, span = (group.column(c).to_numpy() for c in ("anchor", "id", "span"))
+            anchor, id_, h, span = (group.column(c).to_numpy() for c in ("anchor", "id", "h", "span"))
             known = group.column("content").is_null().to_numpy()
             content = group.column("content").fill_null(0).to_numpy()
             same = np.concatenate([[False], (anchor[1:] == anchor[:-1]) & (content[1:] == content[:-1]) & ~known[1:] & ~known[:-1]])
@@ -235,13 +240,14 @@ def decided_segments(anchored: DataFrame) -> DataFrame:
             loops = np.bincount(number[first & (content & 1 == 1)], minlength=number[-1] + 1)
             crowded = first & (content & 2 == 2)
             compare = crowded | first & ((contents > 1) | (loops > 0))[number]
-            out = np.flatnonzero(compare | same | known)
+            again = same & _same_as_before(id_, h, span)  # of a row that stands in the table twice
+            out = np.flatnonzero(compare | same & ~again | known)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(~compare[out]), pa.array(id_[out]), pa.array(span[out]), pa.array(anchor[out]), pa.array(crowded[out])],
-                ["repeat", "id", "span", "anchor", "crowded"],
+                [pa.array(~compare[out]), pa.array(id_[out]), pa.array(h[out]), pa.array(span[out]), pa.array(anchor[out]), pa.array(crowded[out])],
+                ["repeat", "id", "h", "span", "anchor", "crowded"],
             )
 
-    dealt = anchored.repartition(parallelism(anchored.sparkSession), "anchor").sortWithinPartitions("anchor", "content", "id", "span")
+    dealt = anchored.repartition(parallelism(anchored.sparkSession), "anchor").sortWithinPartitions("anchor", "content", "id", "h", "span")
     return dealt.mapInArrow(run, DECIDED)
 
 
@@ -261,7 +267,7 @@ def packed(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
-CUT = "anchor bigint, content bigint, id bigint, span bigint, bytes binary"
+CUT = "anchor bigint, content bigint, id bigint, h bigint, span bigint, bytes binary"
 
 
 def cut_segments(texts: DataFrame, wanted: DataFrame, window: int, shard_segments: int = SHARD_SEGMENTS) -> DataFrame:
@@ -274,26 +280,26 @@ def cut_segments(texts: DataFrame, wanted: DataFrame, window: int, shard_segment
     large = wanted.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > shard_segments)
     large = large.select("anchor", F.lit(True).alias("_large"))
     marked = wanted.join(large, "anchor", "left").withColumn("large", F.col("crowded") | F.col("_large").isNotNull())
-    per_text = marked.groupBy("id", F.shiftright("span", 48).alias("h")).agg(
+    per_text = marked.groupBy("id", "h").agg(
         F.collect_list(F.struct("anchor", "span", "large")).alias("wants")
     )
 
-    def windows(id_: int, spans: list[int], text: bytes) -> pa.RecordBatch:
+    def windows(id_: int, h: int, spans: list[int], text: bytes) -> pa.RecordBatch:
         buffer = np.frombuffer(text, np.uint8)
         one, two = _hashes(buffer, window, _MIX[2]), _hashes(buffer, window, _MIX[0])
         s = np.array(spans, np.int64)
         n = s & 0xFF
         at = np.repeat(s >> 8, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        place = at & 0xFFFFFFFFFF
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(one[place].view(np.int64)),
-                pa.array((two[place] & ~np.uint64(3)).view(np.int64)),
+                pa.array(one[at].view(np.int64)),
+                pa.array((two[at] & ~np.uint64(3)).view(np.int64)),
                 pa.array(np.full(len(at), id_, np.int64)),
+                pa.array(np.full(len(at), h, np.int64)),
                 pa.array(at << 8 | 1),
                 pa.nulls(len(at), pa.binary()),
             ],
-            ["anchor", "content", "id", "span", "bytes"],
+            ["anchor", "content", "id", "h", "span", "bytes"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,30 +308,33 @@ def cut_segments(texts: DataFrame, wanted: DataFrame, window: int, shard_segment
         expand = zstandard.ZstdDecompressor().decompress
         for part in slices(batches, "z", 1 << 20):
             rows = []
-            for id_, z, wants in zip(part.column("id").to_pylist(), part.column("z").to_pylist(), part.column("wants").to_pylist()):
+            for id_, h, z, wants in zip(*(part.column(c).to_pylist() for c in ("id", "h", "z", "wants"))):
                 text = expand(z)
                 for want in wants:
-                    start, n = want["span"] >> 8 & 0xFFFFFFFFFF, want["span"] & 0xFF
+                    start, n = want["span"] >> 8, want["span"] & 0xFF
                     if not want["large"]:
-                        rows.append((want["anchor"], None, id_, want["span"], text[start : start + n + window - 1]))
+                        rows.append((want["anchor"], None, id_, h, want["span"], text[start : start + n + window - 1]))
                 if spans := [want["span"] for want in wants if want["large"]]:
-                    yield windows(id_, spans, text)
-            columns = list(zip(*rows)) or [()] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["anchor", "content", "id", "span", "bytes"])
+                    yield windows(id_, h, spans, text)
+            columns = list(zip(*rows)) or [()] * 6
+            kinds = [pa.int64()] * 5 + [pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["anchor", "content", "id", "h", "span", "bytes"])
 
-    return packed(texts).join(per_text, ["id", "h"]).select("id", "z", "wants").mapInArrow(run, CUT)
+    return packed(texts).join(per_text, ["id", "h"]).select("id", "h", "z", "wants").mapInArrow(run, CUT)
 
 
 def shard_repeats(segments: DataFrame, window: int, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """``id, span`` of windows that stand earlier in another segment of their anchor, or in their own.
+    """``id, h, span`` of windows that stand earlier in another segment of their anchor, or in their own.
 
     A task handles whole anchors, about ``shard_bytes`` at a time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, "anchor", min_rows=1 << 40, measure="bytes", limit=shard_bytes):
-            id_, span = group.column("id").to_numpy(), group.column("span").to_numpy()
+            anchor, id_, h, span = (group.column(c).to_numpy() for c in ("anchor", "id", "h", "span"))
+            once = np.flatnonzero(~_same_as_before(anchor, id_, h, span))
+            if len(once) < len(span):
+                group, id_, h, span = group.take(pa.array(once)), id_[once], h[once], span[once]
             texts = group.column("bytes").to_pylist()
             text = np.frombuffer(b"\xff".join(texts) + b"\xff", np.uint8)
             first = np.cumsum([0, *(len(t) + 1 for t in texts)])[:-1]
@@ -339,18 +348,18 @@ def shard_repeats(segments: DataFrame, window: int, shard_bytes: int = SHARD_BYT
             place = later - first[row]
             inside = place < (span & 0xFF)[row]
             row, place = row[inside], place[inside]
-            found = merged(id_[row], ((span[row] >> 8) + place) << 8 | 1)
-            yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["id", "span"])
+            found = merged(id_[row], h[row], ((span[row] >> 8) + place) << 8 | 1)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["id", "h", "span"])
 
-    dealt = segments.repartition(parallelism(segments.sparkSession), "anchor").sortWithinPartitions("anchor", "id", "span")
-    return dealt.mapInArrow(run, "id bigint, span bigint")
+    dealt = segments.repartition(parallelism(segments.sparkSession), "anchor").sortWithinPartitions("anchor", "id", "h", "span")
+    return dealt.mapInArrow(run, "id bigint, h bigint, span bigint")
 
 
 def covered(spans: list[int], window: int) -> list[tuple[int, int]]:
     """Byte ranges that the windows of ``spans`` cover, in order and apart from each other."""
     if not spans:
         return []
-    s = np.sort(np.array(spans, np.int64) & 0xFFFFFFFFFFFF)
+    s = np.sort(np.array(spans, np.int64))
     start, end = s >> 8, (s >> 8) + (s & 0xFF) + window - 1
     end = np.maximum.accumulate(end)
     new = np.concatenate([[True], start[1:] > end[:-1]])
@@ -361,7 +370,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, carr
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` (bytes) for every row, and the columns to ``carry`` along.
 
     "Earlier" goes by doc_id, then by place; rows without id come first. Rows
-    that share a doc_id are told apart by (15 bits of) the hash of their texts
+    that share a doc_id are told apart by the 64-bit hash of their texts
     and come in its order. Rows equal in both count as one document, whose
     result each of them gets. A null or empty text gives zeros and the digest of
     nothing.
@@ -370,12 +379,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, carr
     once = texts.select("id", "h", "text")
     crowded = crowded_anchors(once, window, gram)
     decided = stored(decided_segments(anchored_segments(once, crowded, window, gram)), "decided")
-    wanted = decided.where("NOT repeat").select("id", "span", "anchor", "crowded").distinct()
+    wanted = decided.where("NOT repeat").select("id", "h", "span", "anchor", "crowded").distinct()
     cut = stored(cut_segments(once, wanted, window), "cut_segments")
-    compared = shard_repeats(cut.where("bytes IS NOT NULL").select("anchor", "id", "span", "bytes"), window)
-    equal = decided_segments(cut.where("bytes IS NULL").select("anchor", "content", "id", "span")).where("repeat")
-    repeats = decided.where("repeat").select("id", "span").union(compared).union(equal.select("id", "span"))
-    per_text = repeats.groupBy("id", F.shiftright("span", 48).alias("h")).agg(F.collect_list("span").alias("spans"))
+    compared = shard_repeats(cut.where("bytes IS NOT NULL").select("anchor", "id", "h", "span", "bytes"), window)
+    equal = decided_segments(cut.where("bytes IS NULL").select("anchor", "content", "id", "h", "span")).where("repeat")
+    repeats = decided.where("repeat").select("id", "h", "span").union(compared).union(equal.select("id", "h", "span"))
+    per_text = repeats.groupBy("id", "h").agg(F.collect_list("span").alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard

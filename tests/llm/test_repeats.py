@@ -66,6 +66,24 @@ def test_odd_rows(documents, rows):
     assert (by_id[30].n_bytes, by_id[30].n_removed, by_id[30].n_spans) == (0, 0, 0)
 
 
+def test_rows_without_id_are_told_apart(spark):
+    """Many texts under one id or none, some twice: each loses what stands earlier, and nothing else."""
+    rng = random.Random(5)
+    passages = [" ".join(str(rng.randrange(10**6)) for _ in range(30)) for _ in range(5)]
+    texts = []
+    for k in range(1500):
+        own = " ".join(str(rng.randrange(10**6)) for _ in range(rng.randrange(5, 60)))
+        texts.append(own + rng.choice(passages) * rng.randrange(2))
+    rows = [(None if k % 3 else 7, t, "en") for k, t in enumerate(texts)]
+    docs = make_documents(spark, rows + rows[:9])
+    order = [(r.id, r.h, bytes(r.text)) for r in repeats.source_texts(docs, []).collect()]
+    want = brute([t for _, _, t in sorted(set(order))], 100)
+    by_row = dict(zip(sorted(set(order)), want))
+    found = repeats.remove_repeats(docs).collect()
+    got = sorted((r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found)
+    assert got == sorted((7 if i == 7 else 0, *by_row[i, h, t]) for i, h, t in order)
+
+
 def test_no_documents(no_documents):
     assert repeats.remove_repeats(no_documents).count() == 0
 
