@@ -135,32 +135,35 @@ def word_logs(pieces: Pieces, p: np.ndarray, words: list[str], cells: int = 200_
 def expected_counts(pieces: Pieces, p: np.ndarray, words: list[str], weights: np.ndarray, cells: int = 200_000) -> np.ndarray:
     """Expected uses of every piece over all segmentations of the words, by the forward-backward algorithm."""
     counts = np.zeros(pieces.size)
-    log_p = np.log(p[:, None])
+    log_p = np.log(p)
     for places, chars in _by_length(words, cells):
         m, n = chars.shape
-        spelled = _byte_edges(pieces, log_p, chars)[:, :, 0]
+        distinct, back = np.unique(chars, return_inverse=True)
+        bytes_of = [[pieces.first_byte + b for b in chr(c).encode("utf-8", "surrogatepass")] for c in distinct.tolist()]
+        spelled = np.array([log_p[b].sum() for b in bytes_of])[back.reshape(chars.shape)]
         edges = [(s, t, hit, piece[hit]) for s, t, piece in pieces.edges(chars) if len(hit := np.flatnonzero(piece >= 0))]
         into: dict[int, list] = {}
         for edge in edges:
             into.setdefault(edge[1], []).append(edge)
-        alpha = np.zeros((n + 1, m))
-        alpha[0] = 1
+        alpha = np.zeros((n + 1, m))  # logs: a long word's sums are too small for a float
         for to in range(1, n + 1):
-            alpha[to] = alpha[to - 1] * spelled[:, to - 1]
+            alpha[to] = alpha[to - 1] + spelled[:, to - 1]
             for start, _, hit, piece in into.get(to, ()):
-                alpha[to][hit] += alpha[start][hit] * p[piece]
-        beta = np.zeros((n + 1, m))
-        beta[n] = weights[places] / alpha[n]
+                alpha[to][hit] = np.logaddexp(alpha[to][hit], alpha[start][hit] + log_p[piece])
+        passing = np.zeros((n + 1, m))  # how much of the weight goes through a place
+        passing[n] = weights[places]
+        uses = np.empty((m, n))
         for to in range(n, 0, -1):
-            beta[to - 1] += beta[to] * spelled[:, to - 1]
+            flow = passing[to] * np.exp(alpha[to - 1] + spelled[:, to - 1] - alpha[to])
+            uses[:, to - 1] = flow
+            passing[to - 1] += flow
             for start, _, hit, piece in into.get(to, ()):
-                flow = beta[to][hit] * p[piece]
-                beta[start][hit] += flow
-                np.add.at(counts, piece, alpha[start][hit] * flow)
-        uses = alpha[:n].T * spelled * beta[1:].T
-        for c in np.unique(chars).tolist():
-            for b in chr(c).encode("utf-8", "surrogatepass"):
-                counts[pieces.first_byte + b] += uses[chars == c].sum()
+                flow = passing[to][hit] * np.exp(alpha[start][hit] + log_p[piece] - alpha[to][hit])
+                passing[start][hit] += flow
+                np.add.at(counts, piece, flow)
+        spelled_uses = np.bincount(back.ravel(), uses.ravel(), len(distinct))
+        for b, used in zip(bytes_of, spelled_uses.tolist()):
+            np.add.at(counts, b, used)
     return counts
 
 
@@ -171,22 +174,29 @@ def words_of(text: str) -> list[str]:
 def train(texts: DataFrame, pieces: Pieces, train_docs: int = TRAIN_DOCS, rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
     """Languages and their piece probabilities from rows ``doc_id, text, lang``.
 
-    Fitted on the documents with the smallest hashes of their id, about
-    ``train_docs`` of them, by ``rounds`` of expectation maximisation from equal
+    Fitted on each language's documents with the smallest hashes of their id,
+    about an equal part of ``train_docs`` for each language or all it has, by ``rounds`` of expectation maximisation from equal
     probabilities. Words are counted and expected uses summed by Spark; what
     reaches the driver is one number per piece and language, at most
-    ``MAX_MODEL_BYTES``. Words of over ``TRAIN_WORD_CHARS`` characters teach nothing.
+    ``MAX_MODEL_BYTES``. Words of over ``TRAIN_WORD_CHARS`` characters (texts
+    without spaces) are learned from in pieces of so many.
     """
     texts = texts.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text", "lang")
-    total = texts.count()
-    share = min(1.0, train_docs / total) if total else 1.0
-    sample = texts.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) < F.lit(math.ceil(share * (1 << 20))))
+    most = MAX_MODEL_BYTES // (pieces.size * 8)
+    sizes = texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(most + 1).collect()
+    if len(sizes) > most:
+        raise ValueError(f"more than {most} languages make a model of more than {MAX_MODEL_BYTES} bytes")
+    part = train_docs / max(1, len(sizes))
+    shares = [(row.lang, math.ceil(min(1.0, part / row.n) * (1 << 40))) for row in sizes]
+    limits = F.broadcast(texts.sparkSession.createDataFrame(shares, "lang string, share bigint"))
+    placed = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 40))
+    sample = texts.join(limits, "lang").where(placed < F.col("share")).select("doc_id", "text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter[tuple[str, str]] = Counter()
         for part in slices(batches):
             for text, lang in zip(part.column("text").cast(pa.string()).to_pylist(), part.column("lang").to_pylist()):
-                found.update((lang, w) for w in words_of(text) if len(w) <= TRAIN_WORD_CHARS)
+                found.update((lang, w[i : i + TRAIN_WORD_CHARS]) for w in words_of(text) for i in range(0, len(w), TRAIN_WORD_CHARS))
         keys = list(found)
         columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string())]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(list(found.values()), pa.int64())], ["lang", "word", "n"])
@@ -196,8 +206,6 @@ def train(texts: DataFrame, pieces: Pieces, train_docs: int = TRAIN_DOCS, rounds
     )
     counted = stored(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")), "language_words")
     langs = sorted(row.lang for row in counted.select("lang").distinct().collect())
-    if len(langs) * pieces.size * 8 > MAX_MODEL_BYTES:
-        raise ValueError(f"{len(langs)} languages make a model of more than {MAX_MODEL_BYTES} bytes")
     p = np.full((pieces.size, max(1, len(langs))), 1 / pieces.size)
     dealt = counted.repartition(parallelism(texts.sparkSession), "word")
     for _ in range(rounds if langs else 0):

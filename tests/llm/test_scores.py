@@ -49,6 +49,33 @@ def test_expected_counts_sum_to_the_characters():
     assert (counts * size).sum() == pytest.approx(sum(n * len(w.encode()) for w, n in zip(words, weights)))
 
 
+def test_expected_counts_of_long_words_as_differences_of_their_logs():
+    """Expected uses are derivatives of the log probability, also where that is far below the least float."""
+    pieces = langid.Pieces(["▁", "a", "ab", "日本"], list(range(256)))
+    p = np.full(pieces.size, 1e-4)
+    word = "▁" + "日本語ab" * 19 + "語" * 4
+    counts = langid.expected_counts(pieces, p, [word], np.array([3.0]))
+    assert np.isfinite(counts).all()
+    for piece in (1, 2, 3, pieces.first_byte + "語".encode()[0]):
+        up, down = p.copy(), p.copy()
+        up[piece], down[piece] = 1e-4 * 1.001, 1e-4 / 1.001
+        high, low = (langid.word_logs(pieces, q[:, None], [word])[0, 0] for q in (up, down))
+        assert counts[piece] == pytest.approx(3 * (high - low) / (2 * math.log(1.001)), rel=1e-4)
+
+
+def test_rare_languages_and_texts_without_spaces_are_learned(spark):
+    rng = random.Random(2)
+    han = ["".join(chr(rng.randrange(0x4E00, 0x4F00)) for _ in range(300)) for _ in range(5)]
+    rows = [(i, " ".join(rng.choice("storm river glass winter mill".split()) for _ in range(9)), "en") for i in range(1500)]
+    rows += [(2000 + i, t, "zh") for i, t in enumerate(han)]
+    rows += [(3000 + i, " ".join(rng.choice("fleuve orage verre hiver".split()) for _ in range(9)), "fr") for i in range(3)]
+    docs, pieces = make_documents(spark, rows), langid.public_pieces()
+    langs, p = langid.train(docs, pieces, train_docs=60)
+    assert langs == ["en", "fr", "zh"] and np.isfinite(p).all()
+    predict = langid.Identifier(pieces, langs, p)
+    assert [lang for lang, _ in predict([rows[0][1].encode(), han[0].encode(), b"orage verre fleuve"])] == ["en", "zh", "fr"]
+
+
 def test_languages_of_odd_rows(documents, rows):
     pieces = langid.public_pieces()
     langs, p = langid.train(documents, pieces)
