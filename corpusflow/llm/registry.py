@@ -1,8 +1,20 @@
 """Registered queries of the subpackage and their SQL counterparts."""
 
-from corpusflow.llm import embeddings, langid, licenses, maxent, merkle, packing, pieces, quality, repeats, simhash
+from corpusflow.llm import (
+    embeddings,
+    langid,
+    licenses,
+    manifest,
+    maxent,
+    merkle,
+    packing,
+    pieces,
+    quality,
+    repeats,
+    simhash,
+)
 
-_MODULES = (packing, simhash, merkle, licenses, langid, quality, pieces, maxent, embeddings, repeats)
+_MODULES = (packing, simhash, merkle, licenses, langid, quality, pieces, maxent, embeddings, repeats, manifest)
 
 
 def queries() -> dict:
