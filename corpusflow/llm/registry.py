@@ -7,6 +7,7 @@ from corpusflow.llm import (
     manifest,
     maxent,
     merkle,
+    mixture,
     packing,
     pieces,
     quality,
@@ -14,7 +15,7 @@ from corpusflow.llm import (
     simhash,
 )
 
-_MODULES = (packing, simhash, merkle, licenses, langid, quality, pieces, maxent, embeddings, repeats, manifest)
+_MODULES = (packing, simhash, merkle, licenses, langid, quality, pieces, maxent, embeddings, repeats, manifest, mixture)
 
 
 def queries() -> dict:
