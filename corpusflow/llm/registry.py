@@ -9,13 +9,14 @@ from corpusflow.llm import (
     merkle,
     mixture,
     packing,
+    phrases,
     pieces,
     quality,
     repeats,
     simhash,
 )
 
-_MODULES = (packing, simhash, merkle, licenses, langid, quality, pieces, maxent, embeddings, repeats, manifest, mixture)
+_MODULES = (packing, simhash, merkle, licenses, langid, quality, pieces, maxent, embeddings, repeats, phrases, manifest, mixture)
 
 
 def queries() -> dict:
