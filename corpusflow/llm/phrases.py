@@ -18,6 +18,7 @@ are exact; the table only saves work.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -146,14 +147,15 @@ def count_block(data: bytes, lang: str, scan: int, shards: int, begun: np.ndarra
         usable[open_] = np.maximum(_begun(phrase[open_], begun), start[open_])
 
 
-def _scan(shard: DataFrame, scan: int, shards: int, begun, longest: int) -> DataFrame:
+def _scan(shard: DataFrame, scan: int, shards: int, packed, longest: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begun = np.frombuffer(zlib.decompress(packed.value), np.uint8)
         for part in slices(batches, max_bytes=BLOCK_BYTES):
             coded = part.column("lang").dictionary_encode()
             for code, lang in enumerate(coded.dictionary.to_pylist()):
                 own = part.column("text").filter(pc.equal(coded.indices, code))
                 for data in blocks(own.to_pylist()):
-                    for size, phrases, starts, counts in count_block(data, lang, scan, shards, begun.value, longest):
+                    for size, phrases, starts, counts in count_block(data, lang, scan, shards, begun, longest):
                         rows = len(phrases)
                         yield pa.RecordBatch.from_arrays(
                             [
@@ -219,7 +221,7 @@ def count_phrases(
     keys, results, state = ["lang", "size", "phrase", "start"], [], None
     scan, changed = 0, 0
     while scan < max(shards, changed + shards):
-        shared = spark.sparkContext.broadcast(begun)
+        shared = spark.sparkContext.broadcast(zlib.compress(begun.tobytes(), 1))
         shard = dealt.where(F.col("shard") == scan % shards).select("lang", "text")
         found = _scan(shard, scan, shards, shared, longest).withColumn("before", F.lit(0).cast("bigint"))
         if state is not None:
@@ -230,7 +232,7 @@ def count_phrases(
         state = merged.where(~over)
         reached = merged.where((F.col("size") >= 1) & (F.col("size") < longest) & (F.col("n") >= least) & (F.col("before") < least))
         new = _reached_cells(reached, cells)
-        shared.unpersist()
+        shared.destroy()
         new = new[begun[new] == NEVER]
         if len(new):
             begun = begun.copy()
