@@ -43,7 +43,7 @@ SCALE = 2_000_000
 PARTS = 64
 
 _TO = bytes.maketrans(b",;:!?\n\x0b\x0c\r\t" + bytes(range(65, 91)), b"........." + b" " + bytes(range(97, 123)))
-_COUNTED = "lang string, size int, phrase binary, start int, n bigint"
+_END = b"\xff"  # stands in no UTF-8 text
 
 
 def _mixed(h: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -156,19 +156,30 @@ def _scan(shard: DataFrame, scan: int, shards: int, packed, longest: int) -> Dat
                 own = part.column("text").filter(pc.equal(coded.indices, code))
                 for data in blocks(own.to_pylist()):
                     for size, phrases, starts, counts in count_block(data, lang, scan, shards, begun, longest):
-                        rows = len(phrases)
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array([lang], pa.string()).take(pa.array(np.zeros(rows, np.int32))),
-                                pa.array(np.full(rows, size, np.int32)),
-                                phrases,
-                                pa.array(starts, pa.int32()),
-                                pa.array(counts, pa.int64()),
-                            ],
-                            ["lang", "size", "phrase", "start", "n"],
-                        )
+                        name = bytes([size]) + lang.encode() + _END
+                        prefixes = pa.array([bytes([i]) + name for i in range(scan + 1)], pa.binary())
+                        keys = pc.binary_join_element_wise(prefixes.take(pa.array(starts)), phrases, pa.scalar(b"", pa.binary()))
+                        yield pa.RecordBatch.from_arrays([keys, pa.array(counts, pa.int64())], ["key", "n"])
 
-    return shard.mapInArrow(run, _COUNTED)
+    return shard.mapInArrow(run, "key binary, n bigint")
+
+
+def _named(key: bytes) -> tuple[str, int, bytes]:
+    """Language, number of words and phrase of a key: a byte for the first scan, one for the size, the language, the phrase."""
+    lang, phrase = key[2:].split(_END, 1)
+    return lang.decode(), key[1], phrase
+
+
+def _decoded(counts: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                langs, sizes, phrases = zip(*map(_named, batch.column("key").to_pylist()))
+                columns = [pa.array(langs), pa.array(sizes, pa.int32()), pa.array(phrases, pa.binary()), batch.column("n")]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "n"])
+
+    found = counts.select("key", "n").mapInArrow(run, "lang string, size int, phrase binary, n bigint")
+    return found.withColumn("phrase", F.col("phrase").cast("string"))
 
 
 def _reached_cells(reached: DataFrame, cells: int) -> np.ndarray:
@@ -178,11 +189,11 @@ def _reached_cells(reached: DataFrame, cells: int) -> np.ndarray:
         from xxhash import xxh64_intdigest
 
         for batch in batches:
-            seeds = {lang: xxh64_intdigest(lang.encode()) for lang in set(batch.column("lang").to_pylist())}
+            seeds: dict[str, int] = {}
             by_size: dict[int, list] = {}
-            for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist()):
-                words = phrase.split(b" ")
-                by_size.setdefault(len(words), []).append([xxh64_intdigest(w, seeds[lang]) for w in words])
+            for lang, size, phrase in map(_named, batch.column("key").to_pylist()):
+                seed = seeds.get(lang) or seeds.setdefault(lang, xxh64_intdigest(lang.encode()))
+                by_size.setdefault(size, []).append([xxh64_intdigest(w, seed) for w in phrase.split(b" ")])
             for hashes in by_size.values():
                 first, *others = np.array(hashes, np.uint64).T
                 for w in others:
@@ -190,7 +201,7 @@ def _reached_cells(reached: DataFrame, cells: int) -> np.ndarray:
                 found = np.concatenate(_cells(first, cells)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(found)], ["cell"])
 
-    found = reached.select("lang", "phrase").mapInArrow(run, "cell bigint")
+    found = reached.select("key").mapInArrow(run, "cell bigint")
     bits = found.groupBy(F.expr(f"cell div {BITMAP}").alias("bucket")).agg(F.bitmap_construct_agg(F.col("cell") % BITMAP).alias("bits"))
     every = [np.empty(0, np.int64)]
     for row in bits.collect():
@@ -218,21 +229,25 @@ def count_phrases(
     rows.write.partitionBy("shard").parquet(path)
     dealt = spark.read.schema("lang string, text binary, shard int").parquet(path)
     begun = np.full(cells, NEVER, np.uint8)
-    keys, results, state = ["lang", "size", "phrase", "start"], [], None
+    results, state = [], None
+    started, size = F.substring("key", 1, 1), F.substring("key", 2, 1)
     scan, changed = 0, 0
     while scan < max(shards, changed + shards):
-        shared = spark.sparkContext.broadcast(zlib.compress(begun.tobytes(), 1))
+        packed = spark.sparkContext.broadcast(zlib.compress(begun.tobytes(), 1))
         shard = dealt.where(F.col("shard") == scan % shards).select("lang", "text")
-        found = _scan(shard, scan, shards, shared, longest).withColumn("before", F.lit(0).cast("bigint"))
+        found = _scan(shard, scan, shards, packed, longest)
         if state is not None:
-            found = found.union(state.select(*keys, "n", F.col("n").alias("before")))
-        merged = stored(found.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("before").alias("before")), "phrase_counts")
-        over = F.col("start") + shards - 1 == scan
-        results.append(merged.where(over & ((F.col("n") >= least) | (F.col("size") == 0))))
-        state = merged.where(~over)
-        reached = merged.where((F.col("size") >= 1) & (F.col("size") < longest) & (F.col("n") >= least) & (F.col("before") < least))
+            found = found.union(state)
+        merged = stored(found.groupBy("key").agg(F.sum("n").alias("n")), "phrase_counts")
+        state = merged
+        if scan >= shards - 1:
+            complete = F.lit(bytes([scan - shards + 1]))
+            enough = (F.col("n") >= least) | (size == F.lit(bytes([0])))
+            results.append(merged.where((started == complete) & enough))
+            state = merged.where(started > complete)
+        reached = merged.where((F.col("n") >= least) & (size >= F.lit(bytes([1]))) & (size < F.lit(bytes([longest]))))
         new = _reached_cells(reached, cells)
-        shared.destroy()
+        packed.destroy()
         new = new[begun[new] == NEVER]
         if len(new):
             begun = begun.copy()
@@ -242,7 +257,7 @@ def count_phrases(
     every = results[0]
     for more in results[1:]:
         every = every.union(more)
-    return every.select("lang", "size", F.col("phrase").cast("string").alias("phrase"), "n")
+    return _decoded(every)
 
 
 def _wide(c: str) -> Column:
