@@ -42,7 +42,8 @@ KEPT = 2000
 SCALE = 2_000_000
 PARTS = 64
 
-_TO = bytes.maketrans(b",;:!?\n\x0b\x0c\r\t" + bytes(range(65, 91)), b"........." + b" " + bytes(range(97, 123)))
+_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+_KIND = bytes(2 if c in b".,;:!?\n\x0b\x0c\r" else 1 if c in b" \t" else 0 for c in range(256))
 _END = b"\xff"  # stands in no UTF-8 text
 
 
@@ -78,17 +79,21 @@ class Words:
     """The words of a block of text: their codes, a list of the different ones, and the piece each stands in."""
 
     def __init__(self, data: bytes):
-        chars = np.frombuffer(data.translate(_TO), np.uint8)
-        inside = (chars != 32) & (chars != 46)
-        edge = np.diff(inside.view(np.int8), prepend=0, append=0)
-        starts = np.flatnonzero(edge == 1)
+        kind = np.frombuffer(data.translate(_KIND), np.uint8)
+        inside = kind == 0
+        edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        edges = np.concatenate([np.flatnonzero(inside[:1]), edges, np.flatnonzero(inside[-1:]) + len(inside)])
+        starts, ends = edges[0::2], edges[1::2]
         offsets = np.zeros(len(starts) + 1, np.int32)
-        np.cumsum(np.flatnonzero(edge == -1) - starts, out=offsets[1:])
-        buffers = [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(chars[inside].tobytes())]
+        np.cumsum(ends - starts, out=offsets[1:])
+        chars = np.frombuffer(data.translate(_LOWER), np.uint8)[inside]
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(chars)]
         coded = pa.Array.from_buffers(pa.binary(), len(starts), buffers).dictionary_encode()
         self.codes = coded.indices.to_numpy().astype(np.int64)
         self.distinct = coded.dictionary
-        self.piece = np.cumsum(chars == 46, dtype=np.int32)[starts]
+        # a mark between the end of a word and the end of the next one
+        marked = np.maximum.reduceat(kind[: ends[-1]], ends[:-1]) == 2 if len(ends) > 1 else np.zeros(0, bool)
+        self.piece = np.cumsum(np.concatenate([np.zeros(min(1, len(ends)), bool), marked]), dtype=np.int32)
 
 
 def blocks(texts: list[bytes], limit: int = BLOCK_BYTES) -> Iterator[bytes]:
@@ -210,6 +215,13 @@ def _reached_cells(reached: DataFrame, cells: int) -> np.ndarray:
     return np.concatenate(every)
 
 
+def _kept(counts: DataFrame) -> DataFrame:
+    """Like ``stored``; nearly all keys differ, so no dictionaries are tried."""
+    path = work_dir(counts.sparkSession, "phrase_counts")
+    counts.write.option("parquet.enable.dictionary", "false").parquet(path)
+    return counts.sparkSession.read.schema(counts.schema).parquet(path)
+
+
 def count_phrases(
     docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, cells: int = CELLS
 ) -> DataFrame:
@@ -238,14 +250,14 @@ def count_phrases(
         found = _scan(shard, scan, shards, packed, longest)
         if state is not None:
             found = found.union(state)
-        merged = stored(found.groupBy("key").agg(F.sum("n").alias("n")), "phrase_counts")
+        merged = _kept(found.groupBy("key").agg(F.sum("n").alias("n")))
         state = merged
+        frequent = stored(merged.where((F.col("n") >= least) | (size == F.lit(bytes([0])))), "frequent_phrases")
         if scan >= shards - 1:
             complete = F.lit(bytes([scan - shards + 1]))
-            enough = (F.col("n") >= least) | (size == F.lit(bytes([0])))
-            results.append(merged.where((started == complete) & enough))
+            results.append(frequent.where(started == complete))
             state = merged.where(started > complete)
-        reached = merged.where((F.col("n") >= least) & (size >= F.lit(bytes([1]))) & (size < F.lit(bytes([longest]))))
+        reached = frequent.where((size >= F.lit(bytes([1]))) & (size < F.lit(bytes([longest]))))
         new = _reached_cells(reached, cells)
         packed.destroy()
         new = new[begun[new] == NEVER]
