@@ -233,6 +233,12 @@ _THROTTLED = """
     SELECT e.user_id, min(e.event_id) AS event_id, e.ts, arg_min(e.value, e.event_id) AS value
     FROM kept k JOIN events e ON e.user_id = k.user_id AND e.ts = k.ts GROUP BY e.user_id, e.ts"""
 
+ASOF_SQL = """
+    SELECT r.user_id, r.event_id, r.ts, r.event_type, s.value AS gpu_utilization
+    FROM (SELECT * FROM events WHERE event_type <> 'error') r
+    ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'error') s
+    ON r.user_id = s.user_id AND r.ts >= s.ts"""
+
 ORACLE = {
     "parse_device_csv": f"""
         WITH {PARSED}
@@ -264,11 +270,7 @@ ORACLE = {
             WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))
         SELECT user_id, event_id, round(trailing_mean, 6) AS trailing_mean FROM windows WHERE n = 10""",
     "throttle_samples": _THROTTLED,
-    "asof_last_sample": """
-        SELECT r.user_id, r.event_id, r.ts, r.event_type, s.value AS gpu_utilization
-        FROM (SELECT * FROM events WHERE event_type <> 'error') r
-        ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'error') s
-        ON r.user_id = s.user_id AND r.ts >= s.ts""",
+    "asof_last_sample": ASOF_SQL,
     "rank_device_join": """
         SELECT p_partkey, p_size AS local_rank, n_name AS name FROM part LEFT JOIN nation ON n_nationkey = p_size""",
     "pick_by_rank": """

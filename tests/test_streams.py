@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusflow.operators import telemetry as tm
-from corpusflow.streaming import event_order as eo
+from corpusflow.streaming import series as sr
 from corpusflow.streaming import streams as st
 
 GAP = 4 * 3600
@@ -66,10 +66,10 @@ def mixed(spark, events, tmp_path_factory):
 
 KEYS = ["run", "user_id"]
 STEPS = {
-    "throttle": eo.Throttle(KEYS, "ts", "event_id", seconds=GAP),
-    "blocks": eo.BlockMeans(KEYS, "value", "ts", "event_id", size=3),
-    "means": eo.WindowMeans(["event_type"], "value", "ts", 3600),
+    "throttle": sr.Throttle(KEYS, "ts", "event_id", seconds=GAP),
+    "blocks": sr.BlockMeans(KEYS, "value", "ts", "event_id", size=3),
 }
+HOUR = 3600
 
 
 def batch_of(name, rows):
@@ -87,46 +87,124 @@ def rounded_bag(df, columns):
     )
 
 
+class Sitting:
+    """One of the ordered streams over a landing folder: run it as often as files arrive."""
+
+    def __init__(self, spark, base, schema, name, delay, per_trigger):
+        self.spark, self.base, self.schema, self.name = spark, base, schema, name
+        self.delay, self.per_trigger = delay, per_trigger
+        self.landing, self.session = base / "landing", st.stream_session(spark, 3)
+
+    def _arriving(self):
+        return st.read_landing(self.session, str(self.landing), self.schema, files_per_trigger=self.per_trigger)
+
+    def run(self):
+        if self.name == "means":
+            means = sr.window_means(self._arriving(), ["event_type"], "value", "ts", HOUR, self.delay)
+            st.run(means, f"{self.base}/out", f"{self.base}/checkpoint")
+            late = sr.late_by_window(self._arriving(), "ts", HOUR, self.delay)
+            return sr.run(late, f"{self.base}/late", f"{self.base}/late-checkpoint")
+        rows = sr.in_order(self._arriving(), self.delay, STEPS[self.name])
+        return sr.run(rows, f"{self.base}/out", f"{self.base}/checkpoint")
+
+    def end(self):
+        sr.end_of_stream(self.spark, self.schema, "ts", str(self.landing), 2 * self.delay + 2 * HOUR)
+        return self.run()
+
+    def results(self):
+        if self.name == "means":
+            return self.spark.read.parquet(f"{self.base}/out")
+        return sr.results(self.spark, f"{self.base}/out", STEPS[self.name], self.schema)
+
+    def late(self):
+        out = f"{self.base}/late" if self.name == "means" else f"{self.base}/out"
+        return sr.late_rows(self.spark, out, self.schema)
+
+
+ORDERED = ["blocks", "means", "throttle"]
+
+
 @pytest.mark.parametrize("per_trigger", [1, 4])
-@pytest.mark.parametrize("name", sorted(STEPS))
+@pytest.mark.parametrize("name", ORDERED)
 def test_any_cut_gives_the_batch_result(spark, mixed, tmp_path, name, per_trigger):
     rows, files = mixed
-    landing, out, step = tmp_path / "landing", str(tmp_path / "out"), STEPS[name]
+    sitting = Sitting(spark, tmp_path, rows.schema, name, 40 * 86400, per_trigger)
     for arrived in (files[:3], files[3:]):  # in two sittings
-        land(arrived, landing)
-        stream = st.read_landing(st.stream_session(spark), str(landing), rows.schema, files_per_trigger=per_trigger)
-        eo.run_in_order(stream, out, str(tmp_path / "checkpoint"), "ts", 40 * 86400, step)
+        land(arrived, sitting.landing)
+        sitting.run()
+    sitting.end()
     want = batch_of(name, rows)
-    found = eo.results(spark, out, step, ended=True)
-    assert rounded_bag(found, want.columns) == rounded_bag(want, want.columns)
-    assert eo.late_rows(spark, out).count() == 0
+    assert rounded_bag(sitting.results(), want.columns) == rounded_bag(want, want.columns)
+    assert sitting.late().count() == 0
 
 
-@pytest.mark.parametrize("name", sorted(STEPS))
-def test_days_in_order_settle_and_late_rows_are_counted(spark, events, days, tmp_path, name):
-    """A short delay: results settle while the stream runs; what comes too late is kept apart."""
+@pytest.mark.parametrize("name", ORDERED)
+def test_days_in_order_settle_and_late_rows_are_counted(spark, events, tmp_path, name):
+    """A short delay: results settle while the stream runs; rows too late, and rows without a time, are kept apart."""
     rows = events.withColumn("run", F.lit("a"))
-    landing, out, step = tmp_path / "landing", str(tmp_path / "out"), STEPS[name]
+    rows = rows.withColumn("ts", F.when(F.col("event_id") % 97 > 0, F.col("ts")))
     written = []
-    for i, file in enumerate(days):
+    for i in range(6):
         target = tmp_path / f"run{i}.parquet"
-        rows.where(F.expr(f"(day(ts) - 1) div 5 = {i}")).coalesce(1).write.parquet(str(target))
-        [part] = target.glob("*.parquet")
+        part = rows.where((F.coalesce(F.dayofmonth("ts"), F.lit(30)) - 1 >= 5 * i) & (F.coalesce(F.dayofmonth("ts"), F.lit(30)) - 1 < 5 * i + 5))
+        part.coalesce(1).write.parquet(str(target))
+        [file] = target.glob("*.parquet")
         copy = tmp_path / f"day{i}.parquet"
-        shutil.copy(part, copy)
+        shutil.copy(file, copy)
         os.utime(copy, (1_700_000_000 + i, 1_700_000_000 + i))
         written.append(copy)
-    land(written[1:], landing)
-    stream = st.read_landing(st.stream_session(spark), str(landing), rows.schema, files_per_trigger=2)
-    eo.run_in_order(stream, out, str(tmp_path / "checkpoint"), "ts", 7200, step)
-    assert eo.results(spark, out, step).count() > 0.5 * batch_of(name, rows).count()
-    land(written[:1], landing)
-    stream = st.read_landing(st.stream_session(spark), str(landing), rows.schema, files_per_trigger=2)
-    eo.run_in_order(stream, out, str(tmp_path / "checkpoint"), "ts", 7200, step)
-    on_time = rows.where("(day(ts) - 1) div 5 > 0")
+    sitting = Sitting(spark, tmp_path, rows.schema, name, 7200, 2)
+    land(written[1:], sitting.landing)
+    sitting.run()
+    assert sitting.results().count() > 0.5 * batch_of(name, rows.where("ts IS NOT NULL")).count()
+    land(written[:1], sitting.landing)
+    sitting.run()
+    sitting.end()
+    on_time = rows.where("day(ts) > 5")
     want = batch_of(name, on_time)
-    assert rounded_bag(eo.results(spark, out, step, ended=True), want.columns) == rounded_bag(want, want.columns)
-    assert eo.late_rows(spark, out).count() == rows.count() - on_time.count()
+    assert rounded_bag(sitting.results(), want.columns) == rounded_bag(want, want.columns)
+    assert rounded_bag(sitting.late(), ["event_id"]) == rounded_bag(rows.where("ts IS NULL OR day(ts) <= 5"), ["event_id"])
+
+
+def test_idle_series_are_not_touched(spark, events, tmp_path):
+    """A micro-batch with rows of one series writes the state of that series only."""
+    rows = events.withColumn("run", F.lit("a"))
+    sitting = Sitting(spark, tmp_path, rows.schema, "blocks", 3600, 1)
+    rows.where("user_id <> 1").coalesce(1).write.parquet(str(sitting.landing))
+    sitting.run()
+    one = rows.where("user_id = 1").withColumn("ts", F.col("ts") + F.expr("INTERVAL 60 DAYS"))
+    one.coalesce(1).write.mode("append").parquet(str(sitting.landing))
+    query = sitting.run()
+    [first, *_] = [p for p in query.recentProgress if p["numInputRows"]]
+    assert first["numInputRows"] == one.count()
+    assert sum(o["numRowsUpdated"] for o in first["stateOperators"]) <= 3 * one.count()
+
+
+@pytest.mark.parametrize("per_trigger", [1, 3])
+def test_live_asof_lookup_equals_the_batch(spark, mixed, tmp_path, per_trigger):
+    """Samples and records as two streams, cut differently, over a restart; samples without a value are passed over."""
+    rows, files = mixed
+    records = rows.where("event_type IS DISTINCT FROM 'error'").select(*KEYS, "event_id", "ts", "event_type")
+    samples = rows.where("coalesce(event_type, 'error') = 'error'").select(*KEYS, "event_id", "ts", F.col("value").alias("load"))
+    step = sr.AsofLast(KEYS, "load", "ts", "event_id")
+    out, schema = str(tmp_path / "out"), sr.asof_rows(records, samples, step).schema
+    session = st.stream_session(spark, 3)
+
+    def run():
+        arriving = [st.read_landing(session, str(tmp_path / "landing"), rows.schema, files_per_trigger=n) for n in (per_trigger, 2)]
+        left = arriving[0].where("event_type IS DISTINCT FROM 'error'").select(records.columns)
+        right = arriving[1].where("coalesce(event_type, 'error') = 'error'").withColumnRenamed("value", "load").select(samples.columns)
+        sr.run(sr.asof_stream(left, right, 40 * 86400, step), out, str(tmp_path / "checkpoint"))
+
+    for arrived in (files[:3], files[3:]):
+        land(arrived, tmp_path / "landing")
+        run()
+    sr.end_of_stream(spark, rows.schema, "ts", str(tmp_path / "landing"), 90 * 86400)
+    run()
+    want = tm.asof_last(records, samples, KEYS, "load", "ts", "event_id")
+    found = sr.results(spark, out, step, schema)
+    assert rounded_bag(found, want.columns) == rounded_bag(want, want.columns)
+    assert sr.late_rows(spark, out, schema).count() == 0
 
 
 def test_history_survives_a_restart_without_duplicates(spark, events, days, tmp_path):
