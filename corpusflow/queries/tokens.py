@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.functions import text as tx
+from corpusflow.operators import merges as mg
 from corpusflow.operators import tokenize as tok
 from corpusflow.queries.tables import table
 from corpusflow.session import spread
@@ -14,6 +15,7 @@ from corpusflow.settings import MAX_LENGTH
 SHARED_PAD_ID = 466
 MODEL_GB = 1.1
 DEVICE_GB = 80.0
+VOCABULARY = "byte_bpe_50k.json"
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +54,15 @@ def pad_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settings.withColumn("pad_token", tx.pad_token(F.col("pad_token"), F.col("eos_token")))
 
 
+def tokenize_merges(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """Subword ids by the merges of a public byte-level vocabulary; ``path`` names another vocabulary file."""
+    if path is None:
+        from public_tokenizers import path as public_path
+
+        path = public_path(VOCABULARY)
+    return mg.subword_ids(_texts(spark, sf_dir), ["doc_id"], mg.load_merges(*mg.read_merges(spark, path)))
+
+
 def length_bucket_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     lengths = _texts(spark, sf_dir).select(F.size(tx.words(F.col("text"))).alias("n_tokens"))
     return tok.length_buckets(lengths, MODEL_GB, DEVICE_GB)
@@ -75,6 +86,7 @@ def udf_batched_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "tokenize_fixed": tokenize_fixed,
     "tokenize_chats": tokenize_chats,
+    "tokenize_merges": tokenize_merges,
     "collate_labels": collate_labels,
     "pad_fallback": pad_fallback,
     "length_bucket_batches": length_bucket_batches,
