@@ -1,5 +1,6 @@
 """Reading, saving and describing corpora."""
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,27 @@ def read_json_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.read_json_document(spark, path, "item_id BIGINT, text STRING")
 
 
+def _as_arrays(batches):
+    """Objects as lines of an array, one array for each task and so for each file."""
+    yield pa.RecordBatch.from_arrays([pa.array(["["])], ["value"])
+    separator = ""
+    for batch in batches:
+        lines = []
+        for value in batch.column("value").to_pylist():
+            lines.append(separator + value)
+            separator = ","
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+    yield pa.RecordBatch.from_arrays([pa.array(["]"])], ["value"])
+
+
+def read_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as pretty-printed arrays, one for each split of the table, read in ranges of a quarter megabyte."""
+    path = f"{work_dir(spark, 'arrays')}/documents"
+    objects = table(spark, sf_dir, "documents").select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("value"))
+    objects.mapInArrow(_as_arrays, "value string").write.text(path)
+    return src.read_json_array(spark, path, DOCUMENTS, range_bytes=1 << 18)
+
+
 def read_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{work_dir(spark, 'jsonl')}/documents.jsonl"
     table(spark, sf_dir, "documents").select(F.to_json(F.struct("*")).alias("value")).write.text(path)
@@ -103,6 +125,7 @@ def union_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "scan_documents": scan_documents,
     "read_json_doc": read_json_doc,
+    "read_json_array": read_json_array,
     "read_jsonl": read_jsonl,
     "read_named": read_named,
     "resolve_source": resolve_source,
@@ -119,6 +142,7 @@ _ALL_DOCUMENTS = "SELECT doc_id, text, lang, source, n_chars FROM documents"
 ORACLE = {
     "scan_documents": _ALL_DOCUMENTS,
     "read_json_doc": "SELECT item_id, text FROM benchmark",
+    "read_json_array": _ALL_DOCUMENTS,
     "read_jsonl": _ALL_DOCUMENTS,
     "read_named": "SELECT conv_id, turn, role, text FROM conversations",
     "resolve_source": """

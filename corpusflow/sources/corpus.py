@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from corpusflow.session import work_dir
 from corpusflow.settings import MAX_LENGTH, SPLIT
+from corpusflow.sources.json_arrays import array_items
 
 CORRUPT = "_corrupt_record"
 
@@ -44,11 +46,24 @@ def _json_reader(spark: SparkSession, schema, on_bad: str):
 def read_json_document(spark: SparkSession, path: str, schema=None, on_bad: str = "fail") -> DataFrame:
     """JSON documents, one per file: an object is one row, a top-level array one row per item.
 
-    A file is read by one task; use :func:`read_jsonl` for large inputs.
+    A file is read by one task; use :func:`read_json_array` or :func:`read_jsonl` for large inputs.
     """
     return _json_reader(spark, schema, on_bad).option("multiLine", True).json(path)
 
 
+def read_json_array(
+    spark: SparkSession, path: str, schema=None, on_bad: str = "fail", range_bytes: int | None = None
+) -> DataFrame:
+    """Large files that each hold one array of objects, one row per object: every byte range is read by a task of its own.
+
+    The objects are written once to the shared folder, a line each, and read by
+    :func:`read_jsonl`. Rows are those of :func:`read_json_document`.
+    """
+    lines = work_dir(spark, "json_lines")
+    array_items(spark, path, range_bytes).write.text(lines)
+    return read_jsonl(spark, lines, schema, on_bad)
+
+
 def read_jsonl(spark: SparkSession, path: str, schema=None, on_bad: str = "fail") -> DataFrame:
     """One JSON object per line; blank lines are skipped and files are split between tasks.
 
