@@ -116,6 +116,11 @@ def worker_cache(owner: str, name: str) -> dict:
     return kept["entries"].setdefault(name, {})
 
 
+def release_caches() -> None:
+    """Free what earlier operators have kept in this worker; for tasks that keep nothing themselves."""
+    worker_cache("", "")
+
+
 class Recent:
     """Memory of computed values with two generations of at most ``limit`` entries each.
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import doc_texts, parallelism, slices, sorted_groups
+from corpusflow.llm.common import doc_texts, parallelism, release_caches, slices, sorted_groups
 from corpusflow.llm.components import components
 from corpusflow.session import stored
 
@@ -69,6 +69,7 @@ def named_texts(docs: DataFrame) -> DataFrame:
     """``node`` (hash of the words, equal for texts of the same words), ``doc_id`` and the words, compressed, as ``z``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_caches()
         import zstandard
         from xxhash import xxh3_64_intdigest
 
@@ -86,6 +87,7 @@ def banded(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``key, size, node`` for each band of each row ``node, z``; ``size`` is the number of its shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_caches()
         import zstandard
 
         expand = zstandard.ZstdDecompressor().decompress
@@ -111,6 +113,7 @@ def candidates(bands: DataFrame, least: float = LEAST, neighbours: bool = False)
         return pa.RecordBatch.from_arrays([pa.array(np.maximum(one, two)), pa.array(np.minimum(one, two))], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_caches()
         for group in sorted_groups(batches, "key"):
             key, size, node, component = (group.column(c).to_numpy() for c in ("key", "size", "node", "component"))
             cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
@@ -137,6 +140,7 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST, shingle:
     """Pairs ``a, b`` whose texts' sets of shingles are ``least`` or more alike."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_caches()
         import zstandard
 
         expand = zstandard.ZstdDecompressor().decompress
