@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -98,3 +99,59 @@ def length_buckets(
     return grouped.withColumn(
         "batch_size", batch_size_estimate(model_gb, device_gb, F.col("bucket"))
     ).withColumn("n_batches", F.ceil(F.col("n_texts") / F.col("batch_size")))
+
+
+def best_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
+    """Bucket bounds, at most ``buckets``, for which texts padded to their bucket's bound have the fewest tokens.
+
+    ``lengths`` ascend. A bound is always a length that occurs; of equally good
+    bounds the smaller one is taken, from the longest bucket down.
+    """
+    upto = np.concatenate([[0], np.cumsum(counts)])
+    cost = upto[1:] * lengths  # of one bucket for the first lengths
+    chosen = []
+    for _ in range(min(buckets, len(lengths)) - 1):
+        # the last bucket takes the lengths behind ``before``
+        total = cost[:, None] + (upto[None, 1:] - upto[1:, None]) * lengths[None, :]
+        total[np.tril_indices(len(lengths))] = np.iinfo(np.int64).max >> 1
+        before = total.argmin(axis=0)
+        cost = total[before, np.arange(len(lengths))]
+        chosen.append(before)
+    bounds, at = [], len(lengths) - 1
+    for before in reversed(chosen):
+        bounds.append(int(lengths[at]))
+        at = before[at]
+    return sorted([*bounds, int(lengths[at])]) if len(lengths) else []
+
+
+def optimal_buckets(
+    lengths: DataFrame,
+    model_gb: float,
+    device_gb: float,
+    buckets: int = 8,
+    max_length: int = MAX_LENGTH,
+    n_tokens: str = "n_tokens",
+) -> DataFrame:
+    """As :func:`length_buckets`, with the bounds that need the fewest padded tokens, counted in ``padded_tokens``.
+
+    Texts are counted by length in Spark; the choice is made over that
+    histogram, which has ``max_length`` rows at most. Texts without tokens count
+    as one token long; rows without a length are left out.
+    """
+    from corpusflow.functions.values import batch_size_estimate
+
+    capped = F.greatest(F.lit(1), F.least(F.col(n_tokens), F.lit(max_length))).cast("int")
+    known = lengths.where(F.col(n_tokens).isNotNull())
+    histogram = known.groupBy(capped.alias("length")).agg(F.count(F.lit(1)).alias("n"), F.max(n_tokens).alias("longest"))
+    rows = sorted((r.length, r.n, r.longest) for r in histogram.collect())
+    sizes, counts = (np.array([r[i] for r in rows], np.int64) for i in (0, 1))
+    bounds = best_bounds(sizes, counts, buckets)
+    # a row per bucket, of sums over the histogram
+    found = []
+    for low, bound in zip([0, *bounds], bounds):
+        own = [r for r in rows if low < r[0] <= bound]
+        found.append((bound, sum(r[1] for r in own), max(r[2] for r in own), sum(r[1] for r in own) * bound))
+    table = lengths.sparkSession.createDataFrame(found, "bucket int, n_texts bigint, longest int, padded_tokens bigint")
+    return table.withColumn("batch_size", batch_size_estimate(model_gb, device_gb, F.col("bucket"))).withColumn(
+        "n_batches", F.ceil(F.col("n_texts") / F.col("batch_size"))
+    )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusflow.session import stored
+
 METRICS_SCHEMA = "run_id STRING, key STRING, value DOUBLE, step BIGINT, ts TIMESTAMP_NTZ"
 PARAMS_SCHEMA = "run_id STRING, key STRING, value STRING"
 ARTIFACTS_SCHEMA = "run_id STRING, path STRING, content STRING"
@@ -16,6 +18,37 @@ def to_long(df: DataFrame, ids: list[str], metrics: dict[str, str]) -> DataFrame
     return wide.unpivot(ids, list(metrics.values()), "key", "value")
 
 
+def json_to_long(df: DataFrame, ids: list[str], metrics: str) -> DataFrame:
+    """``ids, key, value, text``: every leaf of the JSON in the column ``metrics``, whatever its keys and however deep.
+
+    A key is the path of names, and of places in arrays, joined by slashes.
+    Numbers are in ``value``; other leaves, as JSON, in ``text``. Text that is
+    no JSON, a null, and an empty object or array give no row. Each level of
+    nesting is one pass over what still has levels.
+    """
+    spark = df.sparkSession
+    rows = df.select(*ids, F.lit("").alias("_path"), F.col(metrics).alias("_json"))
+    found = None
+    while True:
+        held = rows.select(*ids, "_path", F.try_parse_json("_json").alias("_variant"))
+        below = spark.sql("SELECT h.*, c.pos AS _pos, c.key AS _key, c.value AS _value FROM {held} h, LATERAL variant_explode(h._variant) c", held=held)
+        name = F.coalesce("_key", F.col("_pos").cast("string"))
+        path = F.when(F.col("_path") == "", name).otherwise(F.concat("_path", F.lit("/"), name))
+        kind = F.schema_of_variant("_value")
+        below = stored(below.select(*ids, path.alias("_path"), F.to_json("_value").alias("_json"), kind.alias("_kind")), "metric_leaves")
+        nested = F.col("_kind").startswith("OBJECT") | F.col("_kind").startswith("ARRAY")
+        number = F.col("_kind").rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$")
+        leaves = below.where(~nested & (F.col("_kind") != "VOID")).select(
+            *ids, F.col("_path").alias("key"),
+            F.when(number, F.col("_json").cast("double")).alias("value"),
+            F.when(~number, F.col("_json")).alias("text"),
+        )
+        found = leaves if found is None else found.union(leaves)
+        rows = below.where(nested).select(*ids, "_path", "_json")
+        if rows.isEmpty():
+            return found
+
+
 def params_to_long(df: DataFrame, ids: list[str], params: list[str]) -> DataFrame:
     wide = df.select(*ids, *[F.col(c).cast("string").alias(c) for c in params])
     return wide.unpivot(ids, params, "key", "value")

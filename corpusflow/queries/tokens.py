@@ -15,6 +15,7 @@ from corpusflow.settings import MAX_LENGTH
 SHARED_PAD_ID = 466
 MODEL_GB = 1.1
 DEVICE_GB = 80.0
+BUCKETS = 8
 VOCABULARY = "byte_bpe_50k.json"
 
 
@@ -68,6 +69,11 @@ def length_bucket_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tok.length_buckets(lengths, MODEL_GB, DEVICE_GB)
 
 
+def optimal_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lengths = _texts(spark, sf_dir).select(F.size(tx.words(F.col("text"))).alias("n_tokens"))
+    return tok.optimal_buckets(lengths, MODEL_GB, DEVICE_GB, BUCKETS)
+
+
 def udf_batched_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A user function over column batches, vectorised with Arrow kernels."""
 
@@ -90,6 +96,7 @@ QUERIES = {
     "collate_labels": collate_labels,
     "pad_fallback": pad_fallback,
     "length_bucket_batches": length_bucket_batches,
+    "optimal_buckets": optimal_buckets,
     "udf_batched_map": udf_batched_map,
 }
 
@@ -145,6 +152,26 @@ ORACLE = {
         SELECT bucket, n_texts, longest, batch_size,
                CAST((n_texts + batch_size - 1) // batch_size AS BIGINT) AS n_batches
         FROM sized""",
+    "optimal_buckets": f"""
+        WITH RECURSIVE lengths AS (SELECT CAST(len(regexp_extract_all(text, '\\S+')) AS INTEGER) AS n FROM documents),
+             histogram AS (SELECT greatest(1, least(n, 2048)) AS length, count(*) AS c, max(n) AS longest FROM lengths GROUP BY 1),
+             summed AS (SELECT *, sum(c) OVER (ORDER BY length)::BIGINT AS upto FROM histogram),
+             best AS (
+                SELECT 1 AS k, length, upto, upto * length AS cost, [length] AS bounds FROM summed
+                UNION ALL
+                SELECT any_value(b.k) + 1, s.length, s.upto, min(b.cost + (s.upto - b.upto) * s.length),
+                       list_append(arg_min(b.bounds, (b.cost + (s.upto - b.upto) * s.length) * 4096 + b.length), s.length)
+                FROM best b JOIN summed s ON s.length > b.length
+                WHERE b.k < {BUCKETS} GROUP BY s.length, s.upto),
+             chosen AS (SELECT bounds FROM best WHERE length = (SELECT max(length) FROM summed) ORDER BY k DESC LIMIT 1),
+             buckets AS (SELECT unnest(bounds) AS bucket FROM chosen),
+             filled AS (
+                SELECT (SELECT min(bucket) FROM buckets WHERE bucket >= length) AS bucket, c, longest FROM summed),
+             sized AS (
+                SELECT bucket, sum(c)::BIGINT AS n_texts, max(longest) AS longest, (sum(c) * bucket)::BIGINT AS padded_tokens,
+                       greatest(1, CAST(trunc(({DEVICE_GB} * 0.8) / ({MODEL_GB} * 3 + bucket * 0.001)) AS INTEGER)) AS batch_size
+                FROM filled GROUP BY bucket)
+        SELECT *, CAST((n_texts + batch_size - 1) // batch_size AS BIGINT) AS n_batches FROM sized""",
     "udf_batched_map": """
         SELECT doc_id, CAST(len(regexp_extract_all(text, '\\S+')) AS BIGINT) AS n_words,
                CAST(length(text) AS BIGINT) AS n_chars, lower(lang) AS lower

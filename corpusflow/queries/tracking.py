@@ -43,6 +43,16 @@ def metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tr.read_table(spark, path, tr.METRICS_SCHEMA)
 
 
+def metrics_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested dictionaries whose keys depend on the data, by the paths of their numbers."""
+    nested = F.struct(
+        F.struct(F.col("l_quantity").alias("quantity"), F.create_map("l_returnflag", "l_discount").alias("discount")).alias("system"),
+        F.struct(F.array("l_extendedprice", "l_tax").alias("cost"), F.create_map("l_linestatus", F.create_map("l_returnflag", "l_linenumber")).alias("lines")).alias("training"),
+    )
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.to_json(nested).alias("metrics"))
+    return tr.json_to_long(items, ["l_orderkey", "l_linenumber"], "metrics").drop("text")
+
+
 def params_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run per corpus source."""
     runs = table(spark, sf_dir, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("n")).select(
@@ -132,6 +142,7 @@ def derive_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "metrics_long": metrics_long,
+    "metrics_from_json": metrics_from_json,
     "params_long": params_long,
     "artifacts_roundtrip": artifacts_roundtrip,
     "compare_runs": compare_runs,
@@ -167,6 +178,11 @@ ORACLE = {
             ("training/tax", "l_tax"),
         ]
     ),
+    "metrics_from_json": """
+        SELECT l_orderkey, l_linenumber, unnest(['system/quantity', 'system/discount/' || l_returnflag, 'training/cost/0',
+                   'training/cost/1', 'training/lines/' || l_linestatus || '/' || l_returnflag]) AS key,
+               unnest([l_quantity, l_discount, l_extendedprice, l_tax, l_linenumber::DOUBLE]) AS value
+        FROM lineitem""",
     "params_long": "WITH runs AS (SELECT DISTINCT source FROM documents) "
     + " UNION ALL ".join(
         f"SELECT 'run-' || source AS run_id, '{key}' AS key, {value} AS value FROM runs"
