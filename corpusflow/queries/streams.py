@@ -78,13 +78,15 @@ def stream_snapshot_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_throttle(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, delay = _events_by_file(spark, sf_dir)
+    events = events.select("user_id", "event_id", "ts", "value")  # what waits in the state
     step = series.Throttle(["user_id"], "ts", "event_id", seconds=THROTTLE_HOURS * 3600)
     kept = _settled(spark, series.in_order(events, delay, step), step, events)
-    return kept.select("user_id", "event_id", "ts", "value")
+    return kept
 
 
 def stream_block_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, delay = _events_by_file(spark, sf_dir)
+    events = events.select("user_id", "event_id", "ts", "value")
     step = series.BlockMeans(["user_id"], "value", "ts", "event_id")
     blocks = _settled(spark, series.in_order(events, delay, step), step, events)
     return blocks.withColumn("block_mean", F.round("block_mean", 6))

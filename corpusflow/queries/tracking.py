@@ -8,7 +8,7 @@ from corpusflow.functions import values as v
 from corpusflow.operators import tracking as tr
 from corpusflow.operators.telemetry import block_means, utilization_stats
 from corpusflow.queries.tables import rounded, table
-from corpusflow.session import work_dir
+from corpusflow.session import spread, work_dir
 from corpusflow.settings import (
     AFTER_LENGTH,
     BATCH_PER_DEVICE,
@@ -50,7 +50,7 @@ def metrics_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.array("l_extendedprice", "l_tax").alias("cost"), F.create_map("l_linestatus", F.create_map("l_returnflag", "l_linenumber")).alias("lines")).alias("training"),
     )
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.to_json(nested).alias("metrics"))
-    return tr.json_to_long(items, ["l_orderkey", "l_linenumber"], "metrics").drop("text")
+    return tr.json_to_long(spread(items), ["l_orderkey", "l_linenumber"], "metrics").drop("text")
 
 
 def params_long(spark: SparkSession, sf_dir: str) -> DataFrame:
