@@ -3,10 +3,11 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusflow.operators.tokenize import token_ids
-from corpusflow.plans import order
+from corpusflow.plans import bijection, order
 from corpusflow.queries.tables import table
 from corpusflow.queries.tokens import DOCUMENT_IDS
 from corpusflow.session import spread, stored
+from corpusflow.settings import EPOCHS
 
 
 # other intervals than the default, so that saving and evaluation come due at different steps
@@ -30,6 +31,13 @@ def seeded_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order.seeded_order(expanded, ["doc_id"]).select("epoch", "position", "doc_id")
 
 
+def indexed_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three epochs in an order that needs no sort once the rows are numbered."""
+    numbered = stored(bijection.number_rows(_ids(spark, sf_dir), "doc_id"), "numbered")
+    places = bijection.Bijection(numbered.count())
+    return bijection.indexed_order(numbered, places, EPOCHS).select("epoch", "position", "doc_id")
+
+
 def shard_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     assigned = order.shard_assignment(_ids(spark, sf_dir), ["doc_id"])
     return assigned.select("epoch", "position", "rank", "doc_id")
@@ -77,6 +85,7 @@ def keep_latest_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "epoch_expand": epoch_expand,
     "seeded_shuffle": seeded_shuffle,
+    "indexed_shuffle": indexed_shuffle,
     "shard_assignment": shard_assignment,
     "rank_gate": rank_gate,
     "batch_plan": batch_plan,
@@ -115,6 +124,23 @@ ORACLE = {
     "epoch_expand": """
         SELECT CAST(e.epoch AS INTEGER) AS epoch, d.doc_id FROM documents d, range(3) AS e(epoch)""",
     "seeded_shuffle": f"WITH {_SHUFFLED} SELECT epoch, place AS position, doc_id FROM shuffled",
+    "indexed_shuffle": """
+        WITH RECURSIVE numbered AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row FROM documents),
+        bases AS (SELECT count(*) AS n, ceil(sqrt(count(*)))::BIGINT AS height,
+                         ceil(count(*) / ceil(sqrt(count(*))))::BIGINT AS width FROM documents),
+        steps AS (
+            SELECT doc_id, epoch, n, height, width, row // width AS high, row % width AS low, 0 AS i
+            FROM numbered, bases, range(3) epochs(epoch)
+            UNION ALL
+            SELECT doc_id, epoch, n, height, width,
+                   CASE WHEN i % 2 = 0 THEN (high + square * square % 2147483647) % height ELSE high END,
+                   CASE WHEN i % 2 = 1 THEN (low + square * square % 2147483647) % width ELSE low END, i + 1
+            FROM (SELECT *, (once * once % 2147483647 * 69621 + key) % 2147483647 AS square
+                  FROM (SELECT *, (CASE WHEN i % 2 = 0 THEN low ELSE high END + key) % 2147483647 AS once
+                        FROM (SELECT *, (epoch * 8191 + i * 131071 + 42 * 1000003) % 2147483647 AS key
+                              FROM (SELECT * REPLACE (i % 6 AS i) FROM steps
+                                    WHERE NOT (i = 6 AND high * width + low < n))))))
+        SELECT epoch::INTEGER AS epoch, high * width + low AS position, doc_id FROM steps WHERE i = 6 AND high * width + low < n""",
     "shard_assignment": f"WITH {_SHARDED} SELECT epoch, position, rank, doc_id FROM sharded",
     "rank_gate": f"WITH {_SHARDED} SELECT epoch, position, doc_id FROM sharded WHERE rank = 0",
     "batch_plan": f"""
