@@ -9,6 +9,7 @@ from corpusflow.queries.tables import rounded, table
 from corpusflow.session import spread, stored, work_dir
 from corpusflow.sources import device_log
 
+HOSTS = 5
 THROTTLE_HOURS = 4
 
 
@@ -73,8 +74,8 @@ def snapshot_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A document per hour and user, who stands for a host here."""
-    samples = _hourly_samples(spark, sf_dir).withColumn("host", F.col("index").cast("bigint"))
+    """A document per hour and host; the devices (users) are dealt to a few hosts, so that documents hold several."""
+    samples = _hourly_samples(spark, sf_dir).withColumn("host", (F.col("index") % HOSTS).cast("bigint"))
     return tm.nest_snapshots(samples, "snapshot", "host")
 
 
@@ -207,12 +208,12 @@ _HOURLY = f"""{PARSED},
 
 _NESTED = f"""
     WITH {_HOURLY}
-    SELECT snapshot AS timestamp, CAST(index AS BIGINT) AS host,
+    SELECT snapshot AS timestamp, CAST(index % {HOSTS} AS BIGINT) AS host,
            list(index ORDER BY {{key}}) AS gpu_index, list(name ORDER BY {{key}}) AS gpu_name,
            list(utilization_gpu ORDER BY {{key}}) AS gpu_utilization,
            list(memory_used_gb ORDER BY {{key}}) AS gpu_memory_used,
            round(avg(utilization_gpu), 6) AS avg_utilization
-    FROM hourly GROUP BY snapshot, index""".format(
+    FROM hourly GROUP BY snapshot, index % {HOSTS}""".format(
     key="index, name, utilization_gpu, utilization_memory, memory_used_gb, memory_total_gb, temperature, power_draw"
 )
 
