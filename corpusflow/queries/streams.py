@@ -3,8 +3,17 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusflow.operators import exact
 from corpusflow.queries.tables import rounded, table
-from corpusflow.queries.telemetry import ASOF_SQL, BLOCKS_SQL, PARSED, THROTTLE_HOURS, THROTTLED_SQL, probe_output
+from corpusflow.queries.telemetry import (
+    ASOF_SQL,
+    BLOCKS_SQL,
+    PARSED,
+    THROTTLE_HOURS,
+    THROTTLED_SQL,
+    exact_sql,
+    probe_output,
+)
 from corpusflow.session import stored, work_dir
 from corpusflow.sources import device_log
 from corpusflow.streaming import series
@@ -120,6 +129,14 @@ def stream_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current.select("user_id", rounded("avg_utilization"), "min_utilization", "max_utilization")
 
 
+def stream_exact_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events arrive in several files; the state holds the limbs of each user's sum."""
+    events, _ = _events_by_file(spark, sf_dir)
+    base = work_dir(spark, "exact")
+    st.run_updates(exact.running_limbs(events, ["user_id"], "value"), f"{base}/out", f"{base}/checkpoint", ["user_id", "place"])
+    return exact.exact_totals(st.current_rows(spark, f"{base}/out", ["user_id", "place"]), ["user_id"])
+
+
 QUERIES = {
     "stream_ingest": stream_ingest,
     "stream_snapshot_mean": stream_snapshot_mean,
@@ -128,6 +145,7 @@ QUERIES = {
     "stream_asof": stream_asof,
     "stream_append_history": stream_append_history,
     "stream_run_stats": stream_run_stats,
+    "stream_exact_stats": stream_exact_stats,
 }
 
 ORACLE = {
@@ -148,4 +166,5 @@ ORACLE = {
         SELECT user_id, round(avg(value), 6) AS avg_utilization, min(value) AS min_utilization,
                max(value) AS max_utilization
         FROM events GROUP BY user_id""",
+    "stream_exact_stats": exact_sql("user_id"),
 }

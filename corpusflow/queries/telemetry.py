@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.functions import values as v
+from corpusflow.operators import exact
 from corpusflow.operators import telemetry as tm
 from corpusflow.queries.tables import rounded, table
 from corpusflow.session import spread, stored, work_dir
@@ -106,6 +107,11 @@ def run_util_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.withColumn("avg_utilization", F.round("avg_utilization", 6))
 
 
+def exact_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums and means that need no rounding to be compared: they do not depend on the order of addition."""
+    return exact.exact_stats(_events(spark, sf_dir), ["event_type", "user_id"], "value")
+
+
 def latest_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.latest_value(_events(spark, sf_dir), ["user_id"], "value", "ts", "event_id")
 
@@ -174,6 +180,7 @@ QUERIES = {
     "snapshot_nested": snapshot_nested,
     "history_json_roundtrip": history_json_roundtrip,
     "run_util_stats": run_util_stats,
+    "exact_run_stats": exact_run_stats,
     "latest_value": latest_value,
     "block_mean_10": block_mean_10,
     "trailing_mean_10": trailing_mean_10,
@@ -240,6 +247,19 @@ ASOF_SQL = """
     ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'error') s
     ON r.user_id = s.user_id AND r.ts >= s.ts"""
 
+
+
+def exact_sql(keys: str) -> str:
+    """Sums in whole units of 2**-70, which every value from 2**-18 on consists of; the text is read back rounded once."""
+    return f"""
+        WITH sums AS (
+            SELECT {keys}, count(value) AS n_values, sum(CAST(value * pow(2::DOUBLE, 70) AS HUGEINT)) AS units
+            FROM events WHERE value IS NOT NULL GROUP BY ALL),
+        rounded AS (
+            SELECT {keys}, n_values, CAST(CAST(units AS VARCHAR) AS DOUBLE) / pow(2::DOUBLE, 70) AS exact_sum FROM sums)
+        SELECT {keys}, n_values, exact_sum, exact_sum / n_values AS exact_mean FROM rounded"""
+
+
 ORACLE = {
     "parse_device_csv": f"""
         WITH {PARSED}
@@ -262,6 +282,7 @@ ORACLE = {
         SELECT event_type, user_id, round(avg(value), 6) AS avg_utilization, min(value) AS min_utilization,
                max(value) AS max_utilization
         FROM events GROUP BY event_type, user_id""",
+    "exact_run_stats": exact_sql("event_type, user_id"),
     "latest_value": "SELECT user_id, arg_max(value, ts) AS value, max(ts) AS ts FROM events GROUP BY user_id",
     "block_mean_10": _BLOCKS,
     "trailing_mean_10": """
