@@ -161,6 +161,34 @@ def step_calendar(
     )
 
 
+def group_batches(plan: DataFrame, *more: str) -> DataFrame:
+    """One row per micro-batch, with ``rows`` (``slot``, unpadded ``ids``) in slot order; at most ``per_device`` of them."""
+    return plan.groupBy("epoch", *more, "step", "micro_batch", "rank").agg(
+        F.array_sort(F.collect_list(F.struct("slot", "ids"))).alias("rows")
+    )
+
+
+def pad_batches(
+    groups: DataFrame,
+    max_length: int = MAX_LENGTH,
+    pad_id: int = PAD_ID,
+    mask: str = "pad_id",
+    side: str = "right",
+    more: tuple[str, ...] = (),
+) -> DataFrame:
+    """Input ids, masks and labels of the rows of :func:`group_batches`, and ``more`` of its columns; a narrow map."""
+    return groups.select(
+        "epoch",
+        "step",
+        "micro_batch",
+        "rank",
+        *more,
+        F.transform("rows", lambda r: tx.pad(r["ids"], max_length, pad_id, side)).alias("input_ids"),
+        F.transform("rows", lambda r: tx.attention_mask(F.size(r["ids"]), max_length, side)).alias("attention_mask"),
+        F.transform("rows", lambda r: tx.padded_labels(r["ids"], max_length, mask, pad_id, side)).alias("labels"),
+    )
+
+
 def collate_batches(
     plan: DataFrame, max_length: int = MAX_LENGTH, pad_id: int = PAD_ID, mask: str = "pad_id", side: str = "right"
 ) -> DataFrame:
@@ -169,18 +197,7 @@ def collate_batches(
     ``plan`` carries unpadded ``ids``. A group holds at most ``per_device`` rows;
     padding is added only after the shuffle, which therefore moves real tokens.
     """
-    rows = plan.groupBy("epoch", "step", "micro_batch", "rank").agg(
-        F.array_sort(F.collect_list(F.struct("slot", "ids"))).alias("_rows")
-    )
-    return rows.select(
-        "epoch",
-        "step",
-        "micro_batch",
-        "rank",
-        F.transform("_rows", lambda r: tx.pad(r["ids"], max_length, pad_id, side)).alias("input_ids"),
-        F.transform("_rows", lambda r: tx.attention_mask(F.size(r["ids"]), max_length, side)).alias("attention_mask"),
-        F.transform("_rows", lambda r: tx.padded_labels(r["ids"], max_length, mask, pad_id, side)).alias("labels"),
-    )
+    return pad_batches(group_batches(plan), max_length, pad_id, mask, side)
 
 
 def keep_latest(df: DataFrame, keys: list[str], order: list[str], k: int) -> DataFrame:

@@ -3,10 +3,10 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusflow.operators.tokenize import token_ids
-from corpusflow.plans import bijection, order
+from corpusflow.plans import bijection, feeds, order
 from corpusflow.queries.tables import table
 from corpusflow.queries.tokens import DOCUMENT_IDS
-from corpusflow.session import spread, stored
+from corpusflow.session import spread, stored, work_dir
 from corpusflow.settings import EPOCHS
 
 
@@ -66,13 +66,24 @@ def step_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def collate_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Corpus to labelled micro-batches of all epochs, placed on ranks and optimizer steps."""
+def _token_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = token_ids(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), ["doc_id"])
     # texts are read and tokenised once, however often the order is computed
     tokens = stored(tokens, "tokens")
-    plan = order.batch_plan(order.shard_assignment(tokens, ["doc_id"]))
-    return order.collate_batches(plan)
+    return order.batch_plan(order.shard_assignment(tokens, ["doc_id"]))
+
+
+def collate_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corpus to labelled micro-batches of all epochs, placed on ranks and optimizer steps."""
+    return order.collate_batches(_token_plan(spark, sf_dir))
+
+
+def rank_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same micro-batches as handed to the ranks, padded when they are read."""
+    base = work_dir(spark, "feeds")
+    feeds.store_segments(_token_plan(spark, sf_dir), f"{base}/segments")
+    feeds.write_feeds(spark, f"{base}/segments", f"{base}/ranks")
+    return order.pad_batches(feeds.read_feeds(spark, f"{base}/ranks"), more=("place",))
 
 
 def keep_latest_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +103,7 @@ QUERIES = {
     "effective_batch": effective_batch,
     "step_calendar": step_calendar,
     "collate_batches": collate_batches,
+    "rank_feeds": rank_feeds,
     "keep_latest_k": keep_latest_k,
 }
 
@@ -120,6 +132,18 @@ _PLANNED = f"""{_SHARDED},
         FROM sharded),
     steps AS (SELECT epoch, step, count(*) AS n_rows, count(*) < 512 AS is_partial FROM planned GROUP BY ALL)"""
 
+_COLLATED = f"""
+    WITH {_PLANNED}, {DOCUMENT_IDS},
+    rows AS (
+        SELECT p.epoch, p.step, p.micro_batch, p.rank, p.slot, t.ids
+        FROM planned p JOIN token_ids t ON t.doc_id = p.doc_id)
+    SELECT epoch, step, micro_batch, rank,
+           list(list_resize(ids, 2048, 0) ORDER BY slot) AS input_ids,
+           list(list_resize(list_transform(ids, lambda x: CAST(1 AS INTEGER)), 2048, 0) ORDER BY slot)
+               AS attention_mask,
+           list(list_resize(ids, 2048, -100) ORDER BY slot) AS labels
+    FROM rows GROUP BY epoch, step, micro_batch, rank"""
+
 ORACLE = {
     "epoch_expand": """
         SELECT CAST(e.epoch AS INTEGER) AS epoch, d.doc_id FROM documents d, range(3) AS e(epoch)""",
@@ -158,17 +182,10 @@ ORACLE = {
                global_step % 10 = 0 AS log_due, global_step % {CALENDAR_SAVE} = 0 AS save_due,
                global_step % {CALENDAR_EVAL} = 0 AS eval_due
         FROM numbered""",
-    "collate_batches": f"""
-        WITH {_PLANNED}, {DOCUMENT_IDS},
-        rows AS (
-            SELECT p.epoch, p.step, p.micro_batch, p.rank, p.slot, t.ids
-            FROM planned p JOIN token_ids t ON t.doc_id = p.doc_id)
-        SELECT epoch, step, micro_batch, rank,
-               list(list_resize(ids, 2048, 0) ORDER BY slot) AS input_ids,
-               list(list_resize(list_transform(ids, lambda x: CAST(1 AS INTEGER)), 2048, 0) ORDER BY slot)
-                   AS attention_mask,
-               list(list_resize(ids, 2048, -100) ORDER BY slot) AS labels
-        FROM rows GROUP BY epoch, step, micro_batch, rank""",
+    "collate_batches": _COLLATED,
+    # fixed value: 250 steps a segment
+    "rank_feeds": f"""
+        SELECT *, micro_batch - min(micro_batch) OVER (PARTITION BY epoch, step // 250) AS place FROM ({_COLLATED})""",
     "keep_latest_k": """
         SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM orders
         QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) <= 3""",
