@@ -26,7 +26,9 @@ from corpusflow.session import stored
 CAPACITY = 2048
 END_ID = 0
 PIECES_PER_TASK = 200_000
-CACHED_CHUNKS = 200_000
+# what a worker keeps of chunks (about 200 bytes each, two generations, and half as many words), and takes at a time
+CACHED_CHUNKS = 400_000
+SLICE_BYTES = 8 << 20
 TOKENIZER = "word_bpe_49k.json"
 # The pre-tokenisation pattern and the byte alphabet of the public tokenizer.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -63,6 +65,7 @@ class ChunkIds:
         self.find = regex.compile(PRE_TOKENS).findall
         self.odd = regex.compile("[\x1c-\x1f]").search
         self.letters = {b: chr(c) for b, c in byte_alphabet().items()}
+        self.number = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.chunks = Recent(f"packing {path}", "chunks", limit)
         self.words = Recent(f"packing {path}", "words", limit // 2)
         self.whole = regex.compile("[^\x00-\u02ff]|<[|]").search
@@ -71,8 +74,10 @@ class ChunkIds:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _make_chunks(self, chunks: list[str]) -> list[bytes]:
-        plain = [not self.whole(c) for c in chunks]
-        words = [self.find(c.lower()) if p else () for c, p in zip(chunks, plain)]
+        plain = [(c.isascii() and "<|" not in c) or not self.whole(c) for c in chunks]
+        lowered = [c.lower() for c in chunks]
+        # a chunk of letters is one match of the pattern
+        words = [((c,) if c.isalpha() else self.find(c)) if p else () for c, p in zip(lowered, plain)]
         ids = self.words.values(set(chain.from_iterable(words)), self._make_words)
         return [
             (ids[ws[0]] if len(ws) == 1 else b"".join([ids[w] for w in ws])) if p else self._whole(c)
@@ -82,7 +87,8 @@ class ChunkIds:
     def _make_words(self, words: list[str]) -> list[bytes]:
         spelled = (w if w.isascii() else w.encode().decode("latin-1") for w in words)
         mapped = (w if w.isascii() and w.isprintable() else w.translate(self.letters) for w in spelled)
-        return [np.array([t.id for t in self.merges(w)], "<u4").tobytes() for w in mapped]
+        number = self.number
+        return [b"".join([number[t.id] for t in self.merges(w)]) for w in mapped]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""
@@ -94,7 +100,14 @@ class ChunkIds:
         ]
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def token_pieces(
+    docs: DataFrame,
+    tokenizer: str,
+    capacity: int = CAPACITY,
+    end_id: int = END_ID,
+    cached_chunks: int = CACHED_CHUNKS,
+    slice_bytes: int = SLICE_BYTES,
+) -> DataFrame:
     """The pieces of every document: its ids and then ``end_id``, cut every ``capacity`` ids.
 
     A null or empty text is the end id alone. ``tokenizer`` is a file name that
@@ -103,9 +116,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # millions of small strings and no cycles
-        encode, end = ChunkIds(tokenizer), np.array([end_id], "<u4").tobytes()
+        encode, end = ChunkIds(tokenizer, cached_chunks), np.array([end_id], "<u4").tobytes()
         step = 4 * capacity
-        for part in slices(batches, max_bytes=4 << 20):
+        for part in slices(batches, max_bytes=slice_bytes):
             rows: list[tuple] = []
             texts = part.column("text").cast(pa.string()).to_pylist()
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode(texts)):
@@ -188,8 +201,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, pieces_per_task: int = PIE
     )
 
 
-def pack_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None) -> DataFrame:
-    """Tokenise, cut and pack ``docs`` (``doc_id``, ``text``).
+def pack_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None, **memory: int) -> DataFrame:
+    """Tokenise, cut and pack ``docs`` (``doc_id``, ``text``); ``memory`` are the bounds of :func:`token_pieces`.
 
     Repeated rows are packed as often as they occur; an empty table gives no rows.
     """
@@ -197,7 +210,7 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | N
         import public_tokenizers
 
         tokenizer = public_tokenizers.path(TOKENIZER)
-    return pack(stored(token_pieces(docs, tokenizer, capacity), "pieces"), capacity)
+    return pack(stored(token_pieces(docs, tokenizer, capacity, **memory), "pieces"), capacity)
 
 
 def op1_pack_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
