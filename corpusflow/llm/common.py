@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 from collections.abc import Callable, Iterable, Iterator
 from types import ModuleType
@@ -112,10 +114,22 @@ def worker_cache(owner: str, name: str) -> dict:
     module = sys.modules.setdefault("_corpusflow_worker_cache", ModuleType("_corpusflow_worker_cache"))
     kept = vars(module)
     if kept.get("owner") != owner:
+        filled = bool(kept.get("entries"))
         kept["owner"], kept["entries"] = owner, {}
+        if filled:
+            return_memory()
     return kept["entries"].setdefault(name, {})
 
 
+def return_memory() -> None:
+    """Hand freed memory back to the system: a worker outlives the operator that needed it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim is not None:
+        trim(0)
+
+
 def release_caches() -> None:
     """Free what earlier operators have kept in this worker; for tasks that keep nothing themselves."""
     worker_cache("", "")

@@ -1,21 +1,27 @@
 """Near-duplicates by word shingles: texts whose sets of shingles have a Jaccard similarity of ``LEAST`` or more.
 
-Candidates agree in all ``ROWS`` minima of one of ``BANDS`` bands; a pair at 0.8
-misses every band three times in a million. All candidates that decide about a
-component are verified on the sets themselves. A 64-bit SimHash would need 24
-bits of radius for the same certainty, where blocks of equal bits are two or
-three bits wide and every shard holds a good part of the corpus.
+Texts whose SimHash fingerprints the shards' BK-trees link are compared with
+one of them first, so that crowds of copies are one component at the cost of one
+comparison a text. What is left is found by minima: candidates agree in all
+``ROWS`` minima of one of ``BANDS`` bands (a pair at 0.8 misses every band three
+times in a million) and in most of the four-bit ends of all minima (a pair at 0.8
+fails once in a million). All candidates that decide about a component are
+verified on the sets themselves. A 64-bit SimHash alone would need 24 bits of
+radius for the same certainty, where blocks of equal bits are two or three bits
+wide and every shard holds a good part of the corpus.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusflow.llm import simhash
 from corpusflow.llm.common import doc_texts, parallelism, release_caches, slices, sorted_groups
 from corpusflow.llm.components import components
 from corpusflow.session import stored
@@ -24,6 +30,7 @@ SHINGLE = 5
 LEAST = 0.8
 BANDS, ROWS = 24, 4
 SEED = 42
+MISSED = 1e-6
 _ODD = np.random.default_rng(SEED).integers(1 << 62, 1 << 63, BANDS * ROWS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -52,12 +59,16 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / either if either else 1.0
 
 
-def band_keys(found: np.ndarray) -> np.ndarray:
-    """A key for each band of the minima of a set that is not empty."""
+def minima(found: np.ndarray) -> np.ndarray:
+    """``BANDS`` times ``ROWS`` minima of a set that is not empty."""
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
     for at in range(0, len(found), 256):
         np.minimum(least, (_ODD[:, None] * found[at : at + 256]).min(axis=1), out=least)
-    least = least.reshape(BANDS, ROWS)
+    return least.reshape(BANDS, ROWS)
+
+
+def band_keys(least: np.ndarray) -> np.ndarray:
+    """A key for each band of :func:`minima`."""
     keys = np.arange(BANDS).astype(np.uint64)
     for column in least.T:
         keys = (keys ^ column) * np.uint64(0x9E3779B97F4A7C15)
@@ -65,8 +76,31 @@ def band_keys(found: np.ndarray) -> np.ndarray:
     return keys
 
 
-def named_texts(docs: DataFrame) -> DataFrame:
-    """``node`` (hash of the words, equal for texts of the same words), ``doc_id`` and the words, compressed, as ``z``."""
+def sketch(least: np.ndarray) -> bytes:
+    """The last four bits of all minima, two in a byte."""
+    ends = (least.ravel() & np.uint64(15)).astype(np.uint8)
+    return (ends[::2] << 4 | ends[1::2]).tobytes()
+
+
+def differences(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """In how many minima the sketches ``others`` (rows of bytes) differ from ``one``."""
+    unlike = others ^ one
+    return np.count_nonzero(unlike & 0xF0, axis=1) + np.count_nonzero(unlike & 0x0F, axis=1)
+
+
+def most_differences(least: float = LEAST, missed: float = MISSED) -> int:
+    """The bound of :func:`differences` that at most ``missed`` of the pairs with similarity ``least`` exceed."""
+    n, q = BANDS * ROWS, (1 - least) * 15 / 16
+    beyond = 1.0
+    for k in range(n + 1):
+        beyond -= comb(n, k) * q**k * (1 - q) ** (n - k)
+        if beyond <= missed:
+            return k
+    return n
+
+
+def named_texts(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """``node`` (hash of the words, equal for texts of the same words), ``doc_id``, SimHash ``fp``, the compressed words ``z``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_caches()
@@ -77,14 +111,25 @@ def named_texts(docs: DataFrame) -> DataFrame:
         for part in slices(batches):
             words = [b" ".join(t.lower().split()) for t in part.column("text").to_pylist()]
             node = np.array([xxh3_64_intdigest(w) for w in words], np.uint64).view(np.int64)
+            fp = np.array([simhash.simhash(w, shingle) for w in words], np.uint64).view(np.int64)
             z = pa.array([squeeze(w) for w in words], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(node), part.column("doc_id"), z], ["node", "doc_id", "z"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node), part.column("doc_id"), pa.array(fp), z], ["node", "doc_id", "fp", "z"]
+            )
+
+    return doc_texts(docs).where("doc_id IS NOT NULL").mapInArrow(run, "node bigint, doc_id bigint, fp bigint, z binary")
+
 
-    return doc_texts(docs).where("doc_id IS NOT NULL").mapInArrow(run, "node bigint, doc_id bigint, z binary")
+def tree_links(texts: DataFrame) -> DataFrame:
+    """Pairs ``a > b`` of each node of ``texts`` (``node, fp``) and the smallest that BK-trees link it with, on whatever way."""
+    reps = stored(texts.groupBy("fp").agg(F.min("node").alias("rep")), "representatives")
+    found = components(simhash.links(simhash.shards(reps)))
+    centre = reps.join(found, reps["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("b"))
+    return texts.select(F.col("node").alias("a"), "fp").join(centre, "fp").where("a <> b").select("a", "b")
 
 
 def banded(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``key, size, node`` for each band of each row ``node, z``; ``size`` is the number of its shingles."""
+    """``key, size, node, ends`` for each band of each row ``node, z``: its number of shingles and its :func:`sketch`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_caches()
@@ -94,16 +139,20 @@ def banded(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         for part in slices(batches, "z", 1 << 20):
             sets = [shingles(expand(z), shingle) for z in part.column("z").to_pylist()]
             some = [i for i, s in enumerate(sets) if len(s)]
-            keys = np.concatenate([band_keys(sets[i]) for i in some] or [np.empty(0, np.uint64)])
+            least = [minima(sets[i]) for i in some]
+            keys = np.concatenate([band_keys(m) for m in least] or [np.empty(0, np.uint64)])
+            ends = pa.array([sketch(m) for m in least], pa.binary()).take(pa.array(np.repeat(np.arange(len(least)), BANDS)))
             size = np.repeat(np.array([len(sets[i]) for i in some], np.int64), BANDS)
             node = np.repeat(part.column("node").to_numpy()[some], BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(size), pa.array(node)], ["key", "size", "node"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.view(np.int64)), pa.array(size), pa.array(node), ends], ["key", "size", "node", "ends"]
+            )
 
-    return texts.select("node", "z").mapInArrow(run, "key bigint, size bigint, node bigint")
+    return texts.select("node", "z").mapInArrow(run, "key bigint, size bigint, node bigint, ends binary")
 
 
 def candidates(bands: DataFrame, least: float = LEAST, neighbours: bool = False) -> DataFrame:
-    """Distinct pairs ``a > b`` of rows ``key, size, node, component`` that share a key, have other components and fit in size.
+    """Distinct pairs ``a > b`` of rows ``key, size, node, ends, component`` that share a key, have other components and fit in size and sketch.
 
     With ``neighbours`` only those that follow one another in a key's order by size.
     """
@@ -112,10 +161,13 @@ def candidates(bands: DataFrame, least: float = LEAST, neighbours: bool = False)
         one, two = np.concatenate(a), np.concatenate(b)
         return pa.RecordBatch.from_arrays([pa.array(np.maximum(one, two)), pa.array(np.minimum(one, two))], ["a", "b"])
 
+    most = most_differences(least)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_caches()
         for group in sorted_groups(batches, "key"):
             key, size, node, component = (group.column(c).to_numpy() for c in ("key", "size", "node", "component"))
+            ends = np.frombuffer(b"".join(group.column("ends").to_pylist()), np.uint8).reshape(len(key), -1)
             cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
             end = np.repeat(cuts[1:], np.diff(cuts))
             a, b, held = [], [], 0
@@ -123,6 +175,7 @@ def candidates(bands: DataFrame, least: float = LEAST, neighbours: bool = False)
                 last = i + 2 if neighbours else i + 1 + int(np.searchsorted(size[i + 1 : end[i]], size[i] / least, side="right"))
                 other = np.arange(i + 1, last)
                 other = other[(component[other] != component[i]) & (size[other] * least <= size[i] + 1e-9 * size[i])]
+                other = other[differences(ends[i], ends[other]) <= most]
                 a.append(np.full(len(other), node[i]))
                 b.append(node[other])
                 held += len(other)
@@ -133,7 +186,7 @@ def candidates(bands: DataFrame, least: float = LEAST, neighbours: bool = False)
                 yield pairs(a, b)
 
     dealt = bands.repartition(parallelism(bands.sparkSession), "key").sortWithinPartitions("key", "size", "node")
-    return dealt.select("key", "size", "node", "component").mapInArrow(run, "a bigint, b bigint").distinct()
+    return dealt.select("key", "size", "node", "ends", "component").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST, shingle: int = SHINGLE) -> DataFrame:
@@ -144,11 +197,11 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST, shingle:
         import zstandard
 
         expand = zstandard.ZstdDecompressor().decompress
-        for part in slices(batches, "za", 1 << 20):
-            kept = [
-                jaccard(shingles(expand(x), shingle), shingles(expand(y), shingle)) >= least
-                for x, y in zip(part.column("za").to_pylist(), part.column("zb").to_pylist())
-            ]
+        for part in slices(slices(batches, "za", 1 << 20), "zb", 1 << 20):
+            a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
+            z = dict(zip(a, part.column("za").to_pylist())) | dict(zip(b, part.column("zb").to_pylist()))
+            sets = {node: shingles(expand(text), shingle) for node, text in z.items()}
+            kept = [jaccard(sets[x], sets[y]) >= least for x, y in zip(a, b)]
             yield part.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
     one = texts.select(F.col("node").alias("a"), F.col("z").alias("za"))
@@ -159,16 +212,21 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST, shingle:
 def first_documents(docs: DataFrame, least: float = LEAST, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id`` of the smallest id of each component of texts that are ``least`` or more alike.
 
-    Texts of the same words are one. Neighbours in the bands are verified first,
-    so that a crowd of copies is one component before the pairs between
-    components are. Rows without doc_id are left out.
+    Texts of the same words are one. What SimHash trees link is verified first,
+    then neighbours in the bands, so that a crowd of copies is one component
+    before the pairs between components are. Rows without doc_id are left out.
     """
-    texts = stored(named_texts(docs).groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("z").alias("z")), "distinct_words")
+    words = named_texts(docs, shingle).groupBy("node")
+    texts = stored(words.agg(F.min("doc_id").alias("rep"), F.min("fp").alias("fp"), F.min("z").alias("z")), "distinct_words")
     bands = stored(banded(texts, shingle), "bands")
-    crowds = stored(verified(candidates(bands.withColumn("component", F.col("node")), least, True), texts, least, shingle), "links")
-    labels = components(crowds).select("node", "component")
-    known = bands.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    links = crowds.union(verified(candidates(known, least), texts, least, shingle))
+
+    def known(labels: DataFrame) -> DataFrame:
+        return bands.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+    stars = stored(verified(tree_links(texts), texts, least, shingle), "stars")
+    starred = known(stars.select(F.col("a").alias("node"), F.col("b").alias("component")))
+    crowds = stored(stars.union(verified(candidates(starred, least, True), texts, least, shingle)), "links")
+    links = crowds.union(verified(candidates(known(components(crowds)), least), texts, least, shingle))
     found = components(links)
     named = texts.select("node", "rep").join(found, "node", "left").select(F.coalesce("component", "node").alias("component"), "rep")
     return named.groupBy("component").agg(F.min("rep").alias("doc_id")).select("doc_id").distinct()
