@@ -173,8 +173,8 @@ def sum_of_squares(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.nd
 def pack(pieces: DataFrame, capacity: int = CAPACITY, pieces_per_task: int = PIECES_PER_TASK) -> DataFrame:
     """Place every piece in a sequence; ``pieces`` has to be stored, as it is counted first.
 
-    Pieces are dealt by key to as many tasks as they fill, longest first within
-    a task (ties: by id and piece), so a repeated task gives the same result. A
+    Pieces are dealt by key, and by place so that no id is too many, to as many
+    tasks as they fill, longest first within a task (ties: by id and piece), so a repeated task gives the same result. A
     task that holds ``n`` pieces leaves some dozens of sequences open, however
     large ``n`` is.
     """
@@ -195,8 +195,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, pieces_per_task: int = PIE
         [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
     )
     return (
-        pieces.repartition(tasks, "doc_id", "piece")
+        pieces.withColumn("place", F.monotonically_increasing_id())
+        .repartition(tasks, "doc_id", "piece", "place")
         .sortWithinPartitions(F.desc("length"), "doc_id", "piece", "ids_crc32")
+        .select(names.names)
         .mapInArrow(run, PLACED)
     )
 
