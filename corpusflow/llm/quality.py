@@ -59,10 +59,16 @@ class Neighbours:
     basis: np.ndarray
     vectors: np.ndarray
     labels: np.ndarray
+    shares: np.ndarray
 
     @classmethod
-    def fit(cls, counts: np.ndarray, labels: np.ndarray, rank: int = RANK) -> Neighbours:
-        idf = np.log((len(counts) + 1) / ((counts[:, :-2] > 0).sum(axis=0) + 1)) + 1
+    def fit(
+        cls, counts: np.ndarray, labels: np.ndarray, idf: np.ndarray | None = None, shares: np.ndarray | None = None, rank: int = RANK
+    ) -> Neighbours:
+        """``idf`` of the buckets (else of ``counts``) and how many documents each row's vote stands for (else one)."""
+        if idf is None:
+            idf = np.log((len(counts) + 1) / ((counts[:, :-2] > 0).sum(axis=0) + 1)) + 1
+        shares = np.ones(len(counts)) if shares is None else shares
         x = weighted(counts[:, :-2], idf)
         rank = max(1, min(rank, *x.shape))
         sketch = x @ np.random.default_rng(0).standard_normal((x.shape[1], min(rank + 16, x.shape[1])))
@@ -71,7 +77,7 @@ class Neighbours:
             sketch = x @ basis
         _, _, right = np.linalg.svd(sketch, full_matrices=False)
         basis = basis @ right[:rank].T
-        return cls(idf, basis, cls._vectors(counts, idf, basis), labels.astype(float))
+        return cls(idf, basis, cls._vectors(counts, idf, basis), labels.astype(float), shares)
 
     @classmethod
     def _vectors(cls, counts: np.ndarray, idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
@@ -85,14 +91,14 @@ class Neighbours:
         return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
     def scores(self, counts: np.ndarray, k: int = NEIGHBOURS) -> np.ndarray:
-        """Similarity-weighted share of label 1 among the ``k`` nearest; the sample's share for rows without trigrams."""
+        """Similarity-weighted share of label 1 among the ``k`` nearest; all documents' share for rows without trigrams."""
         cosine = self._vectors(counts, self.idf, self.basis) @ self.vectors.T
         k = min(k, cosine.shape[1])
         near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-        weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 0) ** SHARPNESS
+        weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 0) ** SHARPNESS * self.shares[near]
         total = weight.sum(axis=1)
         vote = (weight * self.labels[near]).sum(axis=1) / np.maximum(total, 1e-300)
-        return np.where(total > 0, np.clip(vote, 0, 1), self.labels.mean())
+        return np.where(total > 0, np.clip(vote, 0, 1), np.average(self.labels, weights=self.shares))
 
     def score_texts(self, texts: list[bytes | None]) -> np.ndarray:
         """Scores of texts, a block at a time; null counts as empty."""
@@ -100,13 +106,35 @@ class Neighbours:
         return np.concatenate([self.scores(np.vstack([features(t or b"") for t in block])) for block in blocks])
 
 
+def document_idf(docs: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
+    """IDF of every trigram bucket over all rows: a row per bucket leaves each task, one per bucket reaches the driver."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(buckets + 1, np.int64)
+        for part in slices(batches):
+            for text in part.column("text").to_pylist():
+                found[:-1] += trigram_counts(text, buckets) > 0
+            found[-1] += part.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets + 1)), pa.array(found)], ["bucket", "n"])
+
+    each = doc_texts(docs).select("text").mapInArrow(count, "bucket bigint, n bigint")
+    n = np.zeros(buckets + 1)
+    for row in each.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        n[row.bucket] = row.n
+    return np.log((n[-1] + 1) / (n[:-1] + 1)) + 1
+
+
 def train(docs: DataFrame, labels: DataFrame, rows_per_label: int = ROWS_PER_LABEL) -> Neighbours | None:
     """Fit on at most ``rows_per_label`` documents of each label 0 and 1, those with the smallest hashes of their id.
 
-    A document labelled more than once counts with its largest label. Without
+    A document labelled more than once counts with its largest label, one with
+    several texts with the smallest in byte order. Document frequencies are
+    those of all rows of ``docs``; a label's votes count as many times as its
+    documents were cut down by, so scores mean the same at every size. Without
     any labelled document there is no model.
     """
     known = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    shares = {row.quality: max(1.0, row.n / rows_per_label) for row in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     chosen = [
         known.where(F.col("quality") == label).orderBy(F.xxhash64("doc_id", F.lit("sample")), "doc_id").limit(rows_per_label)
         for label in (0, 1)
@@ -123,21 +151,23 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_label: int = ROWS_PER_LAB
     rows = (
         doc_texts(docs)
         .join(F.broadcast(sample.withColumnRenamed("doc_id", "_id")), F.col("doc_id") == F.col("_id"))
-        .select("doc_id", F.col("quality").cast("int").alias("quality"), "text")
+        .groupBy("doc_id", F.col("quality").cast("int").alias("quality"))
+        .agg(F.min("text").alias("text"))  # one row for each id of the sample
         .mapInArrow(count, "doc_id bigint, quality int, counts binary")
         .collect()
     )
     if not rows:
         return None
-    rows.sort(key=lambda r: (r.doc_id, bytes(r.counts)))
+    rows.sort(key=lambda r: r.doc_id)
     counts = np.vstack([np.frombuffer(r.counts, "<u4").astype(np.int64) for r in rows])
-    return Neighbours.fit(counts, np.array([r.quality for r in rows]))
+    kinds = np.array([r.quality for r in rows])
+    return Neighbours.fit(counts, kinds, document_idf(docs), np.array([shares[k] for k in kinds.tolist()]))
 
 
 def score_quality(docs: DataFrame, model: Neighbours | None) -> DataFrame:
     """``doc_id`` and ``score`` (0 to 1, higher: label 1 likelier) for every row.
 
-    Null and empty texts get the sample's share of label 1, and so do all
+    Null and empty texts get the share of label 1 among all permitted labels, and so do all
     without a model: 0.5. Repeated rows give equal rows.
     """
     if model is None:
