@@ -114,10 +114,8 @@ def worker_cache(owner: str, name: str) -> dict:
     module = sys.modules.setdefault("_corpusflow_worker_cache", ModuleType("_corpusflow_worker_cache"))
     kept = vars(module)
     if kept.get("owner") != owner:
-        filled = bool(kept.get("entries"))
         kept["owner"], kept["entries"] = owner, {}
-        if filled:
-            return_memory()
+        return_memory()
     return kept["entries"].setdefault(name, {})
 
 

@@ -18,14 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import doc_texts, held_out, remainder_of, slices, table
+from corpusflow.llm.common import doc_texts, held_out, release_caches, remainder_of, slices, table
 
 BUCKETS = 2048
 RANK = 48
 ROWS_PER_LABEL = 1500
 NEIGHBOURS = 25
 SHARPNESS = 4
-BLOCK = 1024
+BLOCK = 256  # documents compared at a time: about 20 MB of cosines and their order
 REPEAT_WEIGHT = 1.5
 
 
@@ -102,6 +102,7 @@ class Neighbours:
 
     def score_texts(self, texts: list[bytes | None]) -> np.ndarray:
         """Scores of texts, a block at a time; null counts as empty."""
+        release_caches()
         blocks = [texts[at : at + BLOCK] for at in range(0, len(texts), BLOCK)]
         return np.concatenate([self.scores(np.vstack([features(t or b"") for t in block])) for block in blocks])
 
@@ -110,6 +111,7 @@ def document_idf(docs: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     """IDF of every trigram bucket over all rows: a row per bucket leaves each task, one per bucket reaches the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_caches()
         found = np.zeros(buckets + 1, np.int64)
         for part in slices(batches):
             for text in part.column("text").to_pylist():
