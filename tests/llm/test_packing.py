@@ -84,3 +84,11 @@ def test_chunks_give_the_tokenizers_ids(texts):
     encode = packing.ChunkIds(PATH)
     whole = [np.array(e.ids, "<u4").tobytes() for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
     assert encode(texts) == whole
+
+
+def test_rows_without_an_id_spread_over_all_tasks(spark):
+    rows = [(i if i % 3 else None, 0, 0, 5, 7) for i in range(3000)]
+    pieces = spark.createDataFrame(rows, packing.PIECES).repartition(4)
+    found = packing.pack(pieces, 64, pieces_per_task=100).collect()
+    sizes = np.bincount([r.sequence_id >> 32 for r in found])
+    assert len(found) == len(rows) and len(sizes) == 30 and sizes.max() < 200

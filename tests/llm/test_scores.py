@@ -284,3 +284,15 @@ def test_nothing_to_learn_from(documents, rows, no_documents):
     found = maxent.score_texts(documents, doc_texts(no_documents)).collect()
     assert len(found) == len(rows) and {r.n_known for r in found} == {0} and {r.train_tokens for r in found} == {0}
     assert maxent.score_texts(no_documents, doc_texts(documents)).count() == 0
+
+
+def test_quality_sample_is_bounded_however_often_an_id_is_repeated(spark):
+    docs = make_documents(spark, [(1, f"text number {i}", "en") for i in range(500)] + [(i, "a b c", "en") for i in range(2, 40)])
+    labels = spark.createDataFrame([(i, int(i > 5)) for i in range(1, 40)], "doc_id bigint, quality int")
+    model = quality.train(docs, labels, rows_per_label=10)
+    assert len(model.labels) == 15  # all five of label 0, ten of label 1
+    assert sorted(set(model.shares.tolist())) == [1.0, 3.4]
+    assert model.score_texts([None])[0] == pytest.approx(34 / 39)
+    texts = [r.text for r in docs.collect()]
+    n = sum((quality.trigram_counts(t.encode()) > 0).astype(int) for t in texts)
+    assert np.allclose(model.idf, np.log((len(texts) + 1) / (n + 1)) + 1)

@@ -1,9 +1,11 @@
 import random
 import re
 
+import numpy as np
+import pytest
 import xxhash
 
-from corpusflow.llm import simhash
+from corpusflow.llm import shingles, simhash
 from corpusflow.llm.components import components
 
 
@@ -84,3 +86,22 @@ def test_components_of_paths_stars_and_loops(spark):
 
 def test_no_documents(no_documents):
     assert simhash.near_duplicates(no_documents).count() == 0
+
+
+def test_sketches_let_pairs_through_that_are_alike():
+    """No pair at 0.8 or more goes, nearly every pair at 0.3 does; the bound is the binomial's."""
+    rng = np.random.default_rng(3)
+    most = shingles.most_differences()
+    assert most == 38 and shingles.most_differences(1.0) == 0
+
+    def unlike(jaccard, size=300):
+        shared = round(2 * size * jaccard / (1 + jaccard))
+        found = rng.integers(0, 1 << 63, 2 * size - shared).astype(np.uint64)
+        a, b = found[:size], found[size - shared :]
+        assert shingles.jaccard(np.sort(a), np.sort(b)) == pytest.approx(jaccard, abs=0.01)
+        one, other = (np.frombuffer(shingles.sketch(shingles.minima(s)), np.uint8) for s in (a, b))
+        return int(shingles.differences(one, other[None, :])[0])
+
+    assert max(unlike(0.8) for _ in range(300)) <= most
+    assert sum(unlike(0.3) <= most for _ in range(300)) <= 6
+    assert unlike(1.0) == 0
