@@ -73,7 +73,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Place the documents' pieces in sequences of at most 2048 tokens."""
     # a worker holds less here than in a job of its own, as other stages ran in it before
-    return packing.pack_documents(docs, cached_chunks=200_000, slice_bytes=4 << 20)
+    return packing.pack_documents(docs, cached_chunks=60_000, slice_bytes=1 << 20)
 
 
 STAGES = [
