@@ -2,11 +2,12 @@
 
 Texts whose SimHash fingerprints the shards' BK-trees link are compared with
 one of them first, so that crowds of copies are one component at the cost of one
-comparison a text. What is left is found by minima: candidates agree in all
-``ROWS`` minima of one of ``BANDS`` bands (a pair at 0.8 misses every band three
-times in a million) and in most of the four-bit ends of all minima (a pair at 0.8
-fails once in a million). All candidates that decide about a component are
-verified on the sets themselves. A 64-bit SimHash alone would need 24 bits of
+comparison a text. What is left is found by minima: candidates agree in the last
+bytes of all ``ROWS`` minima of one of ``BANDS`` bands (a pair at 0.8 misses every band
+three times in a million) and in most of the four-bit ends of all minima (a pair
+at 0.8 fails once in a million). A text's sketch has the ends, so it says which
+bands two texts share, and a pair is found in the first of them only. All
+candidates that decide about a component are verified on the sets themselves. A 64-bit SimHash alone would need 24 bits of
 radius for the same certainty, where blocks of equal bits are two or three bits
 wide and every shard holds a good part of the corpus.
 """
@@ -67,25 +68,28 @@ def minima(found: np.ndarray) -> np.ndarray:
     return least.reshape(BANDS, ROWS)
 
 
-def band_keys(least: np.ndarray) -> np.ndarray:
-    """A key for each band of :func:`minima`."""
-    keys = np.arange(BANDS).astype(np.uint64)
-    for column in least.T:
-        keys = (keys ^ column) * np.uint64(0x9E3779B97F4A7C15)
-        keys ^= keys >> np.uint64(29)
-    return keys
+def sketch(least: np.ndarray) -> bytes:
+    """The last byte of all minima, band by band."""
+    return (least.ravel() & np.uint64(255)).astype(np.uint8).tobytes()
 
 
-def sketch(least: np.ndarray) -> bytes:
-    """The last four bits of all minima, two in a byte."""
-    ends = (least.ravel() & np.uint64(15)).astype(np.uint8)
-    return (ends[::2] << 4 | ends[1::2]).tobytes()
+def band_keys(ends: np.ndarray) -> np.ndarray:
+    """A key for each band of sketches (rows of bytes): the number of the band and its ``ROWS`` bytes, so equal ends mean equal keys."""
+    value = ends.reshape(len(ends), BANDS, ROWS).astype(np.int64)
+    keys = np.broadcast_to(np.arange(BANDS), (len(ends), BANDS)).astype(np.int64)
+    for i in range(ROWS):
+        keys = keys << 8 | value[:, :, i]
+    return keys
 
 
 def differences(one: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """In how many minima the sketches ``others`` (rows of bytes) differ from ``one``."""
-    unlike = others ^ one
-    return np.count_nonzero(unlike & 0xF0, axis=1) + np.count_nonzero(unlike & 0x0F, axis=1)
+    """In how many minima the last four bits of the sketches ``others`` (rows of bytes) differ from those of ``one``."""
+    return np.count_nonzero((others ^ one) & 15, axis=1)
+
+
+def first_shared(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """The first band in which each of the sketches ``others`` is as ``one``; 0 if there is none."""
+    return (others == one).reshape(len(others), BANDS, ROWS).all(axis=2).argmax(axis=1)
 
 
 def most_differences(least: float = LEAST, missed: float = MISSED) -> int:
@@ -128,8 +132,8 @@ def tree_links(texts: DataFrame) -> DataFrame:
     return texts.select(F.col("node").alias("a"), "fp").join(centre, "fp").where("a <> b").select("a", "b")
 
 
-def banded(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``key, size, node, ends`` for each band of each row ``node, z``: its number of shingles and its :func:`sketch`."""
+def sketched(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """``node, size, ends`` of each row ``node, z`` with words: its number of shingles and its :func:`sketch`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_caches()
@@ -137,24 +141,36 @@ def banded(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
         expand = zstandard.ZstdDecompressor().decompress
         for part in slices(batches, "z", 1 << 20):
-            sets = [shingles(expand(z), shingle) for z in part.column("z").to_pylist()]
-            some = [i for i, s in enumerate(sets) if len(s)]
-            least = [minima(sets[i]) for i in some]
-            keys = np.concatenate([band_keys(m) for m in least] or [np.empty(0, np.uint64)])
-            ends = pa.array([sketch(m) for m in least], pa.binary()).take(pa.array(np.repeat(np.arange(len(least)), BANDS)))
-            size = np.repeat(np.array([len(sets[i]) for i in some], np.int64), BANDS)
-            node = np.repeat(part.column("node").to_numpy()[some], BANDS)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(size), pa.array(node), ends], ["key", "size", "node", "ends"]
-            )
+            node, size, ends = [], [], []
+            for n, z in zip(part.column("node").to_pylist(), part.column("z").to_pylist()):
+                found = shingles(expand(z), shingle)
+                if len(found):
+                    node.append(n)
+                    size.append(len(found))
+                    ends.append(sketch(minima(found)))
+            columns = [pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(ends, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "size", "ends"])
+
+    return texts.select("node", "z").mapInArrow(run, "node bigint, size bigint, ends binary")
+
+
+def banded(sketches: DataFrame) -> DataFrame:
+    """``key, node`` for each band of each row ``node, ends``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = np.frombuffer(b"".join(batch.column("ends").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            node = np.repeat(batch.column("node").to_numpy(), BANDS)
+            yield pa.RecordBatch.from_arrays([pa.array(band_keys(ends).ravel()), pa.array(node)], ["key", "node"])
 
-    return texts.select("node", "z").mapInArrow(run, "key bigint, size bigint, node bigint, ends binary")
+    return sketches.select("node", "ends").mapInArrow(run, "key bigint, node bigint")
 
 
 def candidates(bands: DataFrame, least: float = LEAST, neighbours: bool = False) -> DataFrame:
     """Distinct pairs ``a > b`` of rows ``key, size, node, ends, component`` that share a key, have other components and fit in size and sketch.
 
-    With ``neighbours`` only those that follow one another in a key's order by size.
+    With ``neighbours`` only those that follow one another in a key's order by
+    size; else a pair is looked at in the first band that it shares.
     """
 
     def pairs(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
@@ -165,21 +181,26 @@ def candidates(bands: DataFrame, least: float = LEAST, neighbours: bool = False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_caches()
-        for group in sorted_groups(batches, "key"):
+        for group in sorted_groups(batches, "key", 1 << 14):
             key, size, node, component = (group.column(c).to_numpy() for c in ("key", "size", "node", "component"))
             ends = np.frombuffer(b"".join(group.column("ends").to_pylist()), np.uint8).reshape(len(key), -1)
+            band = key >> 8 * ROWS
             cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
             end = np.repeat(cuts[1:], np.diff(cuts))
             a, b, held = [], [], 0
             for i in np.flatnonzero(end - np.arange(len(key)) > 1).tolist():
                 last = i + 2 if neighbours else i + 1 + int(np.searchsorted(size[i + 1 : end[i]], size[i] / least, side="right"))
-                other = np.arange(i + 1, last)
-                other = other[(component[other] != component[i]) & (size[other] * least <= size[i] + 1e-9 * size[i])]
-                other = other[differences(ends[i], ends[other]) <= most]
-                a.append(np.full(len(other), node[i]))
-                b.append(node[other])
-                held += len(other)
-                if held > 1 << 20:
+                for start in range(i + 1, last, 1 << 14):
+                    other = np.arange(start, min(last, start + (1 << 14)))
+                    other = other[(component[other] != component[i]) & (size[other] * least <= size[i] + 1e-9 * size[i])]
+                    other = other[differences(ends[i], ends[other]) <= most]
+                    if not neighbours:
+                        other = other[first_shared(ends[i], ends[other]) == band[i]]
+                    if len(other):
+                        a.append(np.full(len(other), node[i]))
+                        b.append(node[other])
+                        held += len(other)
+                if held > 1 << 18:
                     yield pairs(a, b)
                     a, b, held = [], [], 0
             if held:
@@ -218,10 +239,16 @@ def first_documents(docs: DataFrame, least: float = LEAST, shingle: int = SHINGL
     """
     words = named_texts(docs, shingle).groupBy("node")
     texts = stored(words.agg(F.min("doc_id").alias("rep"), F.min("fp").alias("fp"), F.min("z").alias("z")), "distinct_words")
-    bands = stored(banded(texts, shingle), "bands")
+    sketches = stored(sketched(texts, shingle), "sketches")
+    bands = stored(banded(sketches), "bands")
 
     def known(labels: DataFrame) -> DataFrame:
-        return bands.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        """The rows of keys in which components meet; only these take their sketches along."""
+        labelled = sketches.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        met = bands.join(labelled.select("node", "component"), "node")
+        several = met.groupBy("key").agg(F.min("component").alias("one"), F.max("component").alias("other")).where("one <> other")
+        rows = stored(bands.join(several.select("key"), "key", "left_semi"), "crowded_bands")
+        return rows.join(labelled, "node")
 
     stars = stored(verified(tree_links(texts), texts, least, shingle), "stars")
     starred = known(stars.select(F.col("a").alias("node"), F.col("b").alias("component")))

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from corpusflow.llm import shingles, simhash
 from corpusflow.llm.components import components
@@ -105,3 +106,47 @@ def test_sketches_let_pairs_through_that_are_alike():
     assert max(unlike(0.8) for _ in range(300)) <= most
     assert sum(unlike(0.3) <= most for _ in range(300)) <= 6
     assert unlike(1.0) == 0
+
+
+def test_a_pair_is_found_in_the_first_band_that_it_shares():
+    rng = np.random.default_rng(5)
+    least = rng.integers(0, 4, (200, shingles.BANDS, shingles.ROWS)).astype(np.uint64)
+    least[:, 20:] = least[0, 20:]
+    ends = np.stack([np.frombuffer(shingles.sketch(m), np.uint8) for m in least])
+    keys = shingles.band_keys(ends)
+    first = shingles.first_shared(ends[0], ends)
+    for i in range(200):
+        assert first[i] == min(np.flatnonzero(keys[0] == keys[i]))
+    assert (keys >> 8 * shingles.ROWS == np.arange(shingles.BANDS)).all() and len(set(first.tolist())) > 2
+
+
+def test_crowded_pairs_leave_their_bands_once(spark):
+    """Texts just below the bound share several bands; one row a pair comes out of the comparison."""
+    rng = np.random.default_rng(6)
+    same = rng.integers(0, 1 << 63, 230).astype(np.uint64)
+    rows = []
+    for node in range(12):
+        m = shingles.minima(np.unique(np.concatenate([same, rng.integers(0, 1 << 63, 40).astype(np.uint64)])))
+        rows.append((node, 270, bytearray(shingles.sketch(m))))
+    sketches = spark.createDataFrame(rows, "node bigint, size bigint, ends binary")
+    bands = shingles.banded(sketches).join(sketches, "node").withColumn("component", F.col("node"))
+    assert bands.groupBy("key").count().where("count > 1").count() >= 24
+    found = shingles.candidates(bands)
+    assert found.count() == 66
+    assert python_rows(found) == 66
+
+
+def python_rows(found):
+    """Rows that the Python step made when the plan ran."""
+    plan = found._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        if "MapInArrow" in node.nodeName():
+            return node.metrics().apply("numOutputRows").value()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
