@@ -9,6 +9,7 @@ from corpusflow.session import stored
 
 METRICS_SCHEMA = "run_id STRING, key STRING, value DOUBLE, step BIGINT, ts TIMESTAMP_NTZ"
 PARAMS_SCHEMA = "run_id STRING, key STRING, value STRING"
+LEVELS = 4
 ARTIFACTS_SCHEMA = "run_id STRING, path STRING, content STRING"
 
 
@@ -23,32 +24,49 @@ def json_to_long(df: DataFrame, ids: list[str], metrics: str) -> DataFrame:
 
     A key is the path of names, and of places in arrays, joined by slashes.
     Numbers are in ``value``; other leaves, as JSON, in ``text``. Text that is
-    no JSON, a null, and an empty object or array give no row. Each level of
-    nesting is one pass over what still has levels.
+    no JSON, a null, and an empty object or array give no row. ``LEVELS`` levels of
+    nesting are one pass, written once; what has more goes through another one.
     """
-    spark = df.sparkSession
     rows = df.select(*ids, F.lit("").alias("_path"), F.col(metrics).alias("_json"))
     found = None
     while True:
-        held = rows.select(*ids, "_path", F.try_parse_json("_json").alias("_variant"))
-        below = spark.sql("SELECT h.*, c.pos AS _pos, c.key AS _key, c.value AS _value FROM {held} h, LATERAL variant_explode(h._variant) c", held=held)
-        name = F.coalesce("_key", F.col("_pos").cast("string"))
-        path = F.when(F.col("_path") == "", name).otherwise(F.concat("_path", F.lit("/"), name))
-        kind = F.schema_of_variant("_value")
-        below = stored(below.select(*ids, path.alias("_path"), F.to_json("_value").alias("_json"), kind.alias("_kind")), "metric_leaves")
-        nested = F.col("_kind").startswith("OBJECT") | F.col("_kind").startswith("ARRAY")
-        number = F.col("_kind").rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$")
-        leaves = below.where(~nested & (F.col("_kind") != "VOID")).select(
-            *ids, F.col("_path").alias("key"),
-            F.when(number, F.col("_json").cast("double")).alias("value"),
-            F.when(~number, F.col("_json")).alias("text"),
+        below = _exploded(rows.select(*ids, "_path", F.try_parse_json("_json").alias("_value")), ids)
+        for _ in range(LEVELS - 1):
+            below = _exploded(below, ids, outer=True)
+        json, kind = F.to_json("_value"), F.schema_of_variant("_value")
+        nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
+        number = kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$")
+        below = below.where((kind != "VOID") & ~json.isin("{}", "[]")).select(
+            *ids, "_path",
+            F.when(number, json.cast("double")).alias("_number"),
+            F.when(~number & ~nested, json).alias("_text"),
+            F.when(nested, json).alias("_json"),
+        )
+        below = stored(below, "metric_leaves")
+        leaves = below.where("_json IS NULL").select(
+            *ids, F.col("_path").alias("key"), F.col("_number").alias("value"), F.col("_text").alias("text")
         )
         found = leaves if found is None else found.union(leaves)
-        rows = below.where(nested).select(*ids, "_path", "_json")
+        rows = below.where("_json IS NOT NULL").select(*ids, "_path", "_json")
         if rows.isEmpty():
             return found
 
 
+def _exploded(held: DataFrame, ids: list[str], outer: bool = False) -> DataFrame:
+    """``ids, _path, _value`` of what is one level below; with ``outer`` also of what has nothing below it, as it is."""
+    explode = "variant_explode_outer" if outer else "variant_explode"
+    below = held.sparkSession.sql(
+        f"SELECT h.*, c.pos AS _pos, c.key AS _key, c.value AS _below FROM {{held}} h, LATERAL {explode}(h._value) c", held=held
+    )
+    name = F.coalesce("_key", F.col("_pos").cast("string"))
+    path = F.when(F.col("_path") == "", name).otherwise(F.concat("_path", F.lit("/"), name))
+    return below.select(
+        *ids,
+        F.when(F.col("_pos").isNull(), F.col("_path")).otherwise(path).alias("_path"),
+        F.when(F.col("_pos").isNull(), F.col("_value")).otherwise(F.col("_below")).alias("_value"),
+    )
+
+
 def params_to_long(df: DataFrame, ids: list[str], params: list[str]) -> DataFrame:
     wide = df.select(*ids, *[F.col(c).cast("string").alias(c) for c in params])
     return wide.unpivot(ids, params, "key", "value")

@@ -71,3 +71,22 @@ def test_rows_without_metrics(spark):
     df = spark.createDataFrame([(1, None)], "id int, metrics string")
     assert tr.json_to_long(df, ["id"], "metrics").collect() == []
     assert tr.json_to_long(df.limit(0), ["id"], "metrics").select(F.count("*")).head()[0] == 0
+
+
+def test_four_levels_are_one_pass(spark):
+    """Leaves of every depth, what is empty, and what is deeper than a pass; each pass is written once."""
+    import glob
+
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir").removeprefix("file:")
+    def passes():
+        return len(glob.glob(f"{base}/corpusflow/metric_leaves-*"))
+
+    four = '{"a": 1, "b": {"c": "t", "d": [2.5, {"e": true}]}, "f": {}, "g": [], "h": null, "i": {"j": {"k": []}}}'
+    deep = '{"a": {"b": {"c": {"d": {"e": {"f": [7, {}]}}}}}}'
+    before = passes()
+    rows = tr.json_to_long(spark.createDataFrame([(1, four), (2, "5"), (3, "no json"), (4, None)], "id int, m string"), ["id"], "m").collect()
+    assert passes() == before + 1
+    want = [(1, "a", 1.0, None), (1, "b/c", None, '"t"'), (1, "b/d/0", 2.5, None), (1, "b/d/1/e", None, "true")]
+    assert sorted(tuple(r) for r in rows) == want
+    rows = tr.json_to_long(spark.createDataFrame([(1, deep)], "id int, m string"), ["id"], "m").collect()
+    assert [tuple(r) for r in rows] == [(1, "a/b/c/d/e/f/0", 7.0, None)] and passes() == before + 3
