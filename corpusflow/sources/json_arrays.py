@@ -28,18 +28,23 @@ _HEAD, _TAIL, _MIDDLE = 0, 1, 2
 
 
 def _fragments(spark: SparkSession, path: str, range_bytes: int | None) -> DataFrame:
-    """``file, start, place, value``: fragments, with the start of their range and their place in the task."""
+    """``file, start, place, value``: fragments, with the start of their range and their place in the task.
+
+    Small ranges do not mean many tasks: a task reads several, about as many as it would read by the session's settings.
+    """
+    tasks = max(3 * spark.sparkContext.defaultParallelism, spark.read.text(path).rdd.getNumPartitions())
     if range_bytes:
         spark = spark.newSession()
         spark.conf.set("spark.sql.files.maxPartitionBytes", range_bytes)
         spark.conf.set("spark.sql.files.openCostInBytes", 0)
         spark.conf.set("spark.sql.files.minPartitionNum", 1)
-    return spark.read.option("lineSep", MARK.decode()).text(path).select(
+    found = spark.read.option("lineSep", MARK.decode()).text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("place"),
         F.col("value").cast("binary").alias("value"),
     )
+    return found.coalesce(tasks) if range_bytes else found
 
 
 def _rows(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[tuple, bool]]:

@@ -70,3 +70,13 @@ def test_compressed_file(spark, tmp_path):
     with gzip.open(tmp_path / "a.json.gz", "wt") as out:
         json.dump(rows, out)
     assert src.read_json_array(spark, str(tmp_path), SCHEMA, range_bytes=100).count() == 20
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    rows = list(objects(300, 9))
+    (tmp_path / "a.json").write_text(json.dumps(rows))
+    fragments = ja._fragments(spark, str(tmp_path), 100)
+    assert fragments.select("start").distinct().count() > 100
+    assert fragments.rdd.getNumPartitions() <= 3 * spark.sparkContext.defaultParallelism
+    lines = ja.array_items(spark, str(tmp_path), 100).collect()
+    assert sorted((json.loads(r.value) for r in lines), key=lambda r: r["id"]) == rows
