@@ -1,15 +1,15 @@
 """Subword ids by ranked merges.
 
-A text is cut into words in the JVM. Each batch of words is reduced to its distinct
+A text is cut into words in the JVM. Each few megabytes of words are reduced to the distinct
 ones, these are merged side by side, and their ids are taken back to the places of
-the words: a narrow map without a shuffle, and a frequent word is merged once per
-batch. Merges travel with the tasks, so their number is checked.
+the words: a narrow map without a shuffle, and a frequent word is merged once for
+many texts. Merges travel with the tasks, so their number is checked.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,6 +23,7 @@ from corpusflow.sources.corpus import text_column
 # Fixed value: the usual cut of byte-level vocabularies into words, with Unicode classes.
 WORD_PATTERN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MOST_MERGES = 2_000_000
+SLICE_BYTES = 4 << 20
 NO_RANK = np.iinfo(np.int64).max
 
 
@@ -138,7 +139,7 @@ def subword_ids(
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "n_tokens int", "ids array<int>"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in word_slices(batches, "_words"):
             column = batch.column("_words")
             coded = column.flatten().dictionary_encode()
             ids, bounds = merges.encode(coded.dictionary)
@@ -159,5 +160,21 @@ def subword_ids(
     return split.mapInArrow(run, schema)
 
 
+def word_slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut batches into slices of about ``max_bytes`` of the words in a column of lists (one row at least).
+
+    Ids take some times the memory of their words, and a batch has as many rows as the session says, however long.
+    """
+    for batch in batches:
+        lists = batch.column(column)
+        sizes = pa.compute.binary_length(lists.flatten()).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.append(0, np.cumsum(sizes))[np.cumsum(_lengths(lists))]
+        start, taken = 0, 0
+        while start < batch.num_rows:
+            end = max(start + 1, int(np.searchsorted(ends, taken + max_bytes, side="right")))
+            yield batch.slice(start, end - start)
+            start, taken = end, ends[end - 1]
+
+
 def _lengths(lists: pa.Array) -> np.ndarray:
     return pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)

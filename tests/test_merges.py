@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,3 +76,11 @@ def test_registered_query_fits_fixed_length(spark, sf_dir):
     rows = tokens.tokenize_merges(spark, sf_dir)
     assert rows.columns == ["doc_id", "n_tokens", "ids"]
     assert rows.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").where("text IS NOT NULL").count()
+
+
+def test_words_are_encoded_a_few_bytes_at_a_time():
+    rows = [[b"ab", b"c"], [], [b"x" * 50], [b"d"] * 9, [b"e"], [b""] * 3]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array([[b"z"], *rows], pa.list_(pa.binary()))], ["id", "w"])
+    slices = list(mg.word_slices([batch.slice(1), batch.slice(0, 0)], "w", 10))
+    assert [s.column("id").to_pylist() for s in slices] == [[1, 2], [3], [4, 5, 6]]
+    assert [r for s in slices for r in s.column("w").to_pylist()] == rows
