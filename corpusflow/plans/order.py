@@ -20,6 +20,9 @@ from corpusflow.settings import (
 )
 
 
+BLOCK_ROWS = 4096
+
+
 def expand_epochs(df: DataFrame, epochs: int = EPOCHS, first: int = 0) -> DataFrame:
     """Every row once per epoch, as a narrow generator."""
     return df.withColumn("epoch", F.explode(F.sequence(F.lit(first), F.lit(first + epochs - 1))))
@@ -36,26 +39,37 @@ def seeded_order(df: DataFrame, keys: list[str], seed: int = SEED, digits: int =
     buckets. Only that table of at most ``16**digits`` rows per epoch is
     broadcast, and counting it reads the key columns alone.
     """
+    keyed = _keyed(df, keys, seed, digits)
+    return _numbered(keyed, _offsets(keyed), keys).drop("_n")
+
+
+def _keyed(df: DataFrame, keys: list[str], seed: int, digits: int) -> DataFrame:
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epoch").cast("string"), *[F.col(k).cast("string") for k in keys]))
-    keyed = df.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, digits))
+    return df.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, digits))
 
+
+def _offsets(keyed: DataFrame) -> DataFrame:
+    """Per epoch and bucket: its number of rows ``_n``, those of earlier buckets, and those of the epoch."""
     counts = keyed.groupBy("epoch", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     per_epoch = Window.partitionBy("epoch")
     earlier = per_epoch.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
+    return counts.select(
         F.col("epoch").alias("_epoch"),
         F.col("_bucket").alias("_in"),
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
         F.sum("_n").over(per_epoch).alias("n_rows"),
+        "_n",
     )
 
+
+def _with_offsets(keyed: DataFrame, offsets: DataFrame) -> DataFrame:
+    return keyed.join(F.broadcast(offsets), (F.col("epoch") == F.col("_epoch")) & (F.col("_bucket") == F.col("_in"))).drop("_epoch", "_in")
+
+
+def _numbered(keyed: DataFrame, offsets: DataFrame, keys: list[str]) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("epoch", "_bucket").orderBy("_digest", *keys))
-    return (
-        keyed.withColumn("_place", place)
-        .join(F.broadcast(offsets), (F.col("epoch") == F.col("_epoch")) & (F.col("_bucket") == F.col("_in")))
-        .withColumn("position", F.col("_offset") + F.col("_place") - 1)
-        .drop("_digest", "_bucket", "_place", "_epoch", "_in", "_offset")
-    )
+    placed = _with_offsets(keyed.withColumn("_place", place), offsets)
+    return placed.withColumn("position", F.col("_offset") + F.col("_place") - 1).drop("_digest", "_bucket", "_place", "_offset")
 
 
 def _rows_per_rank(world_size: int) -> Column:
@@ -90,6 +104,49 @@ def shard_assignment(
     return shard(seeded_order(expand_epochs(df, epochs, first_epoch), keys, seed), world_size)
 
 
+def blocked_assignment(
+    df: DataFrame,
+    keys: list[str],
+    epochs: int = EPOCHS,
+    first_epoch: int = 0,
+    seed: int = SEED,
+    world_size: int = WORLD_SIZE,
+    per_device: int = BATCH_PER_DEVICE,
+    block_rows: int = BLOCK_ROWS,
+    digits: int = 4,
+) -> DataFrame:
+    """The rows of :func:`shard_assignment` with their ``block`` of consecutive positions, dealt to tasks by epoch and block.
+
+    For rows that carry much: a block holds whole micro-batches of all ranks, so
+    :func:`group_batches` needs no other shuffle. The positions that a bucket of
+    :func:`seeded_order` gets are known up to the order in the bucket. Its rows go
+    to every block they may lie in (mostly one, as a block has 16 times as many
+    rows as a bucket or more), are numbered there, and stay where they belong.
+    """
+    unit = world_size * per_device
+    least = -(-block_rows // unit) * unit
+    total = _rows_per_rank(world_size) * world_size
+    rows = F.expr(f"greatest({least}, cast(ceil(n_rows * 16 / {16**digits * unit}) AS bigint) * {unit})")
+    rounds = F.sequence(F.lit(0), F.floor((total - 1 - F.col("_offset")) / F.col("n_rows")))  # the order wraps round
+
+    def blocks(turn: Column) -> Column:
+        first = F.col("_offset") + turn * F.col("n_rows")
+        last = F.least(first + F.col("_n") - 1, total - 1)
+        return F.sequence(F.floor(first / F.col("_block_rows")), F.floor(last / F.col("_block_rows")))
+
+    keyed = _keyed(expand_epochs(df, epochs, first_epoch), keys, seed, digits)
+    offsets = _offsets(keyed).withColumn("_block_rows", rows)
+    offsets = offsets.withColumn("_blocks", F.array_distinct(F.flatten(F.transform(rounds, blocks)))).drop("_n")
+    dealt = _with_offsets(keyed, offsets).withColumn("block", F.explode("_blocks")).drop("_blocks").repartition("epoch", "block")
+    # all columns, so that rows of one key are numbered alike in all blocks of their bucket
+    rest = [c for c in df.columns if c not in keys]
+    place = F.row_number().over(Window.partitionBy("epoch", "block", "_bucket").orderBy("_digest", *keys, *rest))
+    placed = shard(dealt.withColumn("position", F.col("_offset") + place - 1), world_size)
+    return placed.where(F.floor(F.col("position") / F.col("_block_rows")) == F.col("block")).drop(
+        "_digest", "_bucket", "_offset", "_block_rows"
+    )
+
+
 def rank_gate(df: DataFrame, rank: int = 0) -> DataFrame:
     """Only the rows of the reporting rank."""
     return df.where(F.col("rank") == rank)
@@ -162,10 +219,13 @@ def step_calendar(
 
 
 def group_batches(plan: DataFrame, *more: str) -> DataFrame:
-    """One row per micro-batch, with ``rows`` (``slot``, unpadded ``ids``) in slot order; at most ``per_device`` of them."""
-    return plan.groupBy("epoch", *more, "step", "micro_batch", "rank").agg(
-        F.array_sort(F.collect_list(F.struct("slot", "ids"))).alias("rows")
-    )
+    """One row per micro-batch, with ``rows`` (``slot``, unpadded ``ids``) in slot order; at most ``per_device`` of them.
+
+    A plan in blocks (:func:`blocked_assignment`) is grouped where its rows lie.
+    """
+    where = ["block"] if "block" in plan.columns else []
+    groups = plan.groupBy("epoch", *where, *more, "step", "micro_batch", "rank")
+    return groups.agg(F.array_sort(F.collect_list(F.struct("slot", "ids"))).alias("rows")).drop(*where)
 
 
 def pad_batches(

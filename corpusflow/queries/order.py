@@ -70,7 +70,7 @@ def _token_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = token_ids(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), ["doc_id"])
     # texts are read and tokenised once, however often the order is computed
     tokens = stored(tokens, "tokens")
-    return order.batch_plan(order.shard_assignment(tokens, ["doc_id"]))
+    return order.batch_plan(order.blocked_assignment(tokens, ["doc_id"]))
 
 
 def collate_batches(spark: SparkSession, sf_dir: str) -> DataFrame:

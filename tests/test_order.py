@@ -117,3 +117,26 @@ def test_latest_k_prunes_before_the_shuffle(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     plan = plan_of(order.keep_latest(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], 3))
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_blocks_hold_the_same_rows_at_the_same_places(spark):
+    """Whatever the sizes; also where the order wraps round, and with ids that repeat."""
+    for n, world, digits, block_rows in ((1, 16, 4, 64), (5, 16, 1, 4096), (1000, 16, 3, 64), (1003, 3, 2, 12)):
+        rows = ids(spark, n).withColumn("ids", F.array("doc_id"))
+        columns = ["epoch", "position", "rank", "n_rows", "doc_id", "ids"]
+        want = order.shard(order.seeded_order(order.expand_epochs(rows, 2), ["doc_id"], digits=digits), world).select(columns)
+        found = order.blocked_assignment(rows, ["doc_id"], 2, world_size=world, block_rows=block_rows, digits=digits)
+        assert sorted(found.select(columns).collect()) == sorted(want.collect())
+        plan = order.batch_plan(found, world)
+        assert plan.groupBy("epoch", "micro_batch").agg(F.countDistinct("block").alias("n")).where("n > 1").count() == 0
+    twice = spark.createDataFrame([(i // 3, [i]) for i in range(600)], "doc_id bigint, ids array<bigint>")
+    found = order.blocked_assignment(twice, ["doc_id"], 1, world_size=2, per_device=1, block_rows=2, digits=2).collect()
+    assert sorted(r.position for r in found) == list(range(600)) and sorted(r.ids[0] for r in found) == list(range(600))
+
+
+def test_collation_moves_the_rows_of_a_plan_in_blocks_once(spark, sf_dir):
+    from corpusflow.queries.order import collate_batches
+
+    plan = plan_of(collate_batches(spark, sf_dir))
+    # rows by block; bucket counts; their running sum
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 3
