@@ -43,11 +43,13 @@ def store_segments(plan: DataFrame, path: str, segment_steps: int = SEGMENT_STEP
     """Write the micro-batches of a plan that carries ``ids`` below ``path``, a folder for each segment of an epoch.
 
     One shuffle brings the rows of a segment and rank together, and both the
-    grouping and the files use it. A segment and rank hold ``segment_steps``
-    steps' rows, however long the run.
+    grouping and the files use it; a plan in blocks has them together already.
+    A segment holds ``segment_steps`` steps' rows, however long the run.
     """
     cut = plan.withColumn("segment", F.expr(f"step div {segment_steps}"))
-    groups = order.group_batches(cut.repartition("epoch", "segment", "rank"), "segment")
+    if "block" not in cut.columns:
+        cut = cut.repartition("epoch", "segment", "rank")
+    groups = order.group_batches(cut, "segment")
     groups.write.mode("overwrite").partitionBy("epoch", "segment").parquet(path)
 
 
