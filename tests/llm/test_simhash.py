@@ -144,7 +144,7 @@ def python_rows(found):
     while todo:
         node = todo.pop()
         if "MapInArrow" in node.nodeName():
-            return node.metrics().apply("numOutputRows").value()
+            return node.metrics().apply("pythonNumRowsReceived").value()
         if node.nodeName() == "AdaptiveSparkPlan":
             todo.append(node.executedPlan())
         elif "QueryStage" in node.nodeName():
