@@ -2,11 +2,13 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
 written and read back as the next one's ``docs``. All but the last return the
-columns of ``documents``.
+columns of ``documents``. Stages share the executors and their Python workers,
+so texts go to Python in small batches in all of them.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.llm import langid, packing, quality, repeats, shingles
 from corpusflow.llm.common import filter_rows, table
-from corpusflow.session import stored
+from corpusflow.session import bound_batches, stored
 
 LEAST_POSTERIOR = 0.5
 LEAST_QUALITY = 0.5
@@ -76,12 +78,21 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack_documents(docs, cached_chunks=60_000, slice_bytes=1 << 20)
 
 
+def _in_small_batches(stage: Callable[..., DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("language ID", identify_languages),
-    ("quality classifier", keep_quality),
-    ("SimHash near-dedup", drop_near_duplicates),
-    ("suffix-array dedup", cut_repeats),
-    ("best-fit packing", pack_sequences),
+    ("language ID", _in_small_batches(identify_languages)),
+    ("quality classifier", _in_small_batches(keep_quality)),
+    ("SimHash near-dedup", _in_small_batches(drop_near_duplicates)),
+    ("suffix-array dedup", _in_small_batches(cut_repeats)),
+    ("best-fit packing", _in_small_batches(pack_sequences)),
 ]
 
 ORACLE_SQL = None

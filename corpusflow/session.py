@@ -50,6 +50,19 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def bound_batches(spark: SparkSession, most_bytes: int = 4 << 20) -> None:
+    """Let the session hand about ``most_bytes`` at a time to Python (one row at least), unless it has a bound of its own.
+
+    Spark's default is ten thousand rows or 64 MB. The executor holds a batch
+    outside its heap, twice while the buffers grow, the worker holds it too, and
+    neither gives all of it back. The bound stays set, as a result is run after
+    the call that makes it has returned.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, most_bytes)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 

@@ -1,7 +1,8 @@
 import random
 
 import corpus_pipeline
-from corpusflow.session import stored
+from corpusflow.llm import shingles
+from corpusflow.session import bound_batches, stored
 from tests.llm.conftest import make_documents
 
 
@@ -57,3 +58,42 @@ def test_near_duplicates_are_those_with_most_five_word_shingles_in_common(spark)
     kept = corpus_pipeline.drop_near_duplicates(spark, make_documents(spark, rows), "").select("doc_id").collect()
     assert sorted(r.doc_id for r in kept) == sorted(set(label.values()))
     assert 60 < len(kept) < len(rows)
+
+
+BOUND = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def test_near_duplicates_send_texts_to_python_in_small_batches(spark, tmp_path, monkeypatch):
+    """No batch of texts, nor of compressed words, is much over 4 MB, in a partition of many times that."""
+    noted, cut = str(tmp_path / "bytes"), shingles.slices
+
+    def noting(batches, *args):
+        def seen():
+            for batch in batches:
+                with open(noted, "a") as f:
+                    f.write(f"{batch.nbytes}\n")
+                yield batch
+
+        return cut(seen(), *args)
+
+    monkeypatch.setattr(shingles, "slices", noting)
+    spark.conf.unset(BOUND)
+    words = "concat_ws(' ', transform(sequence(1, 150), i -> sha2(concat(id, '-', i), 256)))"
+    docs = spark.range(0, 2000, 1, 1).selectExpr("id AS doc_id", f"{words} AS text", "'en' AS lang", "'s' AS source", "9750L AS n_chars")
+    try:
+        kept = dict(corpus_pipeline.STAGES)["SimHash near-dedup"](spark, stored(docs, "docs"), "")
+        assert kept.count() == 2000
+    finally:
+        spark.conf.unset(BOUND)
+    with open(noted) as f:
+        found = [int(line) for line in f]
+    assert sum(found) > 19_000_000 and max(found) < 5 << 20
+
+
+def test_a_bound_of_the_session_stays(spark):
+    spark.conf.set(BOUND, "1m")
+    try:
+        bound_batches(spark)
+        assert spark.conf.get(BOUND) == "1m"
+    finally:
+        spark.conf.unset(BOUND)
