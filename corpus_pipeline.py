@@ -62,13 +62,9 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Where a cut goes through a character, the bytes left of it go too.
     """
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    found = repeats.remove_repeats(docs, carry=others).where("n_bytes = 0 OR n_removed < n_bytes")
-
-    def read(texts):
-        return texts.map(lambda t: bytes(t).decode("utf-8", "ignore"))
-
-    text = F.pandas_udf(read, "string")
-    cut = found.withColumn("text", text("kept"))
+    # read in the operator's last step: a second step in Python would take a second worker for each task, and Spark keeps those
+    found = repeats.remove_repeats(docs, carry=others, as_text=True).where("n_bytes = 0 OR n_removed < n_bytes")
+    cut = found.withColumn("text", F.col("kept"))
     return cut.withColumn("n_chars", F.char_length("text").cast("bigint")).select(docs.columns)
 
 

@@ -366,14 +366,17 @@ def covered(spans: list[int], window: int) -> list[tuple[int, int]]:
     return list(zip(start[new].tolist(), end[np.append(np.flatnonzero(new)[1:] - 1, len(s) - 1)].tolist()))
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, carry: Sequence[str] = ()) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, window: int = WINDOW, gram: int = GRAM, carry: Sequence[str] = (), as_text: bool = False
+) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` (bytes) for every row, and the columns to ``carry`` along.
 
     "Earlier" goes by doc_id, then by place; rows without id come first. Rows
     that share a doc_id are told apart by the 64-bit hash of their texts
     and come in its order. Rows equal in both count as one document, whose
     result each of them gets. A null or empty text gives zeros and the digest of
-    nothing.
+    nothing. With ``as_text``, ``kept`` is the string of those bytes without what
+    is left of characters that a cut goes through.
     """
     texts = source_texts(docs, list(carry))
     once = texts.select("id", "h", "text")
@@ -400,8 +403,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, carr
                     at = b
                 kept.append(text[at:])
                 left = b"".join(kept)
-                rows.append((len(text), len(text) - len(left), len(ranges), hashlib.sha256(left).hexdigest(), left))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+                rows.append((len(text), len(text) - len(left), len(ranges), hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore") if as_text else left))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string() if as_text else pa.binary())
             arrays = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
             others = [n for n in part.schema.names if n.startswith("_carry")]
             columns = [part.column("id"), *arrays, *map(part.column, others)]
@@ -409,7 +412,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, carr
 
     joined = packed(texts).join(per_text, ["id", "h"], "left").drop("h")
     taken = [f for f in joined.schema if f.name.startswith("_carry")]
-    schema = StructType.fromDDL(f"id bigint, {RESULT}")
+    schema = StructType.fromDDL(f"id bigint, {RESULT.replace('binary', 'string') if as_text else RESULT}")
     found = joined.select("id", "z", "spans", *[f.name for f in taken]).mapInArrow(run, StructType(schema.fields + taken))
     back = [F.col(f"_carry{i}").alias(c) for i, c in enumerate(carry)]
     return found.select(F.expr(f"nullif(id, bigint('{NO_ID}'))").alias("doc_id"), *NAMES, *back)

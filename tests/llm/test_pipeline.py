@@ -97,3 +97,12 @@ def test_a_bound_of_the_session_stays(spark):
         assert spark.conf.get(BOUND) == "1m"
     finally:
         spark.conf.unset(BOUND)
+
+
+def test_cut_repeats_takes_one_worker_a_task(spark):
+    """No stage of the plan that is left to the caller goes to Python twice; a cut character goes whole."""
+    passage = " ".join(f"né{i}" for i in range(60))
+    docs = make_documents(spark, [(1, "é" + passage, "fr"), (2, "©" + passage + " fin", "fr")])  # both characters end in the byte A9
+    cut = corpus_pipeline.cut_repeats(spark, docs, "")
+    assert "EvalPython" not in cut._jdf.queryExecution().executedPlan().toString()
+    assert {r.doc_id: r.text for r in cut.collect()} == {1: "é" + passage, 2: " fin"}
