@@ -60,6 +60,38 @@ def test_near_duplicates_are_those_with_most_five_word_shingles_in_common(spark)
     assert 60 < len(kept) < len(rows)
 
 
+def test_pairs_to_verify_grow_with_a_crowd_not_with_its_square(spark, monkeypatch):
+    """Copies of a template, each with a passage of its own: most are 0.6 to 0.79 alike, some 0.8 or more."""
+    rng = random.Random(5)
+    template = [f"t{i}" for i in range(150)]
+    rows = []
+    for k in range(400):
+        words, at, n = list(template), rng.randrange(4, 120), 4 if k % 40 == 0 else rng.choice([9, 12, 14])
+        words[at : at + n] = [f"own{k}x{j}" for j in range(n)]
+        rows.append((k, " ".join(words), "en"))
+    sets = {i: {tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for i, t, _ in rows}
+    label = {i: i for i in sets}
+    links = 0
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                links += 1
+                x, y = label[a], label[b]
+                label = {i: min(x, y) if c in (x, y) else c for i, c in label.items()}
+    verified, counts = shingles.verified, []
+
+    def counting(pairs, *args):
+        pairs = stored(pairs, "pairs")
+        counts.append(pairs.count())
+        return verified(pairs, *args)
+
+    monkeypatch.setattr(shingles, "verified", counting)
+    kept = corpus_pipeline.drop_near_duplicates(spark, make_documents(spark, rows), "").select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(label.values()))
+    assert len(set(label.values())) > 100 and links > 10
+    assert counts[-1] <= links + 10 * len(rows)
+
+
 BOUND = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
