@@ -44,6 +44,7 @@ PARTS = 64
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _KIND = bytes(2 if c in b".,;:!?\n\x0b\x0c\r" else 1 if c in b" \t" else 0 for c in range(256))
+_BETWEEN = b" \t.,;:!?\n\x0b\x0c\r"
 _END = b"\xff"  # stands in no UTF-8 text
 
 
@@ -54,11 +55,27 @@ def _mixed(h: np.ndarray, w: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _word_hashes(words: list[bytes], lang: str) -> np.ndarray:
+def _word_hashes(words: pa.Array, lang: str, most: int = 1 << 20) -> np.ndarray:
+    """Hashes of binary words in a language, as polynomials of their bytes, about ``most`` bytes at a time."""
     from xxhash import xxh64_intdigest
 
-    seed = xxh64_intdigest(lang.encode())
-    return np.fromiter((xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    sizes = np.diff(ends)
+    power = np.full(int(sizes.max(initial=0)) + 1, 0x9E3779B97F4A7C15, np.uint64)
+    power[0] = 1
+    power = np.cumprod(power)
+    chars = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    sums = np.empty(len(words), np.uint64)
+    first = 0
+    while first < len(words):
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] + most, side="right")) - 1)
+        at = ends[first : last + 1] - ends[first]
+        place = np.arange(at[-1]) - np.repeat(at[:-1], sizes[first:last])
+        total = np.zeros(len(place) + 1, np.uint64)
+        np.cumsum((chars[ends[first] : ends[last]].astype(np.uint64) + np.uint64(1)) * power[place], out=total[1:])
+        sums[first:last] = total[at[1:]] - total[at[:-1]]
+        first = last
+    return _mixed(np.full(len(words), xxh64_intdigest(lang.encode()), np.uint64), sums)
 
 
 def _cells(h: np.ndarray, cells: int) -> list[np.ndarray]:
@@ -86,14 +103,13 @@ class Words:
         starts, ends = edges[0::2], edges[1::2]
         offsets = np.zeros(len(starts) + 1, np.int32)
         np.cumsum(ends - starts, out=offsets[1:])
-        chars = np.frombuffer(data.translate(_LOWER), np.uint8)[inside]
-        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(chars)]
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data.translate(_LOWER, _BETWEEN))]
         coded = pa.Array.from_buffers(pa.binary(), len(starts), buffers).dictionary_encode()
         self.codes = coded.indices.to_numpy().astype(np.int64)
         self.distinct = coded.dictionary
-        # a mark between the end of a word and the end of the next one
-        marked = np.maximum.reduceat(kind[: ends[-1]], ends[:-1]) == 2 if len(ends) > 1 else np.zeros(0, bool)
-        self.piece = np.cumsum(np.concatenate([np.zeros(min(1, len(ends)), bool), marked]), dtype=np.int32)
+        marked = np.zeros(len(starts) + 1, bool)  # words with a mark before them and after the word before
+        marked[np.searchsorted(starts, np.flatnonzero(kind == 2))] = True
+        self.piece = np.cumsum(marked[:-1], dtype=np.int32)
 
 
 def blocks(texts: list[bytes], limit: int = BLOCK_BYTES) -> Iterator[bytes]:
@@ -122,7 +138,7 @@ def count_block(data: bytes, lang: str, scan: int, shards: int, begun: np.ndarra
     if scan < shards:
         yield 0, pa.array([b""], pa.binary()), np.zeros(1, np.int32), np.array([n])
         yield 1, distinct, np.zeros(many, np.int32), np.bincount(codes, minlength=many)
-    hashes = _word_hashes(distinct.to_pylist(), lang)
+    hashes = _word_hashes(distinct, lang)
     phrase = hashes[codes]  # hash of the phrase of the present length that starts at each place
     usable = _begun(hashes, begun)[codes]
     for size in range(2, longest + 1):
@@ -144,12 +160,14 @@ def count_block(data: bytes, lang: str, scan: int, shards: int, begun: np.ndarra
             yield size, joined, start[at].astype(np.int32), counts
         if size == longest:
             return
-        phrase = _mixed(phrase[:-1], hashes[codes[size - 1 :]])
-        usable = np.full(n - size + 1, NEVER, np.uint8)
         open_ = np.flatnonzero(start <= scan)
         if not len(open_):
             return
-        usable[open_] = np.maximum(_begun(phrase[open_], begun), start[open_])
+        mixed = _mixed(phrase[open_], hashes[codes[open_ + size - 1]])
+        phrase = np.zeros(n - size + 1, np.uint64)  # elsewhere no longer phrase starts
+        phrase[open_] = mixed
+        usable = np.full(n - size + 1, NEVER, np.uint8)
+        usable[open_] = np.maximum(_begun(mixed, begun), start[open_])
 
 
 def _scan(shard: DataFrame, scan: int, shards: int, packed, longest: int) -> DataFrame:
@@ -191,16 +209,12 @@ def _reached_cells(reached: DataFrame, cells: int) -> np.ndarray:
     """Cells of phrases, as bitmaps of which each is summed up by Spark: ``cells / 8`` bytes at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh64_intdigest
-
         for batch in batches:
-            seeds: dict[str, int] = {}
-            by_size: dict[int, list] = {}
+            alike: dict[tuple[str, int], list[bytes]] = {}
             for lang, size, phrase in map(_named, batch.column("key").to_pylist()):
-                seed = seeds.get(lang) or seeds.setdefault(lang, xxh64_intdigest(lang.encode()))
-                by_size.setdefault(size, []).append([xxh64_intdigest(w, seed) for w in phrase.split(b" ")])
-            for hashes in by_size.values():
-                first, *others = np.array(hashes, np.uint64).T
+                alike.setdefault((lang, size), []).extend(phrase.split(b" "))
+            for (lang, size), words in alike.items():
+                first, *others = _word_hashes(pa.array(words, pa.binary()), lang).reshape(-1, size).T
                 for w in others:
                     first = _mixed(first, w)
                 found = np.concatenate(_cells(first, cells)).astype(np.int64)
@@ -250,7 +264,10 @@ def count_phrases(
         found = _scan(shard, scan, shards, packed, longest)
         if state is not None:
             found = found.union(state)
-        merged = _kept(found.groupBy("key").agg(F.sum("n").alias("n")))
+        merged = found.groupBy("key").agg(F.sum("n").alias("n"))
+        if scan >= shards - 1:  # rare phrases whose cycle is complete are of no use to anyone
+            merged = merged.where((started > F.lit(bytes([scan - shards + 1]))) | (F.col("n") >= least) | (size == F.lit(bytes([0]))))
+        merged = _kept(merged)
         state = merged
         frequent = stored(merged.where((F.col("n") >= least) | (size == F.lit(bytes([0])))), "frequent_phrases")
         if scan >= shards - 1:

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,6 +78,31 @@ def test_a_phrase_of_one_shard_and_late_words(spark):
     assert found_counts(docs, least=35, shards=5) == counts_by_hand(rows, 35, 4)
 
 
+def test_rare_phrases_whose_cycle_is_complete_are_not_written(spark, documents, rows, monkeypatch):
+    kept, written = ph._kept, []
+
+    def noting(counts):
+        written.append(kept(counts))
+        return written[-1]
+
+    monkeypatch.setattr(ph, "_kept", noting)
+    assert found_counts(documents, least=3, shards=2) == counts_by_hand(rows, 3, 4)
+    assert len(written) > 2 and written[0].where("n < 3").count() > 0
+    for scan, found in enumerate(written[1:], 1):
+        complete = found.where(F.substring("key", 1, 1) <= F.lit(bytes([scan - 1])))
+        assert complete.where((F.col("n") < 3) & (F.substring("key", 2, 1) > F.lit(bytes([0])))).count() == 0
+
+
+def test_hashes_of_words_do_not_depend_on_where_they_stand():
+    words = [b"", b"a", b"b", b"ab", b"ba", "ñandú".encode(), b"x" * 5000] * 3
+    whole = ph._word_hashes(pa.array(words, pa.binary()), "en")
+    assert len(set(whole.tolist())) == 7 and (whole[:7] == whole[7:14]).all()
+    assert (ph._word_hashes(pa.array(words, pa.binary()), "en", 3) == whole).all()
+    assert (ph._word_hashes(pa.array(words, pa.binary())[2:6], "en") == whole[2:6]).all()
+    assert (ph._word_hashes(pa.array(words, pa.binary()), "fr") != whole).all()
+    assert len(ph._word_hashes(pa.array([], pa.binary()), "en")) == 0
+
+
 def test_products_pass_64_bits(spark):
     big = 1 << 61
     counts = spark.createDataFrame(
