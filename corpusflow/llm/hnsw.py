@@ -8,8 +8,6 @@ the work is in matrix products.
 
 from __future__ import annotations
 
-import io
-
 import numpy as np
 
 NEIGHBOURS = 16
@@ -17,6 +15,7 @@ BUILD_BEAM = 48
 BATCH = 1024
 EXPAND = 4
 VISITED_BYTES = 16 << 20
+GATHERED = 8 << 20  # numbers of vectors gathered at a time
 
 
 def _top(ids: np.ndarray, sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -29,37 +28,47 @@ def _top(ids: np.ndarray, sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndar
 
 
 class Graph:
-    def __init__(self, vectors: np.ndarray, levels: np.ndarray, links: list[np.ndarray]):
-        self.vectors, self.levels, self.links = vectors, levels, links
+    """Nodes are numbered from the highest level down, so that those of a level are the first rows of its links.
+
+    Beside its vectors and its lowest links a graph so takes next to nothing.
+    """
+
+    def __init__(self, vectors: np.ndarray, links: list[np.ndarray]):
+        self.vectors, self.links = vectors, links
+
+    @staticmethod
+    def numbered(n: int, seed: int = 0, m: int = NEIGHBOURS) -> tuple[np.ndarray, list[int]]:
+        """The order in which ``n`` vectors become nodes, and how many nodes each level has."""
+        levels = np.floor(-np.log(1 - np.random.default_rng(seed).random(n)) / np.log(m)).astype(np.int64)
+        order = np.argsort(-levels, kind="stable")  # the highest nodes first: every level is there when it is needed
+        return order, [int((levels >= l).sum()) for l in range(int(levels.max()) + 1 if n else 1)]
 
     @classmethod
     def build(cls, vectors: np.ndarray, seed: int = 0, m: int = NEIGHBOURS, beam: int = BUILD_BEAM) -> Graph:
         """From unit vectors in any order; the result depends on the vectors and the seed only."""
-        n = len(vectors)
-        levels = np.floor(-np.log(1 - np.random.default_rng(seed).random(n)) / np.log(m)).astype(np.int64)
-        order = np.argsort(-levels, kind="stable")  # the highest nodes first: every level is there when it is needed
-        top = int(levels.max()) if n else 0
-        g = cls(vectors.astype(np.float32), levels, [np.full((n, 2 * m if l == 0 else m), -1, np.int32) for l in range(top + 1)])
-        done = 0
+        order, sizes = cls.numbered(len(vectors), seed, m)
+        return cls.grown(vectors[order].astype(np.float32), sizes, m, beam)
+
+    @classmethod
+    def grown(cls, vectors: np.ndarray, sizes: list[int], m: int = NEIGHBOURS, beam: int = BUILD_BEAM) -> Graph:
+        """From unit vectors in single precision that are ``numbered`` already."""
+        g = cls(vectors, [np.full((size, 2 * m if l == 0 else m), -1, np.int32) for l, size in enumerate(sizes)])
+        done, n = 0, len(vectors)
         while done < n:
-            new = order[done : done + min(BATCH, max(64, done))]
-            g._insert(new, order[:done], m, beam)
-            done += len(new)
+            new = min(n - done, BATCH, max(64, done))
+            g._insert(np.arange(done, done + new), done, m, beam)
+            done += new
         return g
 
-    @property
-    def entry(self) -> int:
-        return int(np.argmax(self.levels))
-
-    def _insert(self, new: np.ndarray, old: np.ndarray, m: int, beam: int) -> None:
+    def _insert(self, new: np.ndarray, old: int, m: int, beam: int) -> None:
         q = self.vectors[new]
         among = q @ q.T
         np.fill_diagonal(among, -2)
-        start = np.full((len(new), 1), old[0] if len(old) else -1)
+        start = np.full((len(new), 1), 0 if old else -1)
         for level in range(len(self.links) - 1, -1, -1):
-            rows = np.flatnonzero(self.levels[new] >= level)
-            if len(old) and self.levels[old[0]] >= level:
-                found, sims = self.search(q, start, beam if len(rows) else 1, level)
+            rows = np.flatnonzero(new < len(self.links[level]))
+            if old:
+                found, sims = self.search(q, start, beam if len(rows) else 1, level, old)
                 start = found[:, : max(1, beam // 8)]
             else:
                 found, sims = np.full((len(new), 1), -1), np.full((len(new), 1), -2, np.float32)
@@ -75,6 +84,9 @@ class Graph:
 
     def _select(self, ids: np.ndarray, sims: np.ndarray, m: int) -> np.ndarray:
         """Up to ``m`` of each row's candidates (best first): those nearer to the row than to one chosen before, then others."""
+        step = max(1, GATHERED // (ids.shape[1] * self.vectors.shape[1]))
+        if len(ids) > step:
+            return np.vstack([self._select(ids[i : i + step], sims[i : i + step], m) for i in range(0, len(ids), step)])
         v = self.vectors[ids]
         mutual = v @ v.transpose(0, 2, 1)
         taken = np.zeros(ids.shape, bool)
@@ -97,11 +109,17 @@ class Graph:
         of, to = of[order], to[order]
         nodes, first, n = np.unique(to, return_index=True, return_counts=True)
         width = links.shape[1]
-        ids = np.full((len(nodes), width + int(n.max())), -1, np.int64)
-        ids[:, :width] = links[nodes]
-        ids[np.repeat(np.arange(len(nodes)), n), width + np.arange(len(to)) - np.repeat(first, n)] = of
-        for at in range(0, len(nodes), BATCH):
-            part, node = ids[at : at + BATCH], nodes[at : at + BATCH]
+        many = np.argsort(n, kind="stable")  # nodes that many link to are not laid beside those with few
+        nodes, first, n = nodes[many], first[many], n[many]
+        at = 0
+        while at < len(nodes):
+            end = min(at + BATCH, len(nodes))
+            end = min(end, at + max(1, GATHERED // ((width + int(n[end - 1])) * self.vectors.shape[1])))
+            node, count = nodes[at:end], n[at:end]
+            part = np.full((end - at, width + int(count[-1])), -1, np.int64)
+            part[:, :width] = links[node]
+            place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            part[np.repeat(np.arange(end - at), count), width + place] = of[np.repeat(first[at:end], count) + place]
             part = np.sort(part, axis=1)[:, ::-1].copy()
             part[:, 1:][part[:, 1:] == part[:, :-1]] = -1  # linked both ways already
             sims = np.einsum("bkd,bd->bk", self.vectors[part], self.vectors[node])
@@ -109,14 +127,20 @@ class Graph:
             part, sims = _top(part, sims, 2 * width)
             part = np.where(sims > -2, part, -1)
             links[node] = self._select(part, sims, width)
+            at = end
+
+    def search(self, q: np.ndarray, start: np.ndarray, beam: int, level: int, nodes: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Nodes (-1: none) and similarities, best first, of a beam search on one level from the nodes ``start``.
 
-    def search(self, q: np.ndarray, start: np.ndarray, beam: int, level: int) -> tuple[np.ndarray, np.ndarray]:
-        """Nodes (-1: none) and similarities, best first, of a beam search on one level from the nodes ``start``."""
-        n, rows = len(self.vectors), max(16, VISITED_BYTES // max(1, len(self.vectors)))
+        ``nodes``: so many are linked yet (default: all).
+        """
+        links = self.links[level]
+        n, expand = min(len(links), nodes or len(links)), max(EXPAND, beam // 16)
+        rows = max(1, min(max(16, VISITED_BYTES // max(1, n)), GATHERED // (expand * links.shape[1] * self.vectors.shape[1])))
         if len(q) > rows:
-            parts = [self.search(q[i : i + rows], start[i : i + rows], beam, level) for i in range(0, len(q), rows)]
+            parts = [self.search(q[i : i + rows], start[i : i + rows], beam, level, nodes) for i in range(0, len(q), rows)]
             return np.vstack([p[0] for p in parts]), np.vstack([p[1] for p in parts])
-        links, b = self.links[level], len(q)
+        b = len(q)
         visited = np.zeros((b, n + 1), bool)
         visited[:, n] = True  # stands for no node
         row = np.arange(b)[:, None]
@@ -147,7 +171,7 @@ class Graph:
             live = live[~opened[live].all(axis=1)]
             if not len(live):
                 break
-            pick = np.argsort(opened[live], axis=1, kind="stable")[:, :EXPAND]  # the best that were not expanded yet
+            pick = np.argsort(opened[live], axis=1, kind="stable")[:, :expand]  # the best that were not expanded yet
             todo = np.where(np.take_along_axis(opened[live], pick, 1), -1, np.take_along_axis(ids[live], pick, 1))
             opened[live[:, None], pick] = True
             around = np.where(todo[:, :, None] >= 0, links[todo], -1).reshape(len(live), -1)
@@ -156,24 +180,14 @@ class Graph:
 
     def nearest(self, q: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """Beam search from the top level down."""
-        start = np.full((len(q), 1), self.entry)
+        start = np.zeros((len(q), 1), np.int64)
         for level in range(len(self.links) - 1, 0, -1):
             start = self.search(q, start, 4, level)[0]
         return self.search(q, start, min(beam, len(self.vectors)), 0)
 
-    def dump(self) -> bytes:
-        out = io.BytesIO()
-        upper = {f"links{l}": a if l == 0 else a[self.levels >= l] for l, a in enumerate(self.links)}
-        np.savez(out, vectors=self.vectors, levels=self.levels, **upper)
-        return out.getvalue()
+    def dump(self) -> dict[str, np.ndarray]:
+        return {"vectors": self.vectors} | {f"links{l}": a for l, a in enumerate(self.links)}
 
     @classmethod
-    def load(cls, raw: bytes) -> Graph:
-        stored = np.load(io.BytesIO(raw))
-        levels, links = stored["levels"], []
-        for level in range(int(levels.max()) + 1 if len(levels) else 1):
-            rows = stored[f"links{level}"]
-            full = np.full((len(levels), rows.shape[1]), -1, np.int32)
-            full[levels >= level] = rows
-            links.append(full)
-        return cls(stored["vectors"], levels, links)
+    def load(cls, arrays: dict[str, np.ndarray]) -> Graph:
+        return cls(arrays["vectors"], [arrays[f"links{l}"] for l in range(sum(name.startswith("links") for name in arrays))])

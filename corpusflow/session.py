@@ -63,12 +63,14 @@ def bound_batches(spark: SparkSession, most_bytes: int = 4 << 20) -> None:
         spark.conf.set(key, most_bytes)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, row_group_bytes: int | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     For an expensive input that several branches of a plan read: they then scan
     only the columns they need, and a lost executor costs no recomputation.
+    Rows of very many bytes ask for small row groups, as Spark reads up to
+    4,096 rows of a group at once.
     """
     path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**{} if row_group_bytes is None else {"parquet.block.size": row_group_bytes}).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,6 +1,8 @@
 import math
+import tracemalloc
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from corpusflow.llm import embeddings
 from corpusflow.llm.hnsw import Graph
@@ -59,3 +61,34 @@ def test_recall_of_the_graph():
     ids, _ = graph.nearest(q, 32)
     truth = np.argsort(-(q @ graph.vectors.T), axis=1)[:, :10]
     assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(ids.tolist(), truth.tolist())]) >= 0.95
+
+
+def test_graphs_travel_in_small_pieces(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k, 1, rng.normal(size=24).tolist()) for k in range(1200)] + [(k, 1, rng.normal(size=3).tolist()) for k in range(1200, 1300)]
+    each = spark.createDataFrame(rows, "node bigint, copies bigint, v array<double>").repartition(3)
+    graphs = embeddings.build_shards(each, 2)
+    found = graphs.groupBy("key").agg(F.count("*").alias("pieces"), F.max(F.length("graph")).alias("largest")).collect()
+    assert len(found) == 4 and max(r.pieces for r in found) > 2
+    assert max(r.largest for r in found) <= embeddings.PIECE_BYTES
+    links = embeddings.query_shards(each, graphs, 2, 0.7, 3).where("kind = 0").groupBy("a").agg(F.sum("n").alias("n")).collect()
+    truth = {}
+    for size in (24, 3):
+        own = [(i, v) for i, _, v in rows if len(v) == size]
+        x = embeddings._unit([v for _, v in own])
+        truth |= {i: int(n) - 1 for (i, _), n in zip(own, (x @ x.T >= 0.7).sum(axis=1)) if n > 1}
+    assert {r.a: r.n for r in links} == truth
+
+
+def test_memory_of_a_crowd_is_bounded():
+    rng = np.random.default_rng(6)
+    x = embeddings._unit(rng.normal(size=64) + 0.02 * rng.normal(size=(1500, 64)))
+    ids, copies = np.arange(1500), np.ones(1500, np.int64)
+    work = embeddings._Work(embeddings.Shard.build(ids, copies, x), 0.9)
+    tracemalloc.start()
+    asked = [b.to_pydict() for b in [*(work.ask(ids[:512], copies[:512], x[:512]) or []), *work.out()]]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {a: n for b in asked for k, a, n in zip(b["kind"], b["a"], b["n"]) if k == 0} == {i: 1499 for i in range(512)}
+    assert {a: n for b in asked for k, a, n in zip(b["kind"], b["a"], b["n"]) if k == 1} == {i: 512 - (i < 512) for i in range(1500)}
+    assert peak < 300 << 20
